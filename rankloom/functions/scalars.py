@@ -62,8 +62,9 @@ def round2(value: Column) -> Column:
 
 
 def momentum(previous: Column, current: Column) -> Column:
-    moved = clamp(F.lit(P.NEUTRAL) + (previous - current) * P.MOMENTUM_SLOPE)
-    return F.coalesce(moved, F.lit(P.NEUTRAL))
+    """Clamped rank gain; neutral when one side is missing (greatest and least skip nulls)."""
+    moved = F.lit(P.NEUTRAL) + (previous - current) * P.MOMENTUM_SLOPE
+    return F.when(moved.isNull(), F.lit(P.NEUTRAL)).otherwise(clamp(moved))
 
 
 def weighted(parts: dict[str, Column], weights: dict[str, float]) -> Column:

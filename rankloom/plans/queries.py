@@ -24,6 +24,7 @@ from rankloom.operators import references as A
 from rankloom.operators import rules as U
 from rankloom.plans import views as W
 from rankloom.plans.views import CAPTURE, PRIOR, SCRIPT
+from rankloom.session import run_folder
 from rankloom.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,7 +133,7 @@ def name_order(spark, folder):
 
 @register
 def collection_summary(spark, folder):
-    entries = W.board_entries(spark, folder)
+    entries = W.snapshots(spark, folder)
     today = entries.where(F.col("capture_date") == F.lit(CAPTURE))
     requests = V.evidence_requests(B.distinct_candidates(today), W.KINDS)
     reuse = V.evidence_asof_reuse(requests, W.evidence(spark, folder), CAPTURE)
@@ -148,20 +149,20 @@ def collection_summary(spark, folder):
 
 @register
 def previous_snapshot(spark, folder):
-    rows = R.previous_snapshot(W.board_entries(spark, folder), CAPTURE)
+    rows = R.previous_snapshot(W.snapshots(spark, folder), CAPTURE)
     return rows.select("capture_date", "scope", "period", "rank", "full_name")
 
 
 @register
 def momentum_join(spark, folder):
-    rows = R.momentum_join(W.board_entries(spark, folder), CAPTURE)
+    rows = R.momentum_join(W.snapshots(spark, folder), CAPTURE)
     ranks = [S.round2(F.col(c)).alias(c) for c in ("current_rank", "previous_rank", "rank_momentum")]
     return rows.select("full_name", *ranks)
 
 
 @register
 def rank_momentum(spark, folder):
-    return R.trend_board(W.board_entries(spark, folder), CAPTURE).select(
+    return R.trend_board(W.snapshots(spark, folder), CAPTURE).select(
         "full_name", "average_rank", "previous_average_rank", "rank_momentum"
     )
 
@@ -177,14 +178,14 @@ def midrank_percentile(spark, folder):
 
 @register
 def trend_score(spark, folder):
-    return R.trend_board(W.board_entries(spark, folder), CAPTURE).select(
+    return R.trend_board(W.snapshots(spark, folder), CAPTURE).select(
         "full_name", *P.TREND_WEIGHTS, "trend_score", "trend_pass"
     )
 
 
 @register
 def trend_board(spark, folder):
-    rows = R.trend_board(W.board_entries(spark, folder), CAPTURE)
+    rows = R.trend_board(W.snapshots(spark, folder), CAPTURE)
     return rows.withColumn("periods_present", joined("periods_present"))
 
 
@@ -196,7 +197,7 @@ def hard_filter(spark, folder):
 
 @register
 def primary_period(spark, folder):
-    rows = R.primary_period(R.trend_board(W.board_entries(spark, folder), CAPTURE))
+    rows = R.primary_period(R.trend_board(W.snapshots(spark, folder), CAPTURE))
     return rows.select("full_name", "primary_period")
 
 
@@ -417,7 +418,7 @@ def duplicate_ranks(spark, folder):
 @register
 def matrix_coverage(spark, folder):
     """Each capture's pages put together, against the wanted matrix with one scope more."""
-    pages = W.board_pages(W.board_entries(spark, folder)).where(F.col("scope") != "view")
+    pages = W.board_pages(W.snapshots(spark, folder)).where(F.col("scope") != "view")
     wanted = B.board_matrix(W.scopes(spark, folder)).where(F.col("scope") != "click")
     return U.matrix_coverage(pages, wanted)
 
@@ -450,7 +451,7 @@ def pool_counts(spark, folder):
 
 @register
 def symmetric_difference(spark, folder):
-    entries = W.board_entries(spark, folder)
+    entries = W.snapshots(spark, folder)
     names = lambda day: entries.where(F.col("capture_date") == F.lit(day)).select("full_name")
     return U.symmetric_difference(names(CAPTURE), names(PRIOR))
 
@@ -892,14 +893,6 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def run_folder(spark: SparkSession, name: str) -> str:
-    import uuid
-
-    from rankloom.session import shared_dir
-
-    return f"{shared_dir(spark)}/rankloom-{name}-{uuid.uuid4().hex}"
-
-
 @register
 def stream_boards(spark, folder):
     from rankloom.streaming.boards import closed_boards, write_daily_totals

@@ -17,6 +17,7 @@ from rankloom.operators.boards import board_rows
 from rankloom.operators.catalog import CATALOG_SCHEMA, catalog_upsert
 from rankloom.operators.edition import period_features
 from rankloom.operators.ranking import evaluate, trend_board
+from rankloom.session import stored
 from rankloom.sources.tables import read_table
 
 CAPTURE = date(2024, 1, 30)
@@ -61,6 +62,11 @@ def board_entries(spark: SparkSession, folder: str) -> DataFrame:
     return as_entries(rows)
 
 
+def snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """The boards as a dated table, for plans that read them more than once."""
+    return stored(board_entries(spark, folder), "snapshots", "capture_date")
+
+
 def as_entries(rows: DataFrame) -> DataFrame:
     period_no = F.array_position(F.array(*map(F.lit, P.PERIODS)), F.col("period")) - 1
     name = item_name(F.col("item"))
@@ -180,18 +186,40 @@ def empty_catalog(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], CATALOG_SCHEMA)
 
 
+def earlier_enrichment(rows: DataFrame) -> DataFrame:
+    """Enrichment as of the earlier capture, when some keys did not pass a gate yet."""
+    early = F.transform_values(
+        "hard_filter", lambda gate, passed: passed & ((gate != "readme_clear") | (F.col("item") % 3 != 1))
+    )
+    return rows.withColumn("hard_filter", early)
+
+
 class Batch:
-    """The two captures with their evaluations, catalog states and the newer edition."""
+    """The two captures: boards and evaluations as dated tables, and what follows from them."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
-        self.entries = board_entries(spark, folder)
+        self.entries = snapshots(spark, folder)
         self.pages = board_pages(self.entries)
         self.enrichment = enrichment(spark, folder)
         self.trend = trend_board(self.entries, CAPTURE)
-        self.current = evaluate(self.enrichment, self.trend, CAPTURE)
-        self.prior = evaluate(self.enrichment, trend_board(self.entries, PRIOR), PRIOR)
-        self.evaluations = self.current.unionByName(self.prior)
+        self._evaluations: DataFrame | None = None
+
+    @property
+    def evaluations(self) -> DataFrame:
+        if self._evaluations is None:
+            current = evaluate(self.enrichment, self.trend, CAPTURE)
+            prior = evaluate(earlier_enrichment(self.enrichment), trend_board(self.entries, PRIOR), PRIOR)
+            self._evaluations = stored(current.unionByName(prior), "evaluations", "capture_date")
+        return self._evaluations
+
+    @property
+    def current(self) -> DataFrame:
+        return self.evaluations.where(F.col("capture_date") == F.lit(CAPTURE))
+
+    @property
+    def prior(self) -> DataFrame:
+        return self.evaluations.where(F.col("capture_date") == F.lit(PRIOR))
 
     def catalog_before(self) -> DataFrame:
         return catalog_upsert(empty_catalog(self.spark), self.prior)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,3 +46,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialize ``df`` in the shared folder, so later branches read one fixed copy."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for one run, below the shared one."""
+    return f"{shared_dir(spark)}/rankloom-{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """Write ``df`` once as a table in the shared folder and read it back: later uses share one
+    computation, prune its columns and partitions, and survive the loss of executors."""
+    path = run_folder(df.sparkSession, name)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
