@@ -119,14 +119,14 @@ def _first(markup: Column, pattern: str) -> Column:
 
 def _link_text(markup: Column, full_name: Column, leaf: str) -> Column:
     """Text of the link to ``/<full_name>/<leaf>``; null when there is none."""
-    links = F.regexp_extract_all(markup, F.lit(rf'(?s)<a\b[^>]*\bhref="/([^"]*)/{leaf}"[^>]*>.*?</a>'), F.lit(0))
-    wanted = F.concat(F.lit('href="/'), full_name, F.lit(f'/{leaf}"'))
-    node = F.try_element_at(F.filter(links, lambda a: F.contains(a, wanted)), F.lit(1))
-    return node_text(node)
+    links = F.regexp_extract_all(markup, F.lit(rf'(?s)<a\b[^>]*\bhref="/[^"]*/{leaf}"[^>]*>.*?</a>'), F.lit(0))
+    wanted = F.concat(F.lit("/"), full_name, F.lit(f"/{leaf}"))
+    same = lambda a: _unescape(F.regexp_extract(a, r'\bhref="([^"]*)"', 1)) == wanted
+    return node_text(F.try_element_at(F.filter(links, same), F.lit(1)))
 
 
 def _row_struct(markup: Column, position: Column) -> Column:
-    full_name = F.regexp_replace(_first(markup, KEY_LINK), "^/+|/+$", "")
+    full_name = F.regexp_replace(_unescape(_first(markup, KEY_LINK)), "^/+|/+$", "")
     period_text = node_text(_first(markup, PERIOD_NODE))
     builders = F.flatten(
         F.transform(
@@ -145,7 +145,7 @@ def _row_struct(markup: Column, position: Column) -> Column:
         F.coalesce(parse_compact_number(_link_text(markup, full_name, "stargazers")), F.lit(0)).alias("total_stars"),
         F.coalesce(parse_compact_number(_link_text(markup, full_name, "forks")), F.lit(0)).alias("total_forks"),
         F.when(period_text != "", parse_compact_number(period_text)).alias("period_stars"),
-        F.transform(builders, lambda a: F.regexp_replace(a, "^@+", "")).alias("built_by"),
+        F.transform(builders, lambda a: F.regexp_replace(_unescape(a), "^@+", "")).alias("built_by"),
     )
 
 

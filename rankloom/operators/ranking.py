@@ -54,7 +54,8 @@ def value_histogram(values: DataFrame, by: tuple[str, ...], value: str) -> DataF
     )
     inside = Window.partitionBy(*by, "bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        counts.join(offsets, [*by, "bucket"])
+        # a left join leaves the counts as they are, so both uses share one shuffle
+        counts.join(offsets, [*by, "bucket"], "left")
         .withColumn("less", F.col("before") + F.coalesce(F.sum("equal").over(inside), F.lit(0)))
         .select(*by, value, "equal", "less", "known")
     )
@@ -112,7 +113,8 @@ def trend_board(snapshots: DataFrame, capture: date) -> DataFrame:
     One aggregate gives the measures of both snapshots; the three period percentiles come
     from one value histogram over (period, value).
     """
-    rows = success_pages_only(snapshots)
+    # the explicit null check keeps all uses of the measures alike, so they share one shuffle
+    rows = success_pages_only(snapshots).where(F.col("full_name").isNotNull())
     prior = previous_snapshot_date(rows, capture).scalar()
     is_now = F.col("capture_date") == F.lit(capture)
     both = rows.where(is_now | (F.col("capture_date") == prior))

@@ -15,6 +15,7 @@ from rankloom.functions.scalars import (
     violations,
 )
 from rankloom.functions.text import contains_any, fold_whitespace, native_explanation
+from rankloom.session import stored
 
 
 def page_rules(entries: DataFrame, scopes: tuple[str, ...] = P.SCOPES, site: str = P.SITE) -> DataFrame:
@@ -247,40 +248,44 @@ def fingerprint(items: Column) -> Column:
     return F.sha2(F.array_join(F.transform(items, fold_whitespace), "\n"), 256)
 
 
-def fingerprint_groups(df: DataFrame, key: str, items: Column) -> DataFrame:
-    """Groups of rows with the same folded items: digest, size, smallest key. Only digests and
-    keys are shuffled, combined per task first; no group's members are gathered."""
-    prints = df.select(F.col(key), fingerprint(items).alias("fingerprint"))
-    groups = prints.groupBy("fingerprint").agg(F.count("*").alias("members"), F.min(key).alias("first_member"))
+def fingerprint_table(df: DataFrame, key: str, **lists: Column) -> DataFrame:
+    """(key, digest per list), written once: the texts are read a single time, and what is
+    counted and looked up afterwards is a narrow table."""
+    prints = df.select(F.col(key), *[fingerprint(items).alias(name) for name, items in lists.items()])
+    return stored(prints, "fingerprints")
+
+
+def fingerprint_groups(prints: DataFrame, key: str, name: str = "fingerprint") -> DataFrame:
+    """Repeated digests with size and smallest key. Combined per task before the shuffle, so a
+    group with a third of the rows is one row per task; no group's members are gathered."""
+    groups = prints.groupBy(name).agg(F.count("*").alias("members"), F.min(key).alias("first_member"))
     return groups.where(F.col("members") > 1)
 
 
 def duplicate_fingerprints(df: DataFrame, key: str, items: Column) -> DataFrame:
     """Members of every repeated group, one per row, largest groups first, then by name.
 
-    The text is read once to digests; the lookup's right side is unique by digest, so a group
-    that holds a third of the rows is split by the adaptive skew join and never gathered.
+    The lookup's right side is unique by digest, so the adaptive skew join can split the rows
+    of a large group over tasks.
     """
-    prints = df.select(F.col(key).alias("member"), fingerprint(items).alias("fingerprint"))
-    groups = fingerprint_groups(df, key, items)
-    return prints.join(groups, "fingerprint").orderBy(F.desc("members"), "first_member", "fingerprint", "member")
+    prints = fingerprint_table(df, key, fingerprint=items)
+    members = prints.join(fingerprint_groups(prints, key), "fingerprint").withColumnRenamed(key, "member")
+    return members.orderBy(F.desc("members"), "first_member", "fingerprint", "member")
 
 
 def audit_summary(df: DataFrame, key: str, fields: dict[str, Column], repeated: tuple[str, ...], **options) -> DataFrame:
     """One row: rows, invalid rows (rule failures or members of a repeated group), groups per field."""
-    checks = lint_rules(fields, **options)
     broken = F.lit(False)
-    for condition, _ in checks:
+    for condition, _ in lint_rules(fields, **options):
         broken = broken | F.coalesce(condition, F.lit(False))
-    rows = df.select(
-        F.col(key), broken.alias("broken"), *[fingerprint(fields[f]).alias(f"print_{f}") for f in repeated]
-    )
-    joined = rows
-    for f in repeated:
-        groups = rows.groupBy(f"print_{f}").agg(F.count("*").alias(f"members_{f}"), F.min(key).alias(f"first_{f}"))
-        joined = joined.join(groups.where(F.col(f"members_{f}") > 1), f"print_{f}", "left")
-    copied = F.lit(False)
+    digests = [fingerprint(fields[f]).alias(f"print_{f}") for f in repeated]
+    rows = stored(df.select(F.col(key), broken.alias("broken"), *digests), "audit")
+    joined, copied = rows, F.lit(False)
     for f in repeated:
+        groups = fingerprint_groups(rows, key, f"print_{f}").select(
+            f"print_{f}", F.col("members").alias(f"members_{f}"), F.col("first_member").alias(f"first_{f}")
+        )
+        joined = joined.join(groups, f"print_{f}", "left")
         copied = copied | F.col(f"members_{f}").isNotNull()
     # a group is counted at its first member, so no distinct count over all rows is needed
     return joined.agg(

@@ -443,6 +443,79 @@ def sql(statement: str) -> str:
     return (f"WITH {ctes}\n" if ctes else "") + statement
 
 
+def unescape(x: str) -> str:
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+        x = f"replace({x}, {quote(entity)}, {quote(char)})"
+    return x
+
+
+NAV = r'<li><a href="/([^"]*)">([^<]*)</a></li>'
+
+VIEWS["nav"] = f"""
+      SELECT page_id, regexp_extract_all(html, {quote(NAV)}, 1) AS items, regexp_extract_all(html, {quote(NAV)}, 2) AS texts,
+        regexp_extract(html, '<a href="/([^"]*)"', 1) AS slug FROM pages"""
+VIEWS["board_outcomes"] = """
+      SELECT *, CASE WHEN page_id % 10 = 8 THEN NULL WHEN page_id % 10 = 9 OR len(items) = 0 THEN 'unrecognized_page'
+        WHEN page_id % 10 = 7 THEN 'row_without_link'
+        WHEN len(list_filter(items, lambda x: x = '' OR contains(x, '/'))) > 0 THEN 'invalid_row_key' END AS error FROM nav"""
+VIEWS["board_items"] = f"""
+      SELECT page_id, CAST(rank AS INTEGER) AS rank, {unescape('items[rank]')} AS item, {unescape('trim(texts[rank])')} AS shown
+      FROM (SELECT *, unnest(range(1, len(items) + 1)) AS rank FROM board_outcomes WHERE error IS NULL AND page_id % 10 <> 8)"""
+VIEWS["site_links"] = f"""
+      SELECT DISTINCT page_id, page, href, regexp_extract(href, '^([^?#]*)', 1) AS path_part,
+        CASE WHEN starts_with(href, '/') THEN regexp_extract(href, '^([^?#]*)', 1)
+          WHEN starts_with(href, '../') THEN substr(regexp_extract(href, '^([^?#]*)', 1), 4)
+          ELSE 'repos/' || regexp_extract(href, '^([^?#]*)', 1) END AS target
+      FROM (SELECT page_id, 'repos/' || slug || '.html' AS page, CASE page_id % 3 WHEN 0 THEN {unescape('x')} || '.html'
+          WHEN 1 THEN '../repos/' || {unescape('x')} || '.html?v=1#top' ELSE '/' || {unescape('x')} END AS href
+        FROM (SELECT page_id, slug, unnest(regexp_extract_all(html, 'href="/([^"]*)"', 1)) AS x FROM pages JOIN nav USING (page_id))
+        WHERE page_id % 6 <> 5) WHERE regexp_extract(href, '^([^?#]*)', 1) <> ''"""
+VIEWS["page_numbers"] = "SELECT *, row_number() OVER (PARTITION BY capture_date ORDER BY page_no) - 1 AS page FROM board_pages"
+VIEWS["site_targets"] = "SELECT DISTINCT 'repos/' || slug || '.html' AS target FROM nav UNION SELECT 'repos'"
+VIEWS["link_docs"] = f"""
+      SELECT doc_id, {name('doc_id', 'doc')} AS full_name, CASE WHEN doc_id % 4 = 1 THEN 'docs/guide/' ELSE '' END AS dir, lang, md,
+        '{P.RAW_SITE}/' || {name('doc_id', 'doc')} || CASE WHEN doc_id % 2 = 0 THEN '/main/' ELSE '/feature%2Fx/' END AS raw,
+        '{P.SITE}/' || {name('doc_id', 'doc')} || '/blob' || CASE WHEN doc_id % 2 = 0 THEN '/main/' ELSE '/feature%2Fx/' END AS blob
+      FROM md_docs"""
+DOTTED = "CASE WHEN dir = '' THEN 'docs/' ELSE 'docs/docs/' END || lang || '.md#top'"
+CLOSED_DAY = "CAST(ts AS DATE) + 1 <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)"
+SNAPSHOT_DAY = f"{C} - 2"
+
+
+def localized_statement() -> str:
+    present = "has AND fm"
+    header = [
+        ("NOT has", "file_missing"),
+        ("has AND NOT fm", "frontmatter"),
+        ("has AND lower(translation_sha256) <> sha256(document)", "translation_sha256"),
+        ("has AND k % 47 = 9", "source_sha256"),
+        ("has AND k % 47 = 9", "source_sha256_shape"),
+        ("has AND k % 41 = 7", "language"),
+        ("k % 71 = 14", "source_changed"),
+        ("source_bytes <> strlen(src)", "source_bytes"),
+    ]
+    content = structure_rules("mode", "body", "src") + prose_rules("mode", "body", "src") + length_rules("mode", "body")
+    rules = header + [(f"{present} AND ({condition})", rule) for condition, rule in content]
+    rules.append(("has AND count(*) FILTER (has) OVER (PARTITION BY body) > 1", "repeated_body"))
+    return f"""
+      SELECT full_name, {violations(*rules)} AS violations FROM (SELECT *, k % 67 <> 13 AS has, k % 43 <> 8 AS fm,
+        md || CASE WHEN k % 71 = 14 THEN 'x' ELSE '' END AS src FROM local_docs)"""
+
+
+def rendered_statement() -> str:
+    kept = "k % 15 <> 5"
+    content = (
+        "CASE WHEN k % 8 = 1 THEN " + sub("body", "<video[^>]*></video>")
+        + " WHEN k % 8 = 2 THEN replace(body, '<details>', '&lt;details>') ELSE body END"
+    )
+    rules = [("k % 15 = 5", "section_missing"), (f"{kept} AND k % 13 = 4", "stale_source"), (f"{kept} AND k % 9 = 3", "rendered_changed")]
+    for tag in P.MEDIA_TAGS:
+        rules.append((f"{kept} AND list_contains(tags, '{tag}') AND NOT {hits('content', f'(?i)<{tag}' + chr(92) + 'b')} AND '{tag}' <> 'img'", f"dropped_{tag}"))
+        rules.append((f"{kept} AND contains(lower(content), '&lt;{tag}')", f"escaped_{tag}"))
+    return f"""
+      SELECT full_name, {violations(*rules)} AS violations FROM (SELECT *, {content} AS content, {media('body')} AS tags FROM local_docs)"""
+
+
 STATEMENTS = {
     "board_matrix": f"""
       SELECT CAST({PERIOD_NO} * 1000 + {SCOPE_NO} AS INTEGER) AS page_no, scope, period,
@@ -480,7 +553,8 @@ STATEMENTS = {
       WHERE capture_date = (SELECT max(capture_date) FROM board WHERE capture_date < {C})""",
     "momentum_join": f"""
       SELECT full_name, {round2('now_rank')} AS current_rank, {round2('before_rank')} AS previous_rank,
-        coalesce({round2('greatest(0.0, least(100.0, 50.0 + (before_rank - now_rank) * 5.0))')}, 50.0) AS rank_momentum
+        CASE WHEN before_rank IS NULL THEN 50.0
+          ELSE {round2('greatest(0.0, least(100.0, 50.0 + (before_rank - now_rank) * 5.0))')} END AS rank_momentum
       FROM (SELECT full_name, avg(rank) FILTER (capture_date = {C}) AS now_rank, avg(rank) FILTER (capture_date = {B}) AS b
         FROM good GROUP BY ALL) a(full_name, now_rank, before_rank) WHERE now_rank IS NOT NULL""",
     "rank_momentum": "SELECT full_name, average_rank, previous_average_rank, rank_momentum FROM trend_now",
@@ -703,6 +777,50 @@ STATEMENTS = {
     "page_outline": """
       SELECT page_id, CAST(unnest([1, 2]) AS INTEGER) AS position, unnest(['s' || page_id, 'end']) AS heading_id, unnest([trim('About ' || slug), 'End']) AS heading
       FROM (SELECT page_id, regexp_extract(html, '<a href="/([^"]*)"', 1) AS slug FROM pages)""",
+    "parse_pages": f"""
+      SELECT page_id, rank, 'org' || page_id || '/' || item AS full_name, '{P.SITE}/org' || page_id || '/' || item AS url,
+        CASE WHEN shown = '' THEN 'About & more' ELSE 'About ' || shown || ' & more' END AS description,
+        CASE WHEN page_id % 2 = 0 THEN 'Lang' END AS primary_language, page_id * 1000 + 234 AS total_stars, CAST(1200 AS BIGINT) AS total_forks,
+        CASE WHEN page_id % 3 = 0 THEN page_id END AS period_stars, ltrim(item, '@') AS built_by FROM board_items""",
+    "board_rank": "SELECT page_id, rank, 'org' || page_id || '/' || item AS full_name FROM board_items",
+    "page_status": """
+      SELECT page_id, CASE WHEN error IS NULL THEN 'success' ELSE 'failed' END AS status, error,
+        CAST(CASE WHEN error IS NULL AND page_id % 10 <> 8 THEN len(items) ELSE 0 END AS INTEGER) AS entry_count FROM board_outcomes""",
+    "broken_links": "SELECT DISTINCT page, href, target FROM site_links WHERE target NOT IN (SELECT target FROM site_targets)",
+    "link_audit": """
+      SELECT page, count(*) AS links, count(*) FILTER (target NOT IN (SELECT target FROM site_targets)) AS broken FROM site_links GROUP BY page""",
+    "absolutize_links": f"""
+      SELECT full_name, 'inline' AS syntax, './img/s.png' AS target, true AS image, raw || dir || 'img/s.png' AS absolute FROM link_docs WHERE doc_id % 3 = 0
+      UNION ALL SELECT full_name, 'inline', '../docs/' || lang || '.md#top', false, blob || {DOTTED} FROM link_docs WHERE doc_id % 3 = 0
+      UNION ALL SELECT full_name, 'html', 'clip ' || doc_id || '.mp4', true, raw || dir || 'clip%20' || doc_id || '.mp4' FROM link_docs WHERE doc_id % 3 = 0
+      UNION ALL SELECT full_name, 'reference', 'docs/ref.md', false, blob || dir || 'docs/ref.md' FROM link_docs WHERE doc_id % 3 = 0""",
+    "absolutize_text": f"""
+      SELECT full_name, sha256(CASE WHEN doc_id % 3 <> 0 THEN md ELSE
+        replace(replace(replace(replace(md, '(./img/s.png)', '(' || raw || dir || 'img/s.png)'), '(../docs/' || lang || '.md#top)', '(' || blob || {DOTTED} || ')'),
+          'src="clip ' || doc_id || '.mp4"', 'src="' || raw || dir || 'clip%20' || doc_id || '.mp4"'), '[ref]: docs/ref.md', '[ref]: ' || blob || dir || 'docs/ref.md') END) AS text_sha256
+      FROM link_docs""",
+    "localized_validation": localized_statement(),
+    "rendered_checks": rendered_statement(),
+    "stream_boards": f"""
+      SELECT capture_date, scope, period, item, metric, hits, rank FROM (
+        SELECT *, CAST(row_number() OVER (PARTITION BY scope, period ORDER BY metric DESC, item) AS INTEGER) AS rank FROM (
+          SELECT {SNAPSHOT_DAY} AS capture_date, s.scope, w.period, user_id AS item, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS metric, count(*) AS hits
+          FROM events JOIN (VALUES {", ".join(f"('{p}', {d})" for p, d in P.PERIOD_DAYS.items())}) w(period, days)
+            ON CAST(ts AS DATE) BETWEEN {SNAPSHOT_DAY} - w.days + 1 AND {SNAPSHOT_DAY}, LATERAL (SELECT unnest(['global', event_type]) AS scope) s
+          WHERE {CLOSED_DAY} GROUP BY ALL)) WHERE rank <= {TOP}""",
+    "stream_dedup_evidence": f"""
+      SELECT CAST(ts AS DATE) AS bucket_day, {name('user_id')} AS full_name, event_type AS kind, sha256(props) AS sha256,
+        epoch_us(min(ts)) AS first_seen, count(*) AS copies FROM events WHERE {CLOSED_DAY} GROUP BY ALL""",
+    "read_batch": "SELECT capture_date, scope, period, rank, full_name, period_stars, status FROM board",
+    "write_snapshots": "SELECT capture_date, full_name, status, final_score FROM evals",
+    "schema_conformance": f"""
+      SELECT CAST(capture_date AS VARCHAR) AS doc, 'batch' AS object, CAST(0 AS INTEGER) AS position,
+        CASE WHEN day(capture_date) = 30 THEN 'description' ELSE '' END AS violations FROM (SELECT DISTINCT capture_date FROM board)
+      UNION ALL SELECT CAST(capture_date AS VARCHAR), 'page', CAST(page AS INTEGER), CASE WHEN scope = 'view' THEN 'scope' ELSE '' END FROM page_numbers
+      UNION ALL SELECT CAST(capture_date AS VARCHAR), 'entry', CAST(page * 1000 + rank - 1 AS INTEGER), '' FROM board JOIN page_numbers USING (capture_date, page_no)
+      UNION ALL SELECT CAST(capture_date AS VARCHAR), 'repository', CAST(row_number() OVER (PARTITION BY capture_date ORDER BY full_name) - 1 AS INTEGER),
+        {violations(("k % 10 = 3", "missing_field"), ("k % 47 = 9", "card_extra_field"), ("k % 43 = 8", "card_features_items"))}
+      FROM (SELECT DISTINCT capture_date, full_name FROM board) JOIN enriched USING (full_name)""",
 }
 
 ORACLE = {key: sql(statement) for key, statement in STATEMENTS.items()}

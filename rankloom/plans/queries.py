@@ -24,7 +24,7 @@ from rankloom.operators import references as A
 from rankloom.operators import rules as U
 from rankloom.plans import views as W
 from rankloom.plans.views import CAPTURE, PRIOR, SCRIPT
-from rankloom.session import run_folder
+from rankloom.session import run_folder, stored
 from rankloom.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -519,16 +519,16 @@ def audit_summary(spark, folder):
 @register
 def content_audit(spark, folder):
     """Lint violations of every document together with the size of its group of equal texts."""
-    docs = doc_lines(spark, folder)
-    linted = U.text_lint_rules(docs, lint_fields(), **LINT).select(
+    linted = U.text_lint_rules(doc_lines(spark, folder), lint_fields(), **LINT).select(
         "doc_id",
         F.size("violations").alias("rule_failures"),
         F.coalesce(X.native_explanation(F.col("text"), SCRIPT), F.lit(False)).alias("native"),
         U.fingerprint(F.col("lines")).alias("fingerprint"),
     )
-    groups = U.fingerprint_groups(docs, "doc_id", F.col("lines")).select("fingerprint", "members")
+    rows = stored(linted, "content_audit")
+    groups = U.fingerprint_groups(rows, "doc_id").select("fingerprint", "members")
     copies = F.coalesce("members", F.lit(1))
-    return linted.join(groups, "fingerprint", "left").select(
+    return rows.join(groups, "fingerprint", "left").select(
         "doc_id", "rule_failures", "native", copies.alias("copies"), ((F.col("rule_failures") == 0) & (copies == 1)).alias("valid")
     )
 
@@ -949,16 +949,33 @@ def batch_documents(spark, folder) -> DataFrame:
     ).agg(F.array_sort(F.collect_list(row)).alias("entries"))
     # boards and their rows are limited in number, so a batch document is, too
     batches = pages.groupBy("capture_date").agg(F.array_sort(F.collect_list(F.struct("page_no", page.alias("page")))).alias("p"))
+    enriched = W.enrichment(spark, folder)
+    k, note = F.col("item"), F.col("card.one_line")
+    card = F.struct(
+        *[note.alias(f) for f in P.CARD_SCALAR_FIELDS],
+        *[F.array(note).alias(f) for f in ("audience", "limitations")],
+        W.when_mod(k, 43, 8, F.array(note), F.array(note, note)).alias("features"),
+        F.array(note, note).alias("strengths"),
+        F.when(k % 47 == 9, note).alias("ai"),
+    )
     repositories = entries.select("capture_date", "full_name").distinct().join(
-        W.enrichment(spark, folder).drop("item"), "full_name"
+        enriched.withColumn("card", card).drop("item"), "full_name"
     )
     repo = F.struct(*[c for c in repositories.columns if c != "capture_date"])
     listed = repositories.groupBy("capture_date").agg(F.array_sort(F.collect_list(F.to_json(repo))).alias("r"))
+    day = F.col("capture_date").cast("string")
+    pool = F.struct(
+        F.when(F.dayofmonth("capture_date") == 30, "").otherwise(F.concat(F.lit("boards of "), day)).alias("description"),
+        F.lit("full_name").alias("dedupe_key"),
+        F.size("r").alias("raw_candidate_count"),
+        F.size("r").alias("evaluated_candidate_count"),
+    )
     body = F.to_json(
         F.struct(
             F.lit(P.BATCH_VERSION).alias("schema_version"),
-            F.col("capture_date").cast("string").alias("capture_date"),
-            F.concat(F.col("capture_date").cast("string"), F.lit("T10:00:00Z")).alias("captured_at"),
+            day.alias("capture_date"),
+            F.concat(day, F.lit("T10:00:00Z")).alias("captured_at"),
+            pool.alias("candidate_pool"),
             F.transform("p", lambda x: x["page"]).alias("pages"),
         ),
         {"ignoreNullFields": "false"},
@@ -975,7 +992,8 @@ def read_batch(spark, folder):
     from rankloom.sources.batches import batch_entries, read_batch as read
 
     out = run_folder(spark, "batch")
-    batch_documents(spark, folder).select("text").write.text(out)
+    documents = batch_documents(spark, folder).withColumn("doc", F.col("capture_date").cast("string"))
+    documents.select("text", "doc").write.partitionBy("doc").text(out)
     rows = batch_entries(read(spark, out))
     return rows.select("capture_date", "scope", "period", "rank", "full_name", "period_stars", "status")
 
@@ -984,7 +1002,8 @@ def read_batch(spark, folder):
 def schema_conformance(spark, folder):
     from rankloom.sources.batches import schema_conformance as check
 
-    rows = check(batch_documents(spark, folder).withColumn("doc", F.col("capture_date").cast("string")))
+    batches = batch_documents(spark, folder).withColumn("doc", F.col("capture_date").cast("string"))
+    rows = check(batches, scopes=W.SCOPES[:-1] + ("rust",))
     return rows.select("doc", "object", "position", joined("violations").alias("violations"))
 
 

@@ -389,11 +389,11 @@ def site_pages(spark: SparkSession, folder: str) -> DataFrame:
         .when(k % 6 == 2, F.col("html"))
         .otherwise(F.regexp_replace("html", r'href="/([^"]*)"', 'href="https://example.org/$1"'))
     )
-    outline = F.concat(F.lit('<h2 id="s'), k.cast("string"), F.lit('">About <i>'), slug, F.lit('</i></h2><h2 id="end">End</h2></body>'))
+    outline = F.concat(F.lit('<h2 id="s'), k.cast("string"), F.lit('">About <i>'), slug, F.lit('</i></h2><h2 id="end">End</h2>'))
     return read_table(spark, folder, "pages").select(
         "page_id",
         F.concat(F.lit("repos/"), slug, F.lit(".html")).alias("path"),
-        F.replace(html, F.lit("</body>"), outline).alias("html"),
+        F.concat(html, outline).alias("html"),
     )
 
 

@@ -50,9 +50,10 @@ ALLOWED_FIELDS = {
 }
 
 
-def read_batch(spark: SparkSession, path: str) -> DataFrame:
-    """Nested batch documents; a document that is not valid JSON keeps its text in ``_corrupt``."""
-    reader = spark.read.schema(BATCH_SCHEMA).option("multiLine", "true")
+def read_batch(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
+    """Nested batch documents, one per file or one per line; a document that is not valid JSON
+    keeps its text in ``_corrupt``."""
+    reader = spark.read.schema(BATCH_SCHEMA).option("multiLine", str(one_per_file).lower())
     return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
 
 
@@ -92,7 +93,9 @@ def _not_integer(raw: Column, field: str) -> Column:
     return F.coalesce(_kind(raw, f"$.{field}") != "BIGINT", F.lit(True))
 
 
-def schema_conformance(raw: DataFrame, text: str = "text", key: str = "doc") -> DataFrame:
+def schema_conformance(
+    raw: DataFrame, text: str = "text", key: str = "doc", scopes: tuple[str, ...] = P.SCOPES
+) -> DataFrame:
     """Structural rules on raw JSON text, one row per object of the batch with its violations.
 
     Types are read from the JSON itself, so ``true`` is never taken for a number.
@@ -111,7 +114,7 @@ def schema_conformance(raw: DataFrame, text: str = "text", key: str = "doc") ->
         (parse_timestamp_utc(F.get_json_object(doc, "$.captured_at")).isNull(), "captured_at"),
         (F.get_json_object(doc, "$.candidate_pool.dedupe_key") != "full_name", "dedupe_key"),
         (F.coalesce(F.length(F.get_json_object(doc, "$.candidate_pool.description")), F.lit(0)) < 1, "description"),
-        (page_count != len(P.SCOPES) * len(P.PERIODS), "page_count"),
+        (page_count != len(scopes) * len(P.PERIODS), "page_count"),
         (F.coalesce(F.size(repos), F.lit(0)) < 1, "repository_count"),
     )
     top = raw.select(key, F.lit("batch").alias("object"), F.lit(0).alias("position"), batch.alias("violations"))
@@ -121,7 +124,7 @@ def schema_conformance(raw: DataFrame, text: str = "text", key: str = "doc") ->
     page_rules = violations(
         (_missing_fields(p, ALLOWED_FIELDS["page"]), "missing_field"),
         (_extra_fields(p, ALLOWED_FIELDS["page"]), "extra_field"),
-        (~F.get_json_object(p, "$.scope").isin(*P.SCOPES), "scope"),
+        (~F.get_json_object(p, "$.scope").isin(*scopes), "scope"),
         (~F.get_json_object(p, "$.period").isin(*P.PERIODS), "period"),
         (F.get_json_object(p, "$.spoken_language") != "any", "spoken_language"),
         (parse_timestamp_utc(F.get_json_object(p, "$.captured_at")).isNull(), "captured_at"),
