@@ -1,7 +1,7 @@
 """Document structure in one pass per row: no explode, no shuffle, no Python.
 
-Fences and headings are found with possessive, linear patterns, so a long document
-costs time in proportion to its length and never leaves its row.
+Fences and headings are found with linear patterns, so a long document costs time in
+proportion to its length and never leaves its row.
 """
 
 from __future__ import annotations
@@ -19,14 +19,22 @@ SETEXT = r"^(?=[^\s#>|*+=-])[^\n]+\n {0,3}(?:=+|-+)[ \t]*$"
 HEADING = f"(?m)(?:{ATX}|{SETEXT})"
 
 
+def _has_fence(text: Column) -> Column:
+    return F.contains(text, F.lit("```")) | F.contains(text, F.lit("~~~"))
+
+
 def fence_blocks(text: Column) -> Column:
     """``info`` + newline + content of each closed fence, in order, without container indent."""
-    source = unix_lines(text)
-    indents = F.regexp_extract_all(source, F.lit(FENCE), F.lit(1))
-    infos = F.regexp_extract_all(source, F.lit(FENCE), F.lit(4))
-    bodies = F.regexp_extract_all(source, F.lit(FENCE), F.lit(5))
-    rows = F.arrays_zip(indents.alias("indent"), infos.alias("info"), bodies.alias("body"))
-    return F.transform(rows, lambda r: F.concat(F.trim(r["info"]), F.lit("\n"), _dedent(r["body"], r["indent"])))
+    found = F.regexp_extract_all(unix_lines(text), F.lit(FENCE), F.lit(0))
+    pieces = F.transform(
+        found,
+        lambda m: F.struct(
+            F.regexp_extract(m, FENCE, 1).alias("indent"),
+            F.regexp_extract(m, FENCE, 4).alias("info"),
+            F.regexp_extract(m, FENCE, 5).alias("body"),
+        ),
+    )
+    return F.transform(pieces, lambda r: F.concat(F.trim(r["info"]), F.lit("\n"), _dedent(r["body"], r["indent"])))
 
 
 def _dedent(body: Column, indent: Column) -> Column:
@@ -35,27 +43,37 @@ def _dedent(body: Column, indent: Column) -> Column:
 
 
 def without_fences(text: Column) -> Column:
-    return F.regexp_replace(unix_lines(text), FENCE, "")
+    unix = unix_lines(text)
+    return F.when(_has_fence(text), F.regexp_replace(unix, FENCE, "")).otherwise(unix)
 
 
-def unclosed_fence(text: Column) -> Column:
-    return without_fences(text).rlike(OPEN_FENCE)
+# The functions below take text that ``without_fences`` has gone over: compute it once as a
+# column where several of them are needed.
 
 
-def heading_levels(text: Column) -> Column:
-    found = F.regexp_extract_all(without_fences(text), F.lit(HEADING), F.lit(0))
+def open_fence_in(bare: Column) -> Column:
+    """A fence is left that no closing fence belongs to."""
+    return _has_fence(bare) & bare.rlike(OPEN_FENCE)
+
+
+def headings_in(bare: Column) -> Column:
+    """Levels of the headings, in order."""
     return F.transform(
-        found,
+        F.regexp_extract_all(bare, F.lit(HEADING), F.lit(0)),
         lambda h: F.when(h.rlike(r"^[ >]*#"), F.length(F.regexp_extract(h, r"(#+)", 1)))
         .when(h.rlike(r"=[ \t]*$"), F.lit(1))
         .otherwise(F.lit(2)),
     )
 
 
-def visible_prose(text: Column) -> Column:
-    """Text without fences, inline code, link targets, tags and line markers."""
-    bare = F.regexp_replace(without_fences(text), r"`[^`\n]*`", " ")
-    bare = F.regexp_replace(bare, r"(!?)\[([^\]]*)\]\([^)]*\)", "$2")
-    bare = F.regexp_replace(bare, r"<[^>\n]*>", " ")
-    bare = F.regexp_replace(bare, r"(?m)^[ \t]*(?:#{1,6}|>|[-*+]|\d+[.)])[ \t]+", "")
-    return F.trim(F.regexp_replace(bare, r"\s+", " "))
+def prose_in(bare: Column) -> Column:
+    """Text without inline code, link targets, tags and line markers."""
+    for pattern, to in (
+        (r"`[^`\n]*`", " "),
+        (r"(!?)\[([^\]]*)\]\([^)]*\)", "$2"),
+        (r"<[^>\n]*>", " "),
+        (r"(?m)^[ \t]*(?:#{1,6}|>|[-*+]|\d+[.)])[ \t]+", ""),
+        (r"\s+", " "),
+    ):
+        bare = F.regexp_replace(bare, pattern, to)
+    return F.trim(bare)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ COMMENT = r"(?s)<!--.*?-->"
 FENCED = r"(?s)```.*?```"
 FENCED_ANY = r"(?s)```.*?```|~~~.*?~~~"
 INLINE_CODE = r"`[^`]+`"
+INLINE_CODE_LINE = r"`[^`\n]*`"
 DATA_URI = r"data:[^\s)\"']+"
 WEB_URL = r"https?://\S+"
 QUOTED_LINE = r"(?m)^[ \t]*[|>].*$"
@@ -18,14 +21,33 @@ FRONTMATTER = r"(?s)\A---\n(.*?)\n---\n"
 IMAGE_LINK = r"!\[[^\]]*\]\([^)]+\)"
 
 
+# A literal that a pattern cannot match without. A text without it is passed on as it is: the
+# byte search is much cheaper than a regex pass, and most texts have few of the markers.
+MARKERS = {
+    COMMENT: "<!--", FENCED: "```", INLINE_CODE: "`", DATA_URI: "data:", WEB_URL: "http", INLINE_CODE_LINE: "`",
+}
+
+
+def let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is computed once, however often ``fn`` uses it."""
+    return F.transform(F.array(value), fn)[0]
+
+
 def drop(text: Column, *patterns: str) -> Column:
     for pattern in patterns:
-        text = F.regexp_replace(text, pattern, "")
+        text = let(text, _dropper(pattern))
     return text
 
 
+def _dropper(pattern: str) -> Callable[[Column], Column]:
+    marker = MARKERS.get(pattern)
+    if not marker:
+        return lambda t: F.regexp_replace(t, pattern, "")
+    return lambda t: F.when(F.contains(t, F.lit(marker)), F.regexp_replace(t, pattern, "")).otherwise(t)
+
+
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"\A\s+|\s+\z", "")
+    return F.btrim(text, F.lit(" \t\n\r\x0b\x0c"))
 
 
 def unix_lines(text: Column) -> Column:
@@ -38,7 +60,14 @@ def fold_whitespace(text: Column) -> Column:
 
 
 def has_foreign_run(text: Column, run: int) -> Column:
-    return text.rlike(f"[A-Za-z][{P.FOREIGN_RUN}]{{{run},}}")
+    """A letter followed by ``run`` characters of foreign prose.
+
+    A match is looked for at the start of each stretch of such characters only: its first
+    letter has the most characters after it. So every character is visited once.
+    """
+    stretch = P.FOREIGN_RUN
+    others = stretch.replace("A-Za-z", "")
+    return text.rlike(f"(?<![{stretch}])[{others}]*+[A-Za-z][{stretch}]{{{run}}}")
 
 
 def native_explanation(text: Column, script: str = P.NATIVE_SCRIPT, run: int = P.CARD_FOREIGN_RUN_MIN) -> Column:
@@ -49,7 +78,7 @@ def native_explanation(text: Column, script: str = P.NATIVE_SCRIPT, run: int = P
 def script_chars(text: Column, script: str = P.NATIVE_SCRIPT) -> Column:
     """Characters of the script outside comments, fences, data URIs and URLs."""
     prose = drop(text, COMMENT, FENCED, DATA_URI, WEB_URL)
-    return F.length(F.regexp_replace(prose, f"[^{script}]", ""))
+    return F.length(F.regexp_replace(prose, f"[^{script}]+", ""))
 
 
 def latin_words(text: Column) -> Column:
@@ -81,16 +110,22 @@ def odd_fences(text: Column) -> Column:
     return fences.cast("int") % 2 == 1
 
 
+def live_markdown(text: Column) -> Column:
+    """Text without fenced and inline code."""
+
+    def unfenced(t: Column) -> Column:
+        fenced = F.contains(t, F.lit("```")) | F.contains(t, F.lit("~~~"))
+        return F.when(fenced, F.regexp_replace(t, FENCED_ANY, "")).otherwise(t)
+
+    return drop(let(text, unfenced), INLINE_CODE_LINE)
+
+
 def media_tags(text: Column) -> Column:
     """Sorted media tags that are live, i.e. outside code; image syntax counts as ``img``."""
-    live = drop(text, FENCED_ANY, r"`[^`\n]*`")
-    present = []
-    for tag in sorted(P.MEDIA_TAGS):
-        hit = live.rlike(rf"(?i)<{tag}\b")
-        if tag == "img":
-            hit = hit | live.rlike(IMAGE_LINK)
-        present.append(F.when(hit, F.lit(tag)))
-    return F.array_compact(F.array(*present))
+    names = "|".join(P.MEDIA_TAGS)
+    found = F.regexp_extract_all(live_markdown(text), F.lit(rf"(?i)<(?:{names})\b|{IMAGE_LINK}"), F.lit(0))
+    tags = F.transform(found, lambda m: F.when(F.startswith(m, F.lit("<")), F.lower(F.substring(m, 2, 10))).otherwise("img"))
+    return F.array_sort(F.array_distinct(tags))
 
 
 def section(text: Column, heading: str) -> Column:

@@ -125,9 +125,14 @@ def _link_text(markup: Column, full_name: Column, leaf: str) -> Column:
     return node_text(F.try_element_at(F.filter(links, same), F.lit(1)))
 
 
-def _row_struct(markup: Column, position: Column) -> Column:
+def _row_key(markup: Column) -> Column:
     full_name = F.regexp_replace(_unescape(_first(markup, KEY_LINK)), "^/+|/+$", "")
-    period_text = node_text(_first(markup, PERIOD_NODE))
+    return F.struct(full_name.alias("full_name"), _first(markup, PERIOD_NODE).alias("period_node"), markup.alias("markup"))
+
+
+def _row_struct(row: Column, position: Column) -> Column:
+    markup, full_name = row["markup"], row["full_name"]
+    period_text = node_text(row["period_node"])
     builders = F.flatten(
         F.transform(
             F.regexp_extract_all(markup, F.lit(BUILDER_NODE), F.lit(1)),
@@ -156,15 +161,13 @@ def parse_boards(pages: DataFrame, html: str = "html") -> DataFrame:
     says that the board is empty under a heading that names the board.
     """
     rows = F.regexp_extract_all(F.col(html), F.lit(ROW), F.lit(1))
-    parsed = pages.withColumn("_rows", F.transform(rows, _row_struct))
+    parsed = pages.withColumn("_keys", F.transform(rows, _row_key))
     heading = node_text(_first(F.col(html), r"(?s)<h1\b[^>]*>(.*?)</h1>"))
     empty = F.contains(F.lower(heading), F.lit("trending")) & node_text(F.col(html)).rlike(EMPTY_BOARD)
-    bad_key = F.exists(
-        F.col("_rows"), lambda r: ~F.coalesce(r["full_name"].rlike("^[^/]*/[^/]*$"), F.lit(False))
-    )
-    no_link = F.exists(F.col("_rows"), lambda r: r["full_name"].isNull())
+    bad_key = F.exists("_keys", lambda r: ~F.coalesce(r["full_name"].rlike("^[^/]*/[^/]*$"), F.lit(False)))
+    no_link = F.exists("_keys", lambda r: r["full_name"].isNull())
     error = (
-        F.when((F.size("_rows") == 0) & ~F.coalesce(empty, F.lit(False)), "unrecognized_page")
+        F.when((F.size("_keys") == 0) & ~F.coalesce(empty, F.lit(False)), "unrecognized_page")
         .when(no_link, "row_without_link")
         .when(bad_key, "invalid_row_key")
     )
@@ -172,8 +175,9 @@ def parse_boards(pages: DataFrame, html: str = "html") -> DataFrame:
     return (
         parsed.withColumn("error", error)
         .withColumn("status", F.when(failed, "failed").otherwise("success"))
-        .withColumn("entries", F.when(failed, F.slice("_rows", 1, 0)).otherwise(F.col("_rows")))
-        .drop("_rows")
+        .withColumn("_keys", F.when(failed, F.slice("_keys", 1, 0)).otherwise(F.col("_keys")))
+        .withColumn("entries", F.transform("_keys", _row_struct))
+        .drop("_keys")
     )
 
 

@@ -7,58 +7,85 @@ from pyspark.sql import functions as F
 
 from rankloom import params as P
 from rankloom.functions import text as X
-from rankloom.functions.markdown import fence_blocks, heading_levels, unclosed_fence, visible_prose
+from rankloom.functions.markdown import fence_blocks, headings_in, open_fence_in, prose_in, without_fences
 from rankloom.functions.scalars import slug, violations
+from rankloom.session import stored
 
 
 def markdown_structure(df: DataFrame, text: str) -> DataFrame:
     """Add ordered fence blocks, heading levels, prose and the unclosed-fence flag."""
-    body = F.col(text)
+    bare = F.col("_bare")
     return (
-        df.withColumn("blocks", fence_blocks(body))
-        .withColumn("headings", heading_levels(body))
-        .withColumn("prose", visible_prose(body))
-        .withColumn("unclosed", unclosed_fence(body))
+        df.withColumn("_bare", without_fences(F.col(text)))
+        .withColumns(
+            {
+                "blocks": fence_blocks(F.col(text)),
+                "headings": headings_in(bare),
+                "prose": prose_in(bare),
+                "unclosed": open_fence_in(bare),
+            }
+        )
+        .drop("_bare")
     )
 
 
-def structure_rules(mode: Column, body: Column, source: Column, script: str) -> list[tuple[Column, str]]:
+def with_parts(df: DataFrame, mode: str, body: str, source: str, script: str) -> DataFrame:
+    """Add what the structure and prose rules compare, each part computed once per row.
+
+    A copy needs its source's prose, a translation needs blocks and headings of both sides;
+    the other parts are left null.
+    """
+    copy, b, s = F.col(mode) == P.MODE_COPY, F.col(body), F.col("_source")
+    levels = lambda bare: F.when(~F.col("_copy"), headings_in(F.col(bare)))
+    return (
+        df.withColumns({"_source": X.unix_lines(F.col(source)), "_copy": copy})
+        .withColumns({"_bare": without_fences(b), "_source_bare": without_fences(s)})
+        .withColumns(
+            {
+                "_levels": levels("_bare"),
+                "_source_levels": levels("_source_bare"),
+                "_same_blocks": F.when(~F.col("_copy"), fence_blocks(b) == fence_blocks(s)),
+                "_prose": F.when(F.col("_copy"), prose_in(F.col("_source_bare"))),
+                "_native": X.script_chars(b, script),
+                "_source_native": F.when(F.col("_copy"), X.script_chars(s, script)),
+            }
+        )
+        .withColumns({"_prose_native": X.script_chars(F.col("_prose"), script), "_words": X.latin_words(F.col("_prose"))})
+    )
+
+
+def structure_rules(body: Column) -> list[tuple[Column, str]]:
     """A copy equals its source, whose prose is mostly in the script. A translation keeps
     code blocks and headings; it may add one first-level heading in front."""
-    is_copy = mode == P.MODE_COPY
-    prose = visible_prose(source)
-    enough = F.greatest(F.lit(1), X.latin_words(prose))
-    source_levels, levels = heading_levels(source), heading_levels(body)
-    same_levels = (levels == source_levels) | (levels == F.concat(F.array(F.lit(1)), source_levels))
+    c = F.col
+    same_levels = (c("_levels") == c("_source_levels")) | (
+        c("_levels") == F.concat(F.array(F.lit(1)), c("_source_levels"))
+    )
     return [
-        (unclosed_fence(source) | (~is_copy & unclosed_fence(body)), "unclosed_fence"),
-        (is_copy & (X.script_chars(prose, script) < enough), "copy_not_native"),
-        (is_copy & (body != X.strip(source)), "copy_differs"),
-        (~is_copy & (fence_blocks(body) != fence_blocks(source)), "code_blocks"),
-        (~is_copy & ~same_levels, "headings"),
+        (open_fence_in(c("_source_bare")) | (~c("_copy") & open_fence_in(c("_bare"))), "unclosed_fence"),
+        (c("_copy") & (c("_prose_native") < F.greatest(F.lit(1), c("_words"))), "copy_not_native"),
+        (c("_copy") & (body != X.strip(c("_source"))), "copy_differs"),
+        (~c("_same_blocks"), "code_blocks"),
+        (~c("_copy") & ~same_levels, "headings"),
     ]
 
 
 def structure_diff(
     pairs: DataFrame, body: str = "body", source: str = "source", mode: str = "mode", script: str = P.NATIVE_SCRIPT
 ) -> DataFrame:
-    rules = structure_rules(F.col(mode), F.col(body), X.unix_lines(F.col(source)), script)
-    return pairs.withColumn("violations", violations(*rules))
+    parts = with_parts(pairs, mode, body, source, script)
+    checked = parts.withColumn("violations", violations(*structure_rules(F.col(body))))
+    return checked.select(*pairs.columns, "violations")
 
 
 def prose_rules(
-    mode: Column,
-    body: Column,
-    source: Column,
-    script: str,
-    minimum: int = P.NATIVE_CHARS_MIN,
-    run: int = P.DOCUMENT_FOREIGN_RUN_MIN,
+    body: Column, minimum: int = P.NATIVE_CHARS_MIN, run: int = P.DOCUMENT_FOREIGN_RUN_MIN
 ) -> list[tuple[Column, str]]:
-    is_copy = mode == P.MODE_COPY
-    needed = F.when(is_copy, F.least(F.lit(minimum), X.script_chars(source, script))).otherwise(F.lit(minimum))
+    c = F.col
+    needed = F.when(c("_copy"), F.least(F.lit(minimum), c("_source_native"))).otherwise(F.lit(minimum))
     return [
-        (~is_copy & ~body.rlike("(?m)^# .+"), "no_title"),
-        (X.script_chars(body, script) < needed, "too_little_native"),
+        (~c("_copy") & ~body.rlike("(?m)^# .+"), "no_title"),
+        (c("_native") < needed, "too_little_native"),
         (X.has_foreign_passage(body, run), "foreign_passage"),
         (X.has_placeholder(body), "placeholder"),
         (X.odd_fences(body), "odd_fences"),
@@ -95,9 +122,9 @@ def localized_rows(manifest: DataFrame, files: DataFrame, sources: DataFrame) ->
     return parsed
 
 
-def document_rules(script: str = P.NATIVE_SCRIPT, language: str = P.LOCAL_LANGUAGE, run: int = P.DOCUMENT_FOREIGN_RUN_MIN) -> list[tuple[Column, str]]:
+def document_rules(language: str = P.LOCAL_LANGUAGE, run: int = P.DOCUMENT_FOREIGN_RUN_MIN) -> list[tuple[Column, str]]:
     c = F.col
-    mode, body, source = c("meta_mode"), c("body"), X.unix_lines(c("source"))
+    mode, body = c("meta_mode"), c("body")
     present = c("document").isNotNull() & X.frontmatter_complete(c("entries"))
     header = [
         (c("document").isNull(), "file_missing"),
@@ -117,8 +144,8 @@ def document_rules(script: str = P.NATIVE_SCRIPT, language: str = P.LOCAL_LANGUA
         (F.coalesce("source_bytes", F.lit(-1)) != F.octet_length("source"), "source_bytes"),
     ]
     content = (
-        structure_rules(mode, body, source, script)
-        + prose_rules(mode, body, source, script, run=run)
+        structure_rules(body)
+        + prose_rules(body, run=run)
         + length_rules(mode, body, c("source_bytes"), c("translation_bytes"))
     )
     return header + [(present & condition, name) for condition, name in content]
@@ -128,10 +155,12 @@ def localized_validation(
     manifest: DataFrame, files: DataFrame, sources: DataFrame, script: str = P.NATIVE_SCRIPT, run: int = P.DOCUMENT_FOREIGN_RUN_MIN
 ) -> DataFrame:
     """All rule violations of every manifest row, repeated names and bodies included."""
-    rows = localized_rows(manifest, files, sources)
+    rows = with_parts(localized_rows(manifest, files, sources), "meta_mode", "body", "source", script)
     checked = rows.select(
-        "full_name", F.sha2("body", 256).alias("body_sha256"), violations(*document_rules(script, run=run)).alias("rules")
+        "full_name", F.sha2("body", 256).alias("body_sha256"), violations(*document_rules(run=run)).alias("rules")
     )
+    # three uses follow: the texts are gone over once, what stays is a narrow table
+    checked = stored(checked, "localized")
     bodies = checked.groupBy("body_sha256").agg(F.count("*").alias("same_body")).where(F.col("same_body") > 1)
     names = checked.groupBy("full_name").agg(F.count("*").alias("same_name")).where(F.col("same_name") > 1)
     joined = checked.join(bodies, "body_sha256", "left").join(names, "full_name", "left")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom import params as P
+from rankloom.functions.scalars import violations
 from rankloom.functions.text import media_tags
 from rankloom.functions.urls import absolute_target, directory_of, is_absolute, path_of, resolve_dots, rewrite_matches, unquote
 from rankloom.operators.boards import _unescape, node_text
@@ -124,21 +125,24 @@ def absolutize_links(
     return rows.select(full_name, "link.syntax", "link.target", "link.image", absolute.alias("absolute"))
 
 
-def absolutize_text(text: Column, full_name: Column, branch: Column, path: Column) -> Column:
-    """The text with relative targets made absolute, all else unchanged."""
-    labels = _image_labels(text)
+def absolutize_text(
+    documents: DataFrame, text: str, full_name: str = "full_name", branch: str = "branch", path: str = "doc_path"
+) -> DataFrame:
+    """The documents with relative link targets made absolute, all else unchanged.
+
+    One pass per syntax, each a column of its own, so that no pass is computed twice; a text
+    without the marks of a syntax skips its pass.
+    """
+    labels = F.col("_labels")
 
     def to_absolute(target: Column, image: Column) -> Column:
-        return absolute_target(target, image, full_name, branch, path)
+        return absolute_target(target, image, F.col(full_name), F.col(branch), F.col(path))
 
     def reference(m: Column) -> Column:
-        raw = F.regexp_extract(m, REFERENCE_PARTS, 3)
-        target = F.regexp_replace(raw, r"^[<>]+|[<>]+$", "")
+        target = F.regexp_replace(F.regexp_extract(m, REFERENCE_PARTS, 3), r"^[<>]+|[<>]+$", "")
         image = F.array_contains(labels, F.lower(F.trim(F.regexp_extract(m, REFERENCE_PARTS, 2))))
-        built = F.concat(
-            F.regexp_extract(m, REFERENCE_PARTS, 1), to_absolute(target, image), F.regexp_extract(m, REFERENCE_PARTS, 4)
-        )
-        return F.when(is_absolute(target), m).otherwise(built)
+        head, rest = F.regexp_extract(m, REFERENCE_PARTS, 1), F.regexp_extract(m, REFERENCE_PARTS, 4)
+        return F.when(is_absolute(target), m).otherwise(F.concat(head, to_absolute(target, image), rest))
 
     def nested(m: Column) -> Column:
         part = lambda n: F.regexp_extract(m, NESTED_IMAGE, n)
@@ -160,14 +164,22 @@ def absolutize_text(text: Column, full_name: Column, branch: Column, path: Colum
 
     def html(m: Column) -> Column:
         target = F.regexp_extract(m, HTML_TARGET, 1)
-        absolute = to_absolute(target, F.lower(F.substring(m, 1, 3)) == "src")
         head = F.regexp_extract(m, r"(?i)^((?:href|src)=[\"'])", 1)
+        absolute = to_absolute(target, F.lower(F.substring(m, 1, 3)) == "src")
         return F.concat(head, absolute, F.substring(m, -1, 1))
 
-    out = rewrite_matches(text, REFERENCE, reference)
-    out = rewrite_matches(out, NESTED_IMAGE, nested)
-    out = rewrite_matches(out, INLINE_LINK, inline)
-    return rewrite_matches(out, HTML_TARGET, html)
+    has = lambda *marks: F.expr(" OR ".join(f"contains(_text, '{m}')" for m in marks))
+    passes = (
+        (REFERENCE, reference, has("]:")),
+        (NESTED_IMAGE, nested, has("[![")),
+        (INLINE_LINK, inline, has("](")),
+        (HTML_TARGET, html, F.col("_text").rlike("(?i)(?:href|src)=")),
+    )
+    current = F.col("_text")
+    out = documents.withColumns({"_text": F.col(text), "_labels": _image_labels(F.col(text))})
+    for pattern, fn, present in passes:
+        out = out.withColumn("_text", F.when(present, rewrite_matches(current, pattern, fn)).otherwise(current))
+    return out.withColumn(text, current).drop("_text", "_labels")
 
 
 # --- rendered pages ----------------------------------------------------------------------------
@@ -180,27 +192,47 @@ def rendered_checks(rendered: DataFrame, manifest: DataFrame, section_id: str =
     translation_sha256, body). The embedded section must exist, carry the manifest's hashes
     and its own, keep every live media tag and escape none.
     """
-    from rankloom.functions.scalars import violations
-
-    joined = manifest.join(rendered, "full_name", "left")
     section = rf'(?s)(<section\b[^>]*\bid="{section_id}"[^>]*>)(.*?)</section>'
-    opening = F.regexp_extract(F.coalesce("html", F.lit("")), section, 1)
-    inner = F.regexp_extract(F.coalesce("html", F.lit("")), section, 2)
-    body = F.regexp_extract(inner, r'(?s)(<div class="localized-readme-body">.*</div>)', 1)
-    live = F.regexp_replace(inner, r"(?is)<(pre|code)\b.*?</\1\s*>", "")
-    expected = media_tags(F.col("body"))
-
-    def attribute(name: str) -> Column:
-        return F.regexp_extract(opening, rf'\bdata-{name}="([^"]*)"', 1)
-
+    html = F.coalesce("html", F.lit(""))
+    joined = manifest.select("full_name", "source_sha256", "translation_sha256", media_tags(F.col("body")).alias("expected"))
+    # each step is a column of its own: the rules use the parts many times
+    parts = (
+        joined.join(rendered, "full_name", "left")
+        .withColumns({"opening": F.regexp_extract(html, section, 1), "inner": F.regexp_extract(html, section, 2)})
+        .withColumns(
+            {
+                "rendered": F.regexp_extract("inner", r'(?s)(<div class="localized-readme-body">.*</div>)', 1),
+                "embedded": F.col("opening") != "",
+                "kept": _tags_in(F.col("inner")),
+                "escaped": _escaped_in(F.regexp_replace("inner", r"(?is)<(pre|code)\b.*?</\1\s*>", "")),
+            }
+        )
+        .withColumns({f"_{n.replace('-', '_')}": _attribute(n) for n in ("source-sha256", "translation-sha256", "rendered-sha256")})
+    )
+    c = F.col
     rules = [
-        (opening == "", "section_missing"),
-        ((opening != "") & (attribute("source-sha256") != F.col("source_sha256")), "stale_source"),
-        ((opening != "") & (attribute("translation-sha256") != F.col("translation_sha256")), "stale_translation"),
-        ((opening != "") & (attribute("rendered-sha256") != F.sha2(body, 256)), "rendered_changed"),
+        (~c("embedded"), "section_missing"),
+        (c("embedded") & (c("_source_sha256") != c("source_sha256")), "stale_source"),
+        (c("embedded") & (c("_translation_sha256") != c("translation_sha256")), "stale_translation"),
+        (c("embedded") & (c("_rendered_sha256") != F.sha2("rendered", 256)), "rendered_changed"),
     ]
     for tag in P.MEDIA_TAGS:
-        dropped = (opening != "") & F.array_contains(expected, tag) & ~inner.rlike(rf"(?i)<{tag}\b")
-        rules.append((dropped, f"dropped_{tag}"))
-        rules.append(((opening != "") & F.contains(F.lower(live), F.lit(f"&lt;{tag}")), f"escaped_{tag}"))
-    return joined.select("full_name", violations(*rules).alias("violations"))
+        dropped = F.array_contains("expected", tag) & ~F.array_contains("kept", tag)
+        rules.append((c("embedded") & dropped, f"dropped_{tag}"))
+        rules.append((c("embedded") & F.array_contains("escaped", tag), f"escaped_{tag}"))
+    return parts.select("full_name", violations(*rules).alias("violations"))
+
+
+def _attribute(name: str) -> Column:
+    return F.regexp_extract("opening", rf'\bdata-{name}="([^"]*)"', 1)
+
+
+def _tags_in(html: Column) -> Column:
+    names = "|".join(P.MEDIA_TAGS)
+    found = F.regexp_extract_all(html, F.lit(rf"(?i)<({names})\b"), F.lit(1))
+    return F.array_distinct(F.transform(found, F.lower))
+
+
+def _escaped_in(html: Column) -> Column:
+    names = "|".join(P.MEDIA_TAGS)
+    return F.array_distinct(F.transform(F.regexp_extract_all(html, F.lit(rf"(?i)&lt;({names})"), F.lit(1)), F.lower))

@@ -847,8 +847,8 @@ def absolutize_links(spark, folder):
 
 @register
 def absolutize_text(spark, folder):
-    text = L.absolutize_text(F.col("md"), F.col("full_name"), F.col("branch"), F.col("doc_path"))
-    return link_documents(spark, folder).select("full_name", F.sha2(text, 256).alias("text_sha256"))
+    rows = L.absolutize_text(link_documents(spark, folder), "md")
+    return rows.select("full_name", F.sha2("md", 256).alias("text_sha256"))
 
 
 @register

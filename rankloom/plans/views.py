@@ -18,7 +18,7 @@ from rankloom.operators.catalog import CATALOG_SCHEMA, catalog_upsert
 from rankloom.operators.edition import period_features
 from rankloom.operators.ranking import evaluate, trend_board
 from rankloom.session import stored
-from rankloom.sources.tables import read_table
+from rankloom.sources.tables import read_table, spread
 
 CAPTURE = date(2024, 1, 30)
 PRIOR = date(2024, 1, 23)
@@ -255,7 +255,11 @@ def evidence(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "documents")
+    return spread(read_table(spark, folder, "documents"), "doc_id")
+
+
+def web_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(read_table(spark, folder, "pages"), "page_id")
 
 
 def markdown(k: Column, text: Column, lang: Column) -> Column:
@@ -375,7 +379,7 @@ def board_html(spark: SparkSession, folder: str) -> DataFrame:
     broken = F.replace(boards, F.lit("<h2>"), F.lit("<h3>"))
     empty = F.concat(F.lit("<h1>Trending</h1><p>It looks like we don't have any trending repositories "), n, F.lit("</p>"))
     html = F.when(k % 10 == 7, broken).when(k % 10 == 8, empty).when(k % 10 == 9, F.col("html")).otherwise(boards)
-    return read_table(spark, folder, "pages").select("page_id", html.alias("html"))
+    return web_pages(spark, folder).select("page_id", html.alias("html"))
 
 
 def site_pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -390,7 +394,7 @@ def site_pages(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.regexp_replace("html", r'href="/([^"]*)"', 'href="https://example.org/$1"'))
     )
     outline = F.concat(F.lit('<h2 id="s'), k.cast("string"), F.lit('">About <i>'), slug, F.lit('</i></h2><h2 id="end">End</h2>'))
-    return read_table(spark, folder, "pages").select(
+    return web_pages(spark, folder).select(
         "page_id",
         F.concat(F.lit("repos/"), slug, F.lit(".html")).alias("path"),
         F.concat(html, outline).alias("html"),

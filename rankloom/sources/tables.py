@@ -21,6 +21,14 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return df
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores when the scan has fewer tasks than cores (few or unsplittable files).
+
+    A scan of many files is left as it is, so large inputs are not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """Files below ``folder`` as (path relative to it, size, modified, content)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
