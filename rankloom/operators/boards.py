@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom import params as P
+from rankloom.functions.rows import unnest
 from rankloom.functions.scalars import parse_compact_number, round2
 
 ROW = r"(?s)<article\b(?=[^>]*\bclass=\"[^\"]*\bBox-row\b)[^>]*>(.*?)</article>"
@@ -182,9 +183,9 @@ def parse_boards(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def parsed_entries(parsed: DataFrame, *keys: str) -> DataFrame:
-    """One row per ranked row of the successful pages."""
-    rows = parsed.where(F.col("status") == "success").select(*keys, F.explode("entries").alias("entry"))
-    return rows.select(*keys, "entry.*")
+    """One row per ranked row; failed pages have none. A filter on the status is left out on
+    purpose: pushed to the scan, it would parse every page once more."""
+    return unnest(parsed, F.col("entries"), "entry", *keys).select(*keys, "entry.*")
 
 
 def page_status(parsed: DataFrame, *keys: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom import params as P
+from rankloom.functions.rows import unnest
 from rankloom.functions.scalars import violations
 from rankloom.functions.text import media_tags
 from rankloom.functions.urls import absolute_target, directory_of, is_absolute, path_of, resolve_dots, rewrite_matches, unquote
@@ -34,7 +35,7 @@ def hrefs(html: Column) -> Column:
 
 def page_links(pages: DataFrame, path: str = "path", html: str = "html") -> DataFrame:
     """(page, href, target): internal links with the path they lead to."""
-    links = pages.select(F.col(path).alias("page"), F.explode(hrefs(F.col(html))).alias("href"))
+    links = unnest(pages, hrefs(F.col(html)), "href", F.col(path).alias("page"))
     internal = links.where(~F.col("href").rlike(EXTERNAL))
     target = unquote(path_of(F.col("href")))
     rooted = F.startswith(target, F.lit("/"))
@@ -61,10 +62,10 @@ def page_outline(pages: DataFrame, key: str, html: str) -> DataFrame:
     pattern = F.lit(r"(?is)<h2\b[^>]*?\sid=\"([^\"]*)\"[^>]*>(.*?)</h2>")
     ids = F.regexp_extract_all(F.col(html), pattern, F.lit(1))
     texts = F.regexp_extract_all(F.col(html), pattern, F.lit(2))
-    rows = pages.select(key, F.posexplode(F.arrays_zip(ids.alias("id"), texts.alias("text"))).alias("p", "h"))
+    rows = unnest(pages, F.arrays_zip(ids.alias("id"), texts.alias("text")), "h", key, position="position")
     return rows.select(
         key,
-        (F.col("p") + 1).alias("position"),
+        "position",
         F.col("h.id").alias("heading_id"),
         node_text(F.col("h.text")).alias("heading"),
     )
@@ -118,9 +119,7 @@ def absolutize_links(
     documents: DataFrame, text: str, full_name: str = "full_name", branch: str = "branch", path: str = "doc_path"
 ) -> DataFrame:
     """Link table: each distinct target of a document with its absolute form."""
-    rows = documents.select(
-        full_name, branch, path, F.explode(F.array_distinct(link_structs(F.col(text)))).alias("link")
-    )
+    rows = unnest(documents, F.array_distinct(link_structs(F.col(text))), "link", full_name, branch, path)
     absolute = absolute_target(F.col("link.target"), F.col("link.image"), F.col(full_name), F.col(branch), F.col(path))
     return rows.select(full_name, "link.syntax", "link.target", "link.image", absolute.alias("absolute"))
 

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankloom.functions.rows import unnest
+
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
 GRAM = 3
 
@@ -56,7 +58,7 @@ def active_references(texts: DataFrame, targets: DataFrame) -> DataFrame:
     ``texts`` is (text_id, text), ``targets`` is (target_id, target); ids are unique. A target
     of blanks only matches nothing.
     """
-    stored = texts.select("text_id", normalized(F.col("text")).alias("body"))
+    stored_texts = texts.select("text_id", normalized(F.col("text")).alias("body"))
     wanted = targets.select("target_id", normalized(F.col("target")).alias("needle")).withColumn(
         "parts", tokens(F.col("needle"))
     )
@@ -64,21 +66,21 @@ def active_references(texts: DataFrame, targets: DataFrame) -> DataFrame:
     long = wanted.where(F.size("parts") > 2).select("target_id", F.explode(F.array_distinct(inner)).alias("token"))
     short = wanted.where(F.size("parts").between(1, 2))
 
-    postings = stored.select("text_id", F.explode(F.array_distinct(tokens(F.col("body")))).alias("token"))
-    # frequencies of the targets' own tokens only; counted per task before the shuffle
-    relevant = long.select("token").distinct()
-    frequency = postings.join(relevant, "token", "left_semi").groupBy("token").agg(F.count("*").alias("texts"))
+    postings = unnest(stored_texts, F.array_distinct(tokens(F.col("body"))), "token", "text_id")
+    # counted per task before the shuffle, so what moves is vocabulary, not text
+    frequency = postings.groupBy("token").agg(F.count("*").alias("texts"))
     # an inner token that occurs nowhere rules its target out; such a target gets frequency 0
-    anchors = (
+    keys = (
         long.join(frequency, "token", "left")
         .groupBy("target_id")
         .agg(F.min_by("token", F.struct(F.coalesce("texts", F.lit(0)), "token")).alias("token"))
     )
-    keys = anchors.unionByName(_vocabulary_matches(short, postings.select("token").distinct()))
+    if not short.isEmpty():
+        keys = keys.unionByName(_vocabulary_matches(short, frequency.select("token")))
     candidates = postings.join(keys, "token").select("text_id", "target_id").distinct()
     return (
         candidates.join(wanted.select("target_id", "needle"), "target_id")
-        .join(stored, "text_id")
+        .join(stored_texts, "text_id")
         .where(F.contains("body", F.col("needle")))
         .select("text_id", "target_id")
     )

@@ -535,9 +535,9 @@ def content_audit(spark, folder):
 
 @register
 def issue_sample(spark, folder):
-    issues = U.text_lint_rules(doc_lines(spark, folder), lint_fields(), **LINT).where(~F.col("valid"))
-    rows = issues.select("doc_id", joined("violations").alias("violations"))
-    return U.issue_sample(rows, ["doc_id"], 20)
+    linted = U.text_lint_rules(doc_lines(spark, folder), lint_fields(), **LINT)
+    rows = stored(linted.select("doc_id", joined("violations").alias("violations"), "valid"), "issues")
+    return U.issue_sample(rows.where(~F.col("valid")).drop("valid"), ["doc_id"], 20)
 
 
 # --- evidence and manifests ---------------------------------------------------------------
