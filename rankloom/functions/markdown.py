@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.text import unix_lines
 
-# indent or quote marks, fence of one character, info, content, closing fence at least as long
-FENCE = r"(?ms)^([ \t>]*)(([`~])\3{2,})([^\n]*)\n(.*?)^[ \t>]*\2\3*[ \t]*$"
+# indent or quote marks, fence of one character, info, content, closing fence at least as long;
+# the info of a backtick fence has no backtick
+FENCE = (
+    r"(?ms)^([ \t>]*)(([`~])\3{2,}+)((?<=`)[^\n`]*|(?<=~)[^\n]*)\n(.*?)"
+    r"^[ \t>]*\2\3*+[ \t]*$"
+)
 OPEN_FENCE = r"(?m)^[ \t>]*(?:`{3,}[^`\n]*|~{3,}[^\n]*)$"
 ATX = r"^[ >]{0,3}#{1,6}(?=[ \t]|$)"
 SETEXT = r"^(?=[^\s#>|*+=-])[^\n]+\n {0,3}(?:=+|-+)[ \t]*$"
