@@ -34,7 +34,7 @@ def manifest_hash_verify(manifest: DataFrame, files: DataFrame) -> DataFrame:
     return manifest.join(actual, "path", "left").withColumn("outcome", outcome)
 
 
-def tree_fingerprint(hashes: DataFrame, fanout: int = 3) -> DataFrame:
+def tree_fingerprint(hashes: DataFrame, fanout: int = 4) -> DataFrame:
     """One digest for a set of files, independent of row order; ``hashes`` has (path, sha256).
 
     With ``fanout`` 0 it is the plain digest over sorted path bytes and raw file digests, for

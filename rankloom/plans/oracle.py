@@ -708,7 +708,7 @@ STATEMENTS = {
       FROM manifest m LEFT JOIN files f USING (path)""",
     "tree_fingerprint": """
       SELECT CAST(sum(n) AS BIGINT) AS files, sha256(unhex(string_agg(digest, '' ORDER BY bucket))) AS fingerprint FROM (
-        SELECT substr(sha256(path), 1, 3) AS bucket, count(*) AS n,
+        SELECT substr(sha256(path), 1, 4) AS bucket, count(*) AS n,
           sha256(unhex(string_agg(lower(hex(encode(path))) || sha256, '' ORDER BY string_split(path, '/')))) AS digest FROM files GROUP BY 1)""",
     "bind_sources": """
       SELECT m.path AS full_name, source_path, CASE WHEN actual_bytes = want THEN 'readmes/sources/' || m.sha256 || '.md' END AS source_artifact,
@@ -754,6 +754,7 @@ STATEMENTS = {
     "parse_timestamp_utc": """
       SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 2 THEN CAST(epoch(date_trunc('second', o_orderdate)) AS BIGINT) - CASE WHEN o_orderkey % 4 = 1 THEN 28800 ELSE 0 END END AS epoch FROM orders""",
     "age_days": f"SELECT full_name, CAST(date_diff('day', created_day, {C}) AS INTEGER) AS age_days, CASE WHEN date_diff('day', created_day, {C}) <= 90 THEN 'NEW_HOT' ELSE 'REVIVED_HOT' END AS hot_type FROM enriched",
+    "hot_type": f"SELECT full_name, CASE WHEN date_diff('day', created_day, {C}) <= {Q.NEW_DAYS} THEN 'NEW_HOT' ELSE 'REVIVED_HOT' END AS hot_type FROM enriched",
     "sha256": "SELECT doc_id, sha256(text) AS sha256 FROM documents",
     "byte_length": "SELECT doc_id, CAST(strlen(text) AS INTEGER) AS bytes FROM documents",
     "clamp": "SELECT c_custkey, greatest(0.0, least(100.0, c_acctbal)) AS clamped FROM customer",

@@ -727,6 +727,16 @@ def age_days(spark, folder):
     return W.enrichment(spark, folder).select("full_name", age.alias("age_days"), S.hot_type(age).alias("hot_type"))
 
 
+NEW_DAYS = 30
+
+
+@register
+def hot_type(spark, folder):
+    """With a shorter age limit than the default."""
+    age = S.age_days(F.lit(CAPTURE), F.col("created_at"))
+    return W.enrichment(spark, folder).select("full_name", S.hot_type(age, NEW_DAYS).alias("hot_type"))
+
+
 @register
 def sha256(spark, folder):
     return W.documents(spark, folder).select("doc_id", F.sha2("text", 256).alias("sha256"))
@@ -872,7 +882,7 @@ def broken_links(spark, folder):
 
 @register
 def link_audit(spark, folder):
-    """Per page: internal links, broken ones, and the media tags of its markup."""
+    """Per page path: its internal links and how many of them are broken."""
     pages = W.site_pages(spark, folder)
     links = L.page_links(pages).join(L.with_folders(pages).withColumn("known", F.lit(True)), "target", "left")
     counts = links.groupBy("page").agg(F.count("*").alias("links"), F.count_if(F.col("known").isNull()).alias("broken"))
