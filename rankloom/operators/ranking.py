@@ -107,23 +107,30 @@ def momentum_join(snapshots: DataFrame, capture: date) -> DataFrame:
     return means.withColumn("rank_momentum", momentum(F.col("previous_rank"), F.col("current_rank")))
 
 
-def trend_board(snapshots: DataFrame, capture: date) -> DataFrame:
-    """Trend components and score of every candidate of one capture.
+def trend_boards(snapshots: DataFrame, captures: list[date]) -> DataFrame:
+    """Trend components and score of every candidate of the given captures, in one pass.
 
-    One aggregate gives the measures of both snapshots; the three period percentiles come
-    from one value histogram over (period, value).
+    A snapshot row counts for its own capture, and as the previous rank for the capture that
+    follows it. One aggregate by (capture, name) gives all measures; the percentiles of all
+    captures and periods come from one value histogram.
     """
     # the explicit null check keeps all uses of the measures alike, so they share one shuffle
     rows = success_pages_only(snapshots).where(F.col("full_name").isNotNull())
-    prior = previous_snapshot_date(rows, capture).scalar()
-    is_now = F.col("capture_date") == F.lit(capture)
-    both = rows.where(is_now | (F.col("capture_date") == prior))
-    now = lambda column: F.when(is_now, column)
+    uses, needed = [], F.lit(False)
+    for capture in captures:
+        prior = previous_snapshot_date(rows, capture).scalar()
+        own, before = F.col("capture_date") == F.lit(capture), F.col("capture_date") == prior
+        needed = needed | own | before
+        for condition, now in ((own, True), (before, False)):
+            uses.append(F.when(condition, F.struct(F.lit(capture).alias("capture_date"), F.lit(now).alias("now"))))
+    used = rows.where(needed).withColumn("use", F.array_compact(F.array(*uses)))
+    used = used.select(F.explode("use").alias("use"), "full_name", "rank", "period", "period_stars")
+    now = lambda column: F.when(F.col("use.now"), column)
     measures = (
-        both.groupBy("full_name")
+        used.groupBy("use.capture_date", "full_name")
         .agg(
             F.avg(now(F.col("rank"))).alias("current_rank"),
-            F.avg(F.when(~is_now, F.col("rank"))).alias("previous_rank"),
+            F.avg(F.when(~F.col("use.now"), F.col("rank"))).alias("previous_rank"),
             F.count(now(F.col("rank"))).alias("appearance_count"),
             *[F.max(now(F.when(F.col("period") == p, F.col("period_stars")))).alias(f"{p}_stars") for p in P.PERIODS],
             *[F.max(now((F.col("period") == p).cast("int"))).alias(f"in_{p}") for p in P.PERIODS],
@@ -133,20 +140,28 @@ def trend_board(snapshots: DataFrame, capture: date) -> DataFrame:
     return score_trend(measures)
 
 
+def trend_board(snapshots: DataFrame, capture: date) -> DataFrame:
+    """The trend of one capture."""
+    return trend_boards(snapshots, [capture]).drop("capture_date")
+
+
+CANDIDATE = ("capture_date", "full_name")
+
+
 def with_period_percentiles(measures: DataFrame) -> DataFrame:
-    """Add ``<period>_percentile`` from ``<period>_stars``: one histogram for all periods,
-    then one lookup per row and period, gathered back by key."""
+    """Add ``<period>_percentile`` from ``<period>_stars``: one histogram for all captures and
+    periods, one lookup per candidate and period, gathered back by candidate."""
     long = measures.select(
-        "full_name",
+        *CANDIDATE,
         F.explode(
             F.array(*[F.struct(F.lit(p).alias("period"), F.col(f"{p}_stars").alias("stars")) for p in P.PERIODS])
         ).alias("m"),
-    ).select("full_name", "m.period", "m.stars")
-    ranked = midrank_percentile(long, ("period",), "stars")
-    wide = ranked.groupBy("full_name").agg(
+    ).select(*CANDIDATE, "m.period", "m.stars")
+    ranked = midrank_percentile(long, ("capture_date", "period"), "stars")
+    wide = ranked.groupBy(*CANDIDATE).agg(
         *[F.max(F.when(F.col("period") == p, F.col("percentile"))).alias(f"{p}_percentile") for p in P.PERIODS]
     )
-    return measures.join(wide, "full_name")
+    return measures.join(wide, list(CANDIDATE))
 
 
 def score_trend(measures: DataFrame) -> DataFrame:
@@ -159,7 +174,7 @@ def score_trend(measures: DataFrame) -> DataFrame:
     parts = {name: round2(F.col(name)) for name in P.TREND_WEIGHTS}
     exact = weighted(parts, P.TREND_WEIGHTS)
     return scored.select(
-        "full_name",
+        *CANDIDATE,
         *[parts[name].alias(name) for name in P.TREND_WEIGHTS],
         F.round(exact, 2).cast("double").alias("trend_score"),
         (exact >= P.TREND_PASS).alias("trend_pass"),
@@ -221,9 +236,9 @@ def final_score(trend: Column, quality: Column, value: Column) -> Column:
     return F.round(weighted(parts, P.FINAL_WEIGHTS), 2).cast("double")
 
 
-def candidate_enrichment(trend: DataFrame, enrichment: DataFrame) -> DataFrame:
+def candidate_enrichment(trend: DataFrame, enrichment: DataFrame, keys: tuple[str, ...] = ("full_name",)) -> DataFrame:
     """Attach trend to enrichment by key. Both sides are unique by key, so no key is hot."""
-    return enrichment.join(trend, "full_name")
+    return enrichment.join(trend, list(keys))
 
 
 def waterfall(df: DataFrame) -> DataFrame:
@@ -261,15 +276,20 @@ def evidence_union() -> Column:
     )
 
 
-def evaluate(enrichment: DataFrame, trend: DataFrame, capture: date) -> DataFrame:
-    """Evaluation record of every enriched candidate of one capture."""
-    joined = candidate_enrichment(trend, hard_filter(enrichment))
-    age = age_days(F.lit(capture), F.col("created_at"))
+def evaluate(enrichment: DataFrame, trend: DataFrame, capture: date | None = None) -> DataFrame:
+    """Evaluation record of every enriched candidate.
+
+    With ``capture`` both inputs belong to that capture; without it both have a
+    ``capture_date`` and are matched on it, too.
+    """
+    if capture is not None:
+        enrichment = enrichment.withColumn("capture_date", F.lit(capture))
+        trend = trend.withColumn("capture_date", F.lit(capture))
+    joined = candidate_enrichment(trend, hard_filter(enrichment), CANDIDATE)
+    age = age_days(F.col("capture_date"), F.col("created_at"))
     return (
         primary_period(waterfall(joined))
-        .withColumn("capture_date", F.lit(capture))
         .withColumn("repository_age_days", age)
         .withColumn("hot_type", hot_type(age))
         .withColumn("all_evidence_urls", evidence_union())
     )
-

@@ -16,7 +16,7 @@ from rankloom.functions.scalars import canonical_url
 from rankloom.operators.boards import board_rows
 from rankloom.operators.catalog import CATALOG_SCHEMA, catalog_upsert
 from rankloom.operators.edition import period_features
-from rankloom.operators.ranking import evaluate, trend_board
+from rankloom.operators.ranking import evaluate, trend_board, trend_boards
 from rankloom.session import stored
 from rankloom.sources.tables import read_table, spread
 
@@ -208,9 +208,10 @@ class Batch:
     @property
     def evaluations(self) -> DataFrame:
         if self._evaluations is None:
-            current = evaluate(self.enrichment, self.trend, CAPTURE)
-            prior = evaluate(earlier_enrichment(self.enrichment), trend_board(self.entries, PRIOR), PRIOR)
-            self._evaluations = stored(current.unionByName(prior), "evaluations", "capture_date")
+            on = lambda rows, day: rows.withColumn("capture_date", F.lit(day))
+            records = on(self.enrichment, CAPTURE).unionByName(on(earlier_enrichment(self.enrichment), PRIOR))
+            scored = evaluate(records, trend_boards(self.entries, [PRIOR, CAPTURE]))
+            self._evaluations = stored(scored, "evaluations", "capture_date")
         return self._evaluations
 
     @property
