@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LOCAL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -53,9 +54,15 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/rankloom-{name}-{uuid.uuid4().hex}"
 
 
+def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows brought together by the partition columns of a table to be written: few files per
+    value, and the rows of a large value split over tasks (adaptive rebalance)."""
+    return df.hint("rebalance", *[F.col(c) for c in columns]) if columns else df
+
+
 def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back: later uses share one
     computation, prune its columns and partitions, and survive the loss of executors."""
     path = run_folder(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    rebalanced(df, *partition_by).write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

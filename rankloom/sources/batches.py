@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rankloom import params as P
 from rankloom.functions.scalars import key_shape, parse_timestamp_utc, violations
+from rankloom.session import rebalanced
 
 ENTRY = (
     "STRUCT<rank: INT, full_name: STRING, url: STRING, description: STRING, primary_language: STRING,"
@@ -198,7 +199,8 @@ def schema_conformance(
 def write_dated(df: DataFrame, path: str, date_column: str = "capture_date") -> None:
     """Write a dated table; only the dates in ``df`` are replaced, other dates stay."""
     (
-        df.write.mode("overwrite")
+        rebalanced(df, date_column)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(date_column)
         .parquet(path)
