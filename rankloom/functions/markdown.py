@@ -19,7 +19,7 @@ FENCE = (
 )
 OPEN_FENCE = r"(?m)^[ \t>]*(?:`{3,}[^`\n]*|~{3,}[^\n]*)$"
 ATX = r"^[ >]{0,3}#{1,6}(?=[ \t]|$)"
-SETEXT = r"^(?=[^\s#>|*+=-])[^\n]+\n {0,3}(?:=+|-+)[ \t]*$"
+SETEXT = r"^(?=[^\s#>|*+=-])[^\n]++\n {0,3}(?:=+|-+)[ \t]*$"
 HEADING = f"(?m)(?:{ATX}|{SETEXT})"
 
 
