@@ -11,14 +11,22 @@ from rankloom import params as P
 from rankloom.functions.rows import unnest
 from rankloom.functions.scalars import parse_compact_number, round2
 
-ROW = r"(?s)<article\b(?=[^>]*\bclass=\"[^\"]*\bBox-row\b)[^>]*>(.*?)</article>"
-KEY_LINK = r"(?s)<h2\b[^>]*>.*?<a\b[^>]*\bhref=\"([^\"]*)\""
-ROW_TEXT = r"(?s)<p\b(?=[^>]*\bclass=\"[^\"]*\bcol-9\b)[^>]*>(.*?)</p>"
+
+
+def _with_class(name: str) -> str:
+    """Lookahead for a tag whose class list has the name."""
+    return rf'(?=[^>]*\bclass="(?:[^"]*\s)?{name}(?:\s[^"]*)?")'
+
+
+ROW = rf"(?s)<article\b{_with_class('Box-row')}[^>]*>(.*?)</article>"
+HEADING_NODE = r"(?s)<h2\b[^>]*>(.*?)</h2>"
+LINK = r'<a\b[^>]*\bhref="([^"]*)"'
+ROW_TEXT = rf"(?s)<p\b{_with_class('col-9')}[^>]*>(.*?)</p>"
 ANY_TEXT = r"(?s)<p\b[^>]*>(.*?)</p>"
-LANGUAGE = r"(?s)<span\b(?=[^>]*\bitemprop=\"programmingLanguage\")[^>]*>(.*?)</span>"
-PERIOD_NODE = r"(?s)<span\b(?=[^>]*\bclass=\"[^\"]*\bfloat-sm-right\b)[^>]*>(.*?)</span>"
-BUILDER_NODE = r"(?s)<span\b(?=[^>]*\bclass=\"[^\"]*\bd-inline-block\b)[^>]*>(.*?)</span>"
-BUILDER_ALT = r"<img\b[^>]*\balt=\"([^\"]+)\""
+LANGUAGE = r'(?s)<(\w+)\b(?=[^>]*\bitemprop="programmingLanguage")[^>]*>(.*?)</\1>'
+PERIOD_NODE = rf"(?s)<span\b{_with_class('float-sm-right')}[^>]*>(.*?)</span>"
+BUILDER_NODE = rf"(?s)<span\b{_with_class('d-inline-block')}[^>]*>(.*?)</span>"
+BUILDER_ALT = r'<img\b[^>]*\balt="([^"]+)"'
 EMPTY_BOARD = r"(?i)we don['’]t have any trending repositories|no trending repositories found"
 
 
@@ -113,9 +121,9 @@ def _unescape(text: Column) -> Column:
     return text
 
 
-def _first(markup: Column, pattern: str) -> Column:
+def _first(markup: Column, pattern: str, group: int = 1) -> Column:
     """First captured group, null when the pattern does not occur (an empty node gives '')."""
-    return F.try_element_at(F.regexp_extract_all(markup, F.lit(pattern), F.lit(1)), F.lit(1))
+    return F.try_element_at(F.regexp_extract_all(markup, F.lit(pattern), F.lit(group)), F.lit(1))
 
 
 def _link_text(markup: Column, full_name: Column, leaf: str) -> Column:
@@ -127,7 +135,8 @@ def _link_text(markup: Column, full_name: Column, leaf: str) -> Column:
 
 
 def _row_key(markup: Column) -> Column:
-    full_name = F.regexp_replace(_unescape(_first(markup, KEY_LINK)), "^/+|/+$", "")
+    headings = F.array_join(F.regexp_extract_all(markup, F.lit(HEADING_NODE), F.lit(1)), " ")
+    full_name = F.regexp_replace(_unescape(_first(headings, LINK)), "^/+|/+$", "")
     return F.struct(full_name.alias("full_name"), _first(markup, PERIOD_NODE).alias("period_node"), markup.alias("markup"))
 
 
@@ -147,7 +156,7 @@ def _row_struct(row: Column, position: Column) -> Column:
         F.coalesce(node_text(F.coalesce(_first(markup, ROW_TEXT), _first(markup, ANY_TEXT))), F.lit("")).alias(
             "description"
         ),
-        node_text(_first(markup, LANGUAGE)).alias("primary_language"),
+        node_text(_first(markup, LANGUAGE, 2)).alias("primary_language"),
         F.coalesce(parse_compact_number(_link_text(markup, full_name, "stargazers")), F.lit(0)).alias("total_stars"),
         F.coalesce(parse_compact_number(_link_text(markup, full_name, "forks")), F.lit(0)).alias("total_forks"),
         F.when(period_text != "", parse_compact_number(period_text)).alias("period_stars"),

@@ -16,6 +16,10 @@ def catalog_version(spark: SparkSession, folder: str, before: int | None = None)
     return spark.read.schema(CATALOG_SCHEMA).parquet(f"{folder}/version={max(versions)}")
 
 
+def next_version(spark: SparkSession, folder: str) -> int:
+    return max(_versions(spark, folder), default=-1) + 1
+
+
 def _versions(spark: SparkSession, folder: str) -> list[int]:
     """Numbers of the versions whose write was completed."""
     jvm = spark.sparkContext._jvm
