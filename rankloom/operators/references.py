@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.rows import unnest
+from rankloom.session import stored
 
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
 GRAM = 3
+BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
 def normalized(text: Column) -> Column:
@@ -52,13 +54,16 @@ def _sized(token: Column) -> Column:
     return F.struct(F.length(token).alias("length"), token.alias("token"))
 
 
-def active_references(texts: DataFrame, targets: DataFrame) -> DataFrame:
+def active_references(texts: DataFrame, targets: DataFrame, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """(text_id, target_id) for each text that contains the target, ignoring case and slash style.
 
     ``texts`` is (text_id, text), ``targets`` is (target_id, target); ids are unique. A target
     of blanks only matches nothing.
+
+    The anchors are stored and measured. Up to ``broadcast_limit`` bytes they go to the texts:
+    tokens, join and check are then one stage over the texts, which are not moved. Beyond it,
+    token postings are joined by shuffle, and the candidate pairs are joined with the texts.
     """
-    stored_texts = texts.select("text_id", normalized(F.col("text")).alias("body"))
     wanted = targets.select("target_id", normalized(F.col("target")).alias("needle")).withColumn(
         "parts", tokens(F.col("needle"))
     )
@@ -66,9 +71,9 @@ def active_references(texts: DataFrame, targets: DataFrame) -> DataFrame:
     long = wanted.where(F.size("parts") > 2).select("target_id", F.explode(F.array_distinct(inner)).alias("token"))
     short = wanted.where(F.size("parts").between(1, 2))
 
-    postings = unnest(stored_texts, F.array_distinct(tokens(F.col("body"))), "token", "text_id")
+    bodies = texts.select("text_id", normalized(F.col("text")).alias("body"))
     # counted per task before the shuffle, so what moves is vocabulary, not text
-    frequency = postings.groupBy("token").agg(F.count("*").alias("texts"))
+    frequency = _postings(bodies).groupBy("token").agg(F.count("*").alias("texts"))
     # an inner token that occurs nowhere rules its target out; such a target gets frequency 0
     keys = (
         long.join(frequency, "token", "left")
@@ -77,10 +82,21 @@ def active_references(texts: DataFrame, targets: DataFrame) -> DataFrame:
     )
     if not short.isEmpty():
         keys = keys.unionByName(_vocabulary_matches(short, frequency.select("token")))
-    candidates = postings.join(keys, "token").select("text_id", "target_id").distinct()
+    anchors = stored(keys.join(wanted.select("target_id", "needle"), "target_id"), "anchors")
+
+    width = F.octet_length("token") + F.octet_length("needle") + 64
+    if (anchors.agg(F.sum(width)).first()[0] or 0) <= broadcast_limit:
+        matched = _postings(bodies, "body").join(F.broadcast(anchors), "token")
+        return matched.where(F.contains("body", F.col("needle"))).select("text_id", "target_id").distinct()
+    pairs = _postings(bodies).join(anchors, "token").select("text_id", "target_id", "needle").distinct()
+    # the text is normalized after the join, for candidates only
     return (
-        candidates.join(wanted.select("target_id", "needle"), "target_id")
-        .join(stored_texts, "text_id")
-        .where(F.contains("body", F.col("needle")))
+        pairs.join(texts.select("text_id", "text"), "text_id")
+        .where(F.contains(normalized(F.col("text")), F.col("needle")))
         .select("text_id", "target_id")
     )
+
+
+def _postings(bodies: DataFrame, *keep: str) -> DataFrame:
+    """(text_id, token) for each distinct token of a text."""
+    return unnest(bodies, F.array_distinct(tokens(F.col("body"))), "token", "text_id", *keep)

@@ -126,8 +126,8 @@ def test_references_against_all_pairs(spark):
     targets = [(i, text(rnd.randint(1, 4))) for i in range(60)] + [(90, "PROOF\\run-2026/rollback-test"), (91, "un"), (92, "-"), (93, "t n"), (94, " "), (95, "//")]
     norm = lambda s: s.replace("\\", "/").lower()
     want = {(i, j) for i, t in texts for j, p in targets if p.strip() and norm(p) in norm(t)}
-    got = A.active_references(
-        spark.createDataFrame(texts, "text_id INT, text STRING"), spark.createDataFrame(targets, "target_id INT, target STRING")
-    ).collect()
-    assert len(got) == len(set(map(tuple, got)))
-    assert set(map(tuple, got)) == want
+    frames = spark.createDataFrame(texts, "text_id INT, text STRING"), spark.createDataFrame(targets, "target_id INT, target STRING")
+    for limit in (A.BROADCAST_LIMIT, 0):
+        got = A.active_references(*frames, broadcast_limit=limit).collect()
+        assert len(got) == len(set(map(tuple, got)))
+        assert set(map(tuple, got)) == want
