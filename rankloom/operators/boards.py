@@ -214,18 +214,23 @@ def success_pages_only(rows: DataFrame) -> DataFrame:
 
 
 def consolidate(entries: DataFrame, by: tuple[str, ...] = ("capture_date", "full_name")) -> DataFrame:
-    """One row per candidate: first-seen attributes in (page, rank) order, highest totals,
-    and every appearance. A key appears on a board of limited length, so the appearance
-    list is limited by the number of pages of one capture, not by the data."""
+    """One row per candidate: first-seen attributes in (page, rank) order, highest totals and the
+    number of appearances. All of it is combined per task before the shuffle; the appearances
+    themselves stay rows (see ``appearances``), so a candidate on very many pages is no burden."""
     seen = F.struct("url", "description", "primary_language")
-    appearance = F.struct("page_no", "rank", "scope", "period", "period_stars", "source_url", "raw_sha256")
     grouped = success_pages_only(entries).groupBy(*by).agg(
         F.min_by(seen, F.struct("page_no", "rank")).alias("seen"),
         F.max("total_stars").alias("total_stars"),
         F.max("total_forks").alias("total_forks"),
-        F.array_sort(F.collect_list(appearance)).alias("appearances"),
+        F.count("*").alias("appearance_count"),
     )
-    return grouped.select(*by, "seen.*", "total_stars", "total_forks", "appearances")
+    return grouped.select(*by, "seen.*", "total_stars", "total_forks", "appearance_count")
+
+
+def appearances(entries: DataFrame) -> DataFrame:
+    """Every appearance of every candidate on a successful page, one per row."""
+    columns = ("page_no", "scope", "period", "rank", "period_stars", "source_url", "raw_sha256")
+    return success_pages_only(entries).select("capture_date", "full_name", *columns)
 
 
 def candidate_measures(entries: DataFrame, by: tuple[str, ...] = ("capture_date", "full_name")) -> DataFrame:

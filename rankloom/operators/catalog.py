@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom import params as P
@@ -167,7 +167,7 @@ def normalized_projection(evaluations: DataFrame) -> DataFrame:
 
 
 def history_desc(dated: DataFrame) -> DataFrame:
-    """Distinct dates, newest first, each with a flag for the latest. Dates are few: one row a day."""
+    """Distinct dates, newest first, each with a flag for the latest."""
+    latest = dated.agg(F.max("capture_date")).scalar()
     dates = dated.select("capture_date").distinct()
-    order = Window.orderBy(F.desc("capture_date"))
-    return dates.withColumn("position", F.row_number().over(order)).withColumn("latest", F.col("position") == 1)
+    return dates.withColumn("latest", F.col("capture_date") == latest).orderBy(F.desc("capture_date"))

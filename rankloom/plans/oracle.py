@@ -527,12 +527,14 @@ STATEMENTS = {
     "page_hash_manifest": "SELECT page_id, sha256(html) AS sha256, CAST(strlen(html) AS INTEGER) AS bytes FROM pages",
     "consolidate": """
       SELECT capture_date, full_name, s.url AS url, s.description AS description, s.primary_language AS primary_language,
-        total_stars, total_forks, appearances FROM (
+        total_stars, total_forks, appearance_count FROM (
         SELECT capture_date, full_name,
           min_by({'url': url, 'description': description, 'primary_language': primary_language}, page_no * 1000 + rank) AS s,
-          max(total_stars) AS total_stars, max(total_forks) AS total_forks,
-          string_agg(scope || ':' || period || ':' || rank, ',' ORDER BY page_no, rank) AS appearances
+          max(total_stars) AS total_stars, max(total_forks) AS total_forks, count(*) AS appearance_count
         FROM good GROUP BY ALL)""",
+    "appearances": """
+      SELECT capture_date, full_name, page_no, scope, period, rank, period_stars, source_url,
+        sha256(source_url || CAST(capture_date AS VARCHAR)) AS raw_sha256 FROM good""",
     "average_rank": f"SELECT capture_date, full_name, {round2('avg(rank)')} AS average_rank FROM good GROUP BY ALL",
     "period_max_pivot": "SELECT capture_date, full_name, "
     + ", ".join(f"max(period_stars) FILTER (period = '{p}') AS {p}_stars" for p in P.PERIODS)
@@ -607,9 +609,7 @@ STATEMENTS = {
         FROM catalog c LEFT JOIN (SELECT {name('doc_id')} AS full_name, {sub(f"split_part({section('md', 'Summary')}, {N} || {N}, 1)", STRIP)} AS line FROM md_docs) d USING (full_name)
         LEFT JOIN enriched e USING (full_name))""",
     "normalized_projection": "SELECT capture_date, full_name, grade, trend_score, quality_total AS quality_score, value_total AS value_score, final_score FROM evals",
-    "history_desc": """
-      SELECT day AS capture_date, CAST(row_number() OVER (ORDER BY day DESC) AS INTEGER) AS position, row_number() OVER (ORDER BY day DESC) = 1 AS latest
-      FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)""",
+    "history_desc": "SELECT DISTINCT CAST(o_orderdate AS DATE) AS capture_date, CAST(o_orderdate AS DATE) = (SELECT max(CAST(o_orderdate AS DATE)) FROM orders) AS latest FROM orders",
     "period_features": "SELECT * FROM features",
     "edition_stats": f"""
       SELECT {C} AS capture_date, (SELECT count(*) FROM board_pages WHERE capture_date = {C}) AS pages,

@@ -96,11 +96,12 @@ def success_pages_only(spark, folder):
 
 @register
 def consolidate(spark, folder):
-    seen = F.transform("appearances", lambda a: F.concat_ws(":", a["scope"], a["period"], a["rank"].cast("string")))
-    return B.consolidate(W.board_entries(spark, folder)).select(
-        "capture_date", "full_name", "url", "description", "primary_language", "total_stars", "total_forks",
-        joined(seen).alias("appearances"),
-    )
+    return B.consolidate(W.board_entries(spark, folder))
+
+
+@register
+def appearances(spark, folder):
+    return B.appearances(W.board_entries(spark, folder))
 
 
 @register

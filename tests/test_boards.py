@@ -84,7 +84,9 @@ def test_consolidation_keeps_first_seen_and_all_appearances(spark):
     ]
     (item,) = B.consolidate(entries(spark, rows)).collect()
     assert (item.description, item.primary_language, item.total_stars) == ("first", None, 9)
-    assert [(a.scope, a.rank, a.period_stars) for a in item.appearances] == [("global", 7, None), ("python", 4, 5)]
+    assert item.appearance_count == 2
+    seen = B.appearances(entries(spark, rows)).orderBy("page_no").collect()
+    assert [(a.scope, a["rank"], a.period_stars) for a in seen] == [("global", 7, None), ("python", 4, 5)]
 
 
 def test_measures_of_a_full_matrix(spark):
