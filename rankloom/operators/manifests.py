@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.operators.rules import symmetric_difference
+from rankloom.session import stored
+
+BROADCAST_LIMIT = 64 * 1024 * 1024
+KEY_BYTES = 128
 
 
 def latest_manifest(commits: DataFrame) -> DataFrame:
@@ -89,23 +93,41 @@ def manifest_source_join(manifest: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def incremental_by_hash(
-    inputs: DataFrame, store: DataFrame, render: Callable[[Column], Column], version: str, text: str = "text"
+    inputs: DataFrame,
+    store: DataFrame,
+    render: Callable[[Column], Column],
+    version: str,
+    text: str = "text",
+    broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Stored results where the content hash is known, computed ones elsewhere.
 
     ``store`` is (content_key, output, output_sha256). A stored row whose own hash is wrong
-    is a miss. ``coalesce`` evaluates ``render`` for misses only.
+    is a miss. The result has the input columns but the text, and content_key, hit, output.
+
+    The texts are hashed to a narrow table first; known keys take their output from the store
+    without the text. Missing keys are measured: a short list is broadcast to the texts, a
+    long one is matched by shuffle.
     """
     key = F.sha2(F.concat(F.lit(version + "\n"), F.col(text)), 256)
+    others = [c for c in inputs.columns if c != text]
+    keyed = stored(inputs.select(*others, key.alias("content_key")), "content_keys")
     sound = (
         store.where(F.sha2("output", 256) == F.col("output_sha256"))
         .groupBy("content_key")
-        .agg(F.max("output").alias("stored"))
+        .agg(F.max("output").alias("output"))
+    )
+    missing = stored(
+        keyed.select("content_key").distinct().join(sound.select("content_key"), "content_key", "left_anti"), "missing_keys"
+    )
+    short = missing.count() * KEY_BYTES <= broadcast_limit
+    computed = (
+        inputs.withColumn("content_key", key)
+        .join(F.broadcast(missing) if short else missing, "content_key", "left_semi")
+        .select(*others, "content_key", F.lit(False).alias("hit"), render(F.col(text)).alias("output"))
     )
-    joined = inputs.withColumn("content_key", key).join(sound, "content_key", "left")
-    return joined.withColumn("hit", F.col("stored").isNotNull()).withColumn(
-        "output", F.coalesce(F.col("stored"), render(F.col(text)))
-    ).drop("stored")
+    known = keyed.join(sound, "content_key").select(*others, "content_key", F.lit(True).alias("hit"), "output")
+    return known.unionByName(computed)
 
 
 def incremental_summary(results: DataFrame) -> DataFrame:

@@ -63,9 +63,10 @@ def test_incremental_equals_full(spark):
     assert tuple(M.incremental_summary(full).select("rows", "misses", "hits").first()) == (5, 3, 2)
     store = full.select("content_key", "output", F.sha2("output", 256).alias("output_sha256")).distinct()
     damaged = store.withColumn("output", F.when(F.col("output") == "C", "damaged").otherwise(F.col("output")))
-    again = M.incremental_by_hash(inputs, damaged, render, "v1")
-    assert sorted(r.output for r in again.collect()) == ["A", "B", "B", "C", "C"]
-    assert {r.text: r.hit for r in again.collect()} == {"a": True, "b": True, "c": False}
+    for limit in (M.BROADCAST_LIMIT, 0):
+        again = M.incremental_by_hash(inputs, damaged, render, "v1", broadcast_limit=limit).collect()
+        assert sorted(r.output for r in again) == ["A", "B", "B", "C", "C"]
+        assert {r.output: r.hit for r in again} == {"A": True, "B": True, "C": False}
     assert not any(r.hit for r in M.incremental_by_hash(inputs, store, render, "v2").collect())
 
 
