@@ -10,7 +10,7 @@ import re
 
 from rankloom import params as P
 from rankloom.plans import queries as Q
-from rankloom.plans.views import CAPTURE, EVENT_SCOPES, KINDS, PRIOR, SCOPES, SCRIPT, TOP
+from rankloom.plans.views import CAPTURE, KINDS, PRIOR, SCOPES, SCRIPT, TOP
 
 C, B = f"DATE '{CAPTURE}'", f"DATE '{PRIOR}'"
 
