@@ -30,3 +30,25 @@ def op10_packing(spark, folder):
     from rankloom.llm.packing import pack
 
     return pack(read(spark, folder, "documents"), with_ids=False)
+
+
+@register
+def op9_quality_rules(spark, folder):
+    from rankloom.llm.quality_rules import fit, quality_report
+
+    docs = read(spark, folder, "documents")
+    return quality_report(docs, fit(docs, read(spark, folder, "labels")))
+
+
+@register
+def op1_license_scan(spark, folder):
+    from rankloom.llm.license_scan import license_scan
+
+    return license_scan(read(spark, folder, "documents"))
+
+
+@register
+def op8_html_extraction(spark, folder):
+    from rankloom.llm.html_text import main_text
+
+    return main_text(read(spark, folder, "pages"))
