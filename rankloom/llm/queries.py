@@ -52,3 +52,10 @@ def op8_html_extraction(spark, folder):
     from rankloom.llm.html_text import main_text
 
     return main_text(read(spark, folder, "pages"))
+
+
+@register
+def op5_decontamination(spark, folder):
+    from rankloom.llm.decontamination import overlaps
+
+    return overlaps(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
