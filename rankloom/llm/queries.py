@@ -59,3 +59,11 @@ def op5_decontamination(spark, folder):
     from rankloom.llm.decontamination import overlaps
 
     return overlaps(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@register
+def op7_near_duplicates(spark, folder):
+    """Three-word shingles and 85 percent, as the query asks."""
+    from rankloom.llm.near_duplicates import near_duplicates
+
+    return near_duplicates(read(spark, folder, "documents"), width=3, percent=85).drop("text_key")
