@@ -67,3 +67,10 @@ def op7_near_duplicates(spark, folder):
     from rankloom.llm.near_duplicates import near_duplicates
 
     return near_duplicates(read(spark, folder, "documents"), width=3, percent=85).drop("text_key")
+
+
+@register
+def op2_suffix_dedup(spark, folder):
+    from rankloom.llm.suffix_dedup import suffix_dedup
+
+    return suffix_dedup(read(spark, folder, "documents"), with_text=False).drop("tie")
