@@ -6,10 +6,9 @@ generator seeded by (seed, bucket), and numbers its rows. The buckets' row count
 those numbers into one gapless position over all records; position ``p`` goes to slot ``p // shards`` of
 shard ``p % shards``, so the shards' row counts differ by one at most (law ``rows``).
 
-No bucket depends on a value that many rows share: the hash takes the record's key and the number of
-its input partition, so copies of a text, or a key that a third of the rows hold, spread over all buckets.
-A repeated task sees the same partition and makes the same choice. The result follows from the seed
-and the layout of the input's files.
+No bucket depends on a value that many rows share: the hash takes the whole record, so copies of a text, or
+a key that a third of the rows hold, spread over all buckets. A repeated task makes the same choice. The
+result follows from the seed and the rows alone, whatever the layout of the input.
 """
 
 from __future__ import annotations
@@ -53,14 +52,14 @@ def external_shuffle(df: DataFrame, key: str = "doc_id", text: str = "text", sha
     scattered = (
         df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("record"))
         .withColumn("key", F.col(f"record.`{key}`"))
-        .withColumn("bucket", bucket_of(seed, n, "key", F.spark_partition_id()))
+        .withColumn("tie", F.xxhash64(*every))
+        .withColumn("bucket", bucket_of(seed, n, "tie"))
     )
     numbers = scattered.groupBy("bucket").agg(F.count("*").alias("rows"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = numbers.select("bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
-    keyed = scattered.withColumn("tie", F.xxhash64(*every))
-    schema = T.StructType([keyed.schema["record"], keyed.schema["bucket"], T.StructField("place", T.LongType())])
-    placed = keyed.groupBy("bucket").applyInArrow(_shuffled(seed), schema)
+    schema = T.StructType([scattered.schema["record"], scattered.schema["bucket"], T.StructField("place", T.LongType())])
+    placed = scattered.groupBy("bucket").applyInArrow(_shuffled(seed), schema)
     joined = placed.join(F.broadcast(offsets) if n <= BROADCAST_BUCKETS else offsets, "bucket")
     position = F.col("offset") + F.col("place")
     return joined.select(

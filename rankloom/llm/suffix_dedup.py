@@ -348,7 +348,7 @@ def suffix_dedup(docs: DataFrame, with_text: bool = True, group_bytes: int = GRO
     total = total_bytes(docs)
     groups, grams, buckets = parts(total, group_bytes), parts(total, 2 * bucket_bytes), parts(total, bucket_bytes)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    dealt = docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).withColumn("g", bucket_of(2, groups, "doc_id", "tie", F.spark_partition_id()).cast("long"))
+    dealt = docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).withColumn("g", bucket_of(2, groups, "doc_id", "tie").cast("long"))
     by_group = dealt.groupBy("g")
     counts = by_group.applyInArrow(_count(grams), "bucket long, g long, grams binary, counts binary")
     known = counts.groupBy("bucket").applyInArrow(_repeating(hot), "g long, kind int, data binary")
