@@ -74,3 +74,10 @@ def op2_suffix_dedup(spark, folder):
     from rankloom.llm.suffix_dedup import suffix_dedup
 
     return suffix_dedup(read(spark, folder, "documents"), with_text=False).drop("tie")
+
+
+@register
+def op6_lm_scores(spark, folder):
+    from rankloom.llm.language_model import lm_scores
+
+    return lm_scores(read(spark, folder, "documents"))
