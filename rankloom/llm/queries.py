@@ -73,7 +73,7 @@ def op7_near_duplicates(spark, folder):
 def op2_suffix_dedup(spark, folder):
     from rankloom.llm.suffix_dedup import suffix_dedup
 
-    return suffix_dedup(read(spark, folder, "documents"), with_text=False).drop("tie")
+    return suffix_dedup(read(spark, folder, "documents"), with_text=False)
 
 
 @register
@@ -81,3 +81,11 @@ def op6_lm_scores(spark, folder):
     from rankloom.llm.language_model import lm_scores
 
     return lm_scores(read(spark, folder, "documents"))
+
+
+@register
+def op3_quality_classifier(spark, folder):
+    from rankloom.llm.quality_classifier import fit, quality_scores
+
+    docs = read(spark, folder, "documents")
+    return quality_scores(docs, fit(docs))

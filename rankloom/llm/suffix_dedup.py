@@ -306,7 +306,7 @@ def _removed(with_text: bool):
     """A group's documents without the bytes that repeated windows cover."""
 
     def run(table: pa.Table, lists: pa.Table) -> pa.Table:
-        names = ["doc_id", "tie", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
         own = Group(table) if len(table) else None
         rows: list[list] = [[] for _ in names]
         if own:
@@ -330,29 +330,47 @@ def _removed(with_text: bool):
                 lost = int(mask.sum())
                 kept = np.frombuffer(text, np.uint8)[~mask].tobytes() if lost else text
                 spans = int(mask[0]) + int((mask[1:] & ~mask[:-1]).sum()) if lost else 0
-                row = (source[own.order[k]], int(own.tie[k]), z - a, lost, spans, sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None)
+                row = (source[own.order[k]], z - a, lost, spans, sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None)
                 for column, value in zip(rows, row):
                     column.append(value)
-        types = [table.schema.field("doc_id").type, *[pa.int64()] * 4, pa.string(), pa.string()]
+        types = [table.schema.field("doc_id").type, *[pa.int64()] * 3, pa.string(), pa.string()]
         out = pa.table([pa.array(r, t) for r, t in zip(rows, types)], names=names)
-        return out if with_text else out.drop_columns(["kept_text"])
+        if not with_text:
+            return out.drop_columns(["kept_text"])
+        order = pa.array(own.order if own else [], pa.int64())
+        return out.append_column("record", table.column("record").take(order))
 
     return run
 
 
 def suffix_dedup(docs: DataFrame, with_text: bool = True, group_bytes: int = GROUP_BYTES, bucket_bytes: int = BUCKET_BYTES, hot: int = HOT) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept_text for every row.
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 for every row; with ``with_text`` also kept_text and the
+    other columns of ``docs`` as struct ``record``.
 
     ``kept_sha256`` is of the remaining bytes; ``kept_text`` is these bytes as text, without characters that a cut
-    left in part. The result also has ``tie``, the hash of the text that came in."""
+    left in part."""
     total = total_bytes(docs)
     groups, grams, buckets = parts(total, group_bytes), parts(total, 2 * bucket_bytes), parts(total, bucket_bytes)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    dealt = docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).withColumn("g", bucket_of(2, groups, "doc_id", "tie").cast("long"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")] if with_text else []
+    carried = [F.struct(F.lit(None).cast("int").alias("_"), *others).alias("record")] if with_text else []
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"), *carried)
+    dealt = keyed.withColumn("g", bucket_of(2, groups, "doc_id", "tie").cast("long"))
     by_group = dealt.groupBy("g")
     counts = by_group.applyInArrow(_count(grams), "bucket long, g long, grams binary, counts binary")
     known = counts.groupBy("bucket").applyInArrow(_repeating(hot), "g long, kind int, data binary")
     records = by_group.cogroup(known.groupBy("g")).applyInArrow(_records(buckets), "bucket long, g long, records binary, bodies binary")
     found = records.groupBy("bucket").applyInArrow(_sorted_bucket, "g long, kind int, data binary")
-    schema = f"doc_id {kind}, tie long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string" if with_text else "")
+    schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    if with_text:
+        schema += f", kept_text string, record {dealt.schema['record'].dataType.simpleString()}"
     return by_group.cogroup(known.unionByName(found).groupBy("g")).applyInArrow(_removed(with_text), schema)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """All rows and columns of ``docs``, texts without their repeats; ``n_chars``, if there, follows the text."""
+    done = suffix_dedup(docs)
+    own = {"doc_id": F.col("doc_id"), "text": F.col("kept_text")}
+    if "n_chars" in docs.columns:
+        own["n_chars"] = F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)
+    return done.select(*[own.get(c, F.col(f"record.`{c}`")).alias(c) for c in docs.columns])
