@@ -260,7 +260,7 @@ def start(vocabulary: DataFrame) -> Model:
     discount = np.where(signature, (once + 0.5) / (once + 2 * twice + 1), 0.0)
     n = n + signature  # an unknown word of a class without any is possible too
     with np.errstate(divide="ignore"):
-        unknown = np.log10((discount * v + signature) / n, where=n > 0, out=np.full(CLASSES, -np.inf))
+        unknown = np.log10((discount * v + signature) / np.maximum(n, 1e-300))
     frequent = np.array([r["hash"] % (1 << 64) for r in top], np.uint64)
     bias = np.log(np.maximum(n, 0.5) / max(n.sum(), 1)).astype(np.float32)
     return Model(frequent, tokens, distinct, discount, n, unknown, bias, np.zeros((3 * TABLE, CLASSES), np.float32))

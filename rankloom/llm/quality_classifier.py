@@ -29,7 +29,7 @@ from rankloom.llm.words import SPACE, Words, mix, words_of
 FIT_DOCUMENTS = 8192
 DIMENSIONS = 1 << 18
 EPOCHS, RATE, SHRINK = 6, 0.5, 1e-6
-ROUNDS, PRIOR = 60, 2.0
+ROUNDS, PRIOR, OWN_FAULT = 60, 2.0, 0.98
 BLOCK = 2 << 20
 GOOD, BAD, NONE = 1, 2, 0
 
@@ -163,7 +163,7 @@ def posteriors(code: np.ndarray, count: np.ndarray, labellers: int) -> np.ndarra
 
     There is one kind of good document and, since most labellers know a single fault and find the others good, one kind
     of bad document per labeller. Each kind has a share and, for every labeller, the rates of its two votes; an
-    abstention says nothing."""
+    abstention says nothing. A labeller finds its own fault in ``OWN_FAULT`` of the cases or more."""
     votes = votes_of(code, labellers)
     bad = votes == BAD
     share = np.where(bad.any(1)[:, None], np.hstack([np.full((len(code), 1), 0.1), 0.9 * bad / np.maximum(bad.sum(1), 1)[:, None]]), 0.01 / labellers)
@@ -174,6 +174,9 @@ def posteriors(code: np.ndarray, count: np.ndarray, labellers: int) -> np.ndarra
         size = weight.sum(0)
         given = np.einsum("ic,ijk->cjk", weight, one_hot)
         rate = (given + PRIOR / 2) / (given.sum(2, keepdims=True) + PRIOR)
+        own = np.arange(labellers)
+        rate[own + 1, own, 1] = np.maximum(rate[own + 1, own, 1], OWN_FAULT)
+        rate[own + 1, own, 0] = 1 - rate[own + 1, own, 1]
         logs = np.log((size + 1) / (size.sum() + 1 + labellers)) + np.einsum("ijk,cjk->ic", one_hot, np.log(rate))
         share = np.exp(logs - logs.max(1, keepdims=True))
         share /= share.sum(1, keepdims=True)
