@@ -9,9 +9,10 @@ within the distance up to ``SIGMAS`` standard deviations.
 
 Documents with equal sets are one node. In each key, every node is first paired with the key's least node,
 and its most frequent partner is verified on the full sets; that gives most of a group its class without
-pairs inside it. Then all pairs of a key whose nodes are still in different classes are compared by
-signature and, where these agree enough, on the full sets. Pairs within one class need no look, since they
-cannot change it. No key, group or class is capped.
+pairs inside it. Keys whose nodes are still in different classes are joined into families, and each family is
+compared exactly: its sets are dealt to blocks of ``BLOCK_SHINGLES``, and each pair of blocks counts intersections by an
+inverted index in one task, which returns only links that join two classes. Pairs within one class need no
+look, since they cannot change it. No key, group or class is capped, and pairs never become rows.
 
 Null and empty texts have no set, are linked with nothing and kept. Rows without doc_id likewise. Rows
 of one doc_id with different texts are linked as separate documents. Other columns are not read.
@@ -34,6 +35,8 @@ from rankloom.llm.words import mix, words_of
 from rankloom.session import stored
 
 WIDTH, PERCENT = 5, 80
+#: Shingles of a block; a task holds two blocks, or two documents if these are longer.
+BLOCK_SHINGLES = 2 << 20
 K = 128
 SIGMAS = 5.3
 BLOCK = 2 << 20
@@ -45,11 +48,13 @@ _TERMS = _SEEDS.integers(1, 2**63, K, dtype=np.uint64)
 
 def layout(percent: int) -> tuple[int, int]:
     """(chunks, places in a chunk) for a similarity threshold."""
-    rows = 5 if percent >= 85 else 4
     wrong = 1 - percent / 100
+    rows = min(5, int(0.8 / wrong + 1e-9))
     chunks = 1
-    while 2 * chunks - 1 < wrong * rows * chunks + SIGMAS * math.sqrt(wrong * (1 - wrong) * rows * chunks) and rows * (chunks + 1) <= K:
+    while 2 * chunks - 1 < wrong * rows * chunks + SIGMAS * math.sqrt(wrong * (1 - wrong) * rows * chunks):
         chunks += 1
+    if rows < 2 or rows * chunks > K:
+        raise ValueError(f"no layout for a similarity of {percent} percent")
     return chunks, rows
 
 
@@ -141,22 +146,6 @@ def _index(chunks: int, rows: int):
     return run
 
 
-def _close(percent: int):
-    """Pairs whose signatures and set sizes allow the similarity."""
-    j = percent / 100
-    least = (j - SIGMAS * math.sqrt(j * (1 - j) / K)) * K
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if len(b):
-                equal = (_matrix(b.column("sign_a")) == _matrix(b.column("sign_b"))).sum(1)
-                n, m = b.column("n_a").to_numpy(), b.column("n_b").to_numpy()
-                fits = (equal >= least) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-                yield b.select(["a", "b"]).filter(pa.array(fits))
-
-    return run
-
-
 def _confirm(width: int, percent: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -185,6 +174,103 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, p
     return both.mapInArrow(_confirm(width, percent), "a long, b long").distinct()
 
 
+def joining_links(left: list[np.ndarray], right: list[np.ndarray] | None, class_left: np.ndarray, class_right: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs (place in left, place in right) of similar sets that join classes, as few as join all that can be.
+
+    Without ``right``, pairs within ``left``. The members of the largest class are compared with others, not
+    among themselves."""
+    inside = right is None
+    if inside:
+        right, class_right = left, class_left
+    distinct, number = np.unique(np.concatenate([class_left, class_right]), return_inverse=True)
+    parent = np.arange(len(distinct))
+    mine, theirs = number[: len(left)], number[len(left) :]
+
+    def root(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    largest = np.bincount(number).argmax()
+    swap = False
+    if not inside and (mine != largest).sum() > (theirs != largest).sum():
+        left, right, mine, theirs, swap = right, left, theirs, mine, True
+    size = np.array([len(x) for x in right], np.int64)
+    key = np.concatenate(right) if right else np.zeros(0, np.uint64)
+    order = np.argsort(key, kind="stable")
+    owner = np.repeat(np.arange(len(right)), size)[order]
+    known, first = np.unique(key[order], return_index=True)
+    edges = np.append(first, len(key))
+    links = []
+
+    def compare(x: int, among: np.ndarray) -> None:
+        own = left[x]
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        at = at[known[at] == own]
+        if not len(at):
+            return
+        start, count = edges[at], edges[at + 1] - edges[at]
+        after = np.cumsum(count)
+        places = np.repeat(start - (after - count), count) + np.arange(after[-1])
+        both = np.bincount(owner[places], minlength=len(right))
+        for y in np.flatnonzero((100 * both >= percent * (len(own) + size - both)) & among & (both > 0)).tolist():
+            a, b = root(mine[x]), root(theirs[y])
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                links.append((y, x) if swap else (x, y))
+
+    everyone = np.ones(len(right), bool)
+    for x in np.flatnonzero(mine != largest).tolist():
+        compare(x, everyone)
+    if not inside:  # what is left: members of the largest class on one side, others on the other
+        others = theirs != largest
+        if others.any():
+            for x in np.flatnonzero(mine == largest).tolist():
+                compare(x, others)
+    return links
+
+
+def _families(width: int, percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        nodes, label, block = (table.column(c).to_numpy() for c in ("node", "label", "block"))
+        order = np.lexsort((nodes, block))
+        texts = text_bytes(table.column("text"))
+        sets: list[np.ndarray] = []
+        ordered = [texts[k] for k in order]
+        for a, z in slices([len(t) for t in ordered], BLOCK):
+            key, first = shingles(ordered[a:z], width)
+            sets += [key[first[k] : first[k + 1]] for k in range(z - a)]
+        nodes, label, block = nodes[order], label[order], block[order]
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        cut = int((block == i).sum())
+        if i == j:
+            links = joining_links(sets, None, label, label, percent)
+            pairs = [(nodes[x], nodes[y]) for x, y in links]
+        else:
+            links = joining_links(sets[:cut], sets[cut:], label[:cut], label[cut:], percent)
+            pairs = [(nodes[x], nodes[cut + y]) for x, y in links]
+        return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
+
+    return run
+
+
+def family_links(shared: DataFrame, label: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) between nodes of different classes that share a key."""
+    at = stored(shared.select("key", "node").join(label, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")), "placed")
+    split = at.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least != most").select("key", "least")
+    mixed = stored(at.join(split, "key").select("node", "label", "least").distinct(), "mixed")
+    family = components(mixed.select("least", "label").distinct(), "least", "label").toDF("label", "family")
+    members = mixed.select("node", "label").distinct().join(family, "label").join(nodes.select("node", "n", "rep"), "node")
+    blocks = members.groupBy("family").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    placed = members.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64(F.lit(7), "node"), "blocks").cast("int"))
+    placed = placed.select("family", "node", "label", "block", "blocks", F.col("rep.doc_id").alias("doc_id"), F.col("rep.text_key").alias("text_key"))
+    with_text = placed.join(texts, ["doc_id", "text_key"]).dropDuplicates(["node"])
+    dealt = with_text.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "label", "block", "text")
+    return dealt.groupBy("family", "i", "j").applyInArrow(_families(width, percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id (least doc_id of the class) and kept, for every row."""
     chunks, rows = layout(percent)
@@ -202,21 +288,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     partner = shared.where("node != head").groupBy("node", "head").agg(F.count("*").alias("keys"))
     first = partner.groupBy("node").agg(F.max_by("head", F.struct("keys", "head")).alias("head"))
     stars = stored(verified(first.select(F.col("head").alias("a"), F.col("node").alias("b")), nodes, texts, width, percent), "stars")
-    label = components(stars)
-
-    at = shared.select("key", "node").join(label, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    at = stored(at, "placed")
-    split = at.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least != most").select("key")
-    mixed = at.join(split, "key")
-    left = mixed.select("key", F.col("node").alias("a"), F.col("label").alias("label_a"))
-    right = mixed.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"))
-    across = left.join(right, "key").where("label_a != label_b and a < b").select("a", "b").distinct()
-    tried = first.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b"))
-    across = across.join(tried, ["a", "b"], "left_anti")
-    sign = nodes.select("node", "n", "signature")
-    signed = across.join(sign.toDF("a", "n_a", "sign_a"), "a").join(sign.toDF("b", "n_b", "sign_b"), "b")
-    close = stored(signed.mapInArrow(_close(percent), "a long, b long"), "close")
-    rest = verified(close, nodes, texts, width, percent)
+    rest = family_links(shared, components(stars), nodes, texts, width, percent)
     classes = components(stars.unionByName(rest))
 
     named = nodes.select("node", "rep.doc_id").join(classes, "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("label"))
