@@ -109,10 +109,13 @@ def test_null_and_repeated_ids(spark):
     assert keep_one(empty(spark)).count() == 0
 
 
-def test_components(spark):
-    edges = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (101, 102), (7, 7)]
-    found = components(spark.createDataFrame(edges, "a long, b long"))
-    assert {r["node"]: r["label"] for r in found.collect()} == {**{k: 0 for k in range(41)}, 100: 100, 101: 100, 102: 100}
+@pytest.mark.parametrize("chunk", [500_000, 9])
+def test_components(spark, chunk):
+    edges = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (101, 102), (7, 7), (0, 1)] + [(200, 200 + k) for k in range(1, 30)]
+    found = components(spark.createDataFrame(edges, "a long, b long"), chunk=chunk)
+    want = {**{k: 0 for k in range(41)}, **dict.fromkeys((100, 101, 102), 100), **dict.fromkeys(range(200, 230), 200)}
+    assert {r["node"]: r["label"] for r in found.collect()} == want
+    assert components(spark.createDataFrame([], "a long, b long"), chunk=chunk).count() == 0
 
 
 def test_layout_holds_the_threshold():

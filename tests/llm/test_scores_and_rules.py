@@ -76,13 +76,14 @@ def test_weak_labels(spark):
     assert quality_scores(empty(spark), weak_fit(empty(spark))).count() == 0
 
 
-def test_posteriors_find_single_faults():
-    """Labellers that each know one fault: a single vote against must not be outvoted by the others."""
+def test_posteriors_find_faults_that_few_labellers_know():
+    """Two votes against must not be outvoted by the labellers of other faults."""
     n = len(QUALITY)
     good = sum(3**k for k in range(n))
-    faults = [good + 3**k for k in range(n)]
-    p = posteriors(np.array([good, *faults]), np.array([9000] + [120] * n), n)
-    assert p[0] > 0.9 and (p[1:] < 0.5).all()
+    single = [good + 3**k for k in range(n)]
+    double = [good + 3**k + 3 ** ((k + 1) % n) for k in range(n)]
+    p = posteriors(np.array([good, *single, *double]), np.array([9000] + [120] * n + [20] * n), n)
+    assert p[0] > 0.9 and (p[-n:] < 0.2).all() and (p[1 : n + 1] < p[0]).all()
 
 
 def held(key):
