@@ -33,11 +33,11 @@ from rankloom.llm.words import mix, words_of
 from rankloom.session import stored
 
 FOLDS, HELD = 5, 1
-FREQUENT, SIGNATURES = 63, 64
+FREQUENT, SIGNATURES = 31, 32
 CLASSES = FREQUENT + 1 + SIGNATURES  #: the end token has a class of its own
 END_CLASS = FREQUENT
 TABLE = 1 << 12  #: rows of weights for each of the three kinds of features
-BATCH, RATE, SLICE = 2048, 0.35, 8
+BATCH, RATE, SLICE = 4096, 0.35, 16
 COUNT_BYTES, GROUP_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20, 32 << 20
 END = np.uint64(1)
 CHUNK = 256  #: rows of weights that are averaged together
