@@ -18,3 +18,13 @@ def unnest(df: DataFrame, array: Column, name: str, *keep: str | Column, positio
     else:
         rows = df.select(*keep, F.explode_outer(array).alias(name))
     return rows.where(F.col(name).isNotNull())
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, on: tuple[str, ...]) -> DataFrame:
+    """Left join by equal columns in which null equals null; ``right`` is unique by them."""
+    renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    same = None
+    for c in on:
+        equal = left[c].eqNullSafe(renamed[f"_right_{c}"])
+        same = equal if same is None else same & equal
+    return left.join(renamed, same, "left").drop(*[f"_right_{c}" for c in on])

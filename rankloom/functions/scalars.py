@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from rankloom import params as P
 
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:[.]\d{1,6})?)?(?:Z|[+-]\d{2}:\d{2})?)?$"
 COMPACT_NUMBER = r"(\d[\d,]*(?:\.\d+)?)\s*([kKmM])?\b"
 
 
 def violations(*rules: tuple[Column, str]) -> Column:
     """Names of the rules whose condition holds; a null condition does not fire."""
-    return F.array_compact(F.array(*[F.when(bad, F.lit(name)) for bad, name in rules]))
+    return F.array_except(F.array(*[F.when(bad, F.lit(name)) for bad, name in rules]), F.array(F.lit(None).cast("string")))
 
 
 def parse_compact_number(text: Column) -> Column:
@@ -40,12 +41,19 @@ def parse_date(text: Column) -> Column:
 
 
 def parse_timestamp_utc(text: Column) -> Column:
-    """ISO timestamp with ``Z``, an offset or none; none means UTC (the session zone)."""
-    return F.try_to_timestamp(text)
+    """ISO date or timestamp with ``Z``, an offset or none; none means UTC, whatever the session's zone.
+    Other spellings are null."""
+    whole = F.when(text.rlike(ISO_TIME), text)
+    seconds = F.regexp_replace(whole, r"^(\S{10}[T ]\d{2}:\d{2})(Z|[+-]\d{2}:\d{2})?$", "$1:00$2")
+    timed = F.when(F.length(whole) == 10, F.concat(whole, F.lit("T00:00:00"))).otherwise(seconds)
+    zoned = F.when(timed.rlike(r"(?:Z|[+-]\d{2}:\d{2})$"), timed).otherwise(F.concat(timed, F.lit("Z")))
+    return F.try_to_timestamp(zoned)
 
 
 def age_days(capture: Column, created_at: Column) -> Column:
-    return F.date_diff(capture, F.to_date(parse_timestamp_utc(created_at)))
+    """Whole days from the UTC day of creation to the capture."""
+    day = F.floor(F.unix_seconds(parse_timestamp_utc(created_at)) / 86400).cast("int")
+    return F.date_diff(capture, F.date_add(F.lit("1970-01-01").cast("date"), day))
 
 
 def hot_type(age: Column, new_days: int = P.NEW_HOT_DAYS) -> Column:

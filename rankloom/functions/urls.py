@@ -55,20 +55,29 @@ def quote_path(path: Column) -> Column:
     return coded
 
 
-def absolute_target(target: Column, image: Column, full_name: Column, branch: Column, doc_path: Column) -> Column:
-    """Image targets go to the raw site, all others to the file view; absolute ones are kept."""
-    path = path_of(target)
-    rooted = F.startswith(path, F.lit("/"))
-    within = resolve_dots(F.when(rooted, path).otherwise(F.concat(directory_of(doc_path), path)))
-    within = F.coalesce(F.nullif(within, F.lit("")), F.lit("."))
-    # a target above the repository root loses all leading dots and slashes
-    within = F.when(F.startswith(within, F.lit("../")), F.regexp_replace(within, r"^[./]+", "")).otherwise(within)
-    resolved = F.when(rooted, F.concat(F.lit("/"), within)).otherwise(within)
+def repository_path(target: Column, doc_path: Column) -> Column:
+    """The file that a target in a document names, from the repository's root. What would climb above the
+    root starts there, without leading dots; no name at all is the folder itself. A target from
+    the root keeps its slash."""
+    written = path_of(target)
+    from_root = F.startswith(written, F.lit("/"))
+    plain = resolve_dots(F.concat(F.when(from_root, F.lit("")).otherwise(directory_of(doc_path)), written))
+    climbing = plain.rlike(r"^\.\./")
+    named = F.when(plain == "", F.lit(".")).when(climbing, F.ltrim(plain, F.lit("./"))).otherwise(plain)
+    return F.concat(F.when(from_root, F.lit("/")).otherwise(F.lit("")), named)
+
+
+def repository_site(image: Column, full_name: Column, branch: Column) -> Column:
+    """Where a repository's files are shown: images as raw files, all else in the file view."""
     ref = F.replace(quote_path(branch), F.lit("/"), F.lit("%2F"))
-    raw = F.concat(F.lit(P.RAW_SITE + "/"), full_name, F.lit("/"), ref, F.lit("/"))
-    blob = F.concat(F.lit(P.SITE + "/"), full_name, F.lit("/blob/"), ref, F.lit("/"))
-    built = F.concat(F.when(image, raw).otherwise(blob), quote_path(resolved), tail_of(target))
-    return F.when(is_absolute(target), target).otherwise(built)
+    host = F.when(image, F.concat(F.lit(f"{P.RAW_SITE}/"), full_name)).otherwise(F.concat(F.lit(f"{P.SITE}/"), full_name, F.lit("/blob")))
+    return F.concat_ws("/", host, ref, F.lit(""))
+
+
+def absolute_target(target: Column, image: Column, full_name: Column, branch: Column, doc_path: Column) -> Column:
+    """The address of a target in a document; absolute targets are kept."""
+    place = F.concat(repository_site(image, full_name, branch), quote_path(repository_path(target, doc_path)), tail_of(target))
+    return F.when(is_absolute(target), target).otherwise(place)
 
 
 def rewrite_matches(text: Column, pattern: str, fn: Callable[[Column], Column]) -> Column:

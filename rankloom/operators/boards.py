@@ -8,26 +8,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom import params as P
+from rankloom.functions import markup as M
 from rankloom.functions.rows import unnest
 from rankloom.functions.scalars import parse_compact_number, round2
 
+ROW_START = M.opening("article", M.has_class("Box-row"))
+ROW = M.element("article", M.has_class("Box-row"))
+HEADING_NODE = M.element("h2")
+LINK = M.attribute_in("a", "href")
+ROW_TEXT = M.element("p", M.has_class("col-9"))
+ANY_TEXT = M.element("p")
+LANGUAGE = rf"(?is)<(\w+)(?=[\s>/]){M.has_value('itemprop', 'programmingLanguage')}{M.INSIDE}>(.*?)</\1\s*>"
+PERIOD_NODE = M.element("span", M.has_class("float-sm-right"))
+BUILDER_NODE = M.element("span", M.has_class("d-inline-block"))
+BUILDER_ALT = M.attribute_in("img", "alt")
 
 
-def _with_class(name: str) -> str:
-    """Lookahead for a tag whose class list has the name."""
-    return rf'(?=[^>]*\bclass="(?:[^"]*\s)?{name}(?:\s[^"]*)?")'
-
-
-ROW = rf"(?s)<article\b{_with_class('Box-row')}[^>]*>(.*?)</article>"
-HEADING_NODE = r"(?s)<h2\b[^>]*>(.*?)</h2>"
-LINK = r'<a\b[^>]*\bhref="([^"]*)"'
-ROW_TEXT = rf"(?s)<p\b{_with_class('col-9')}[^>]*>(.*?)</p>"
-ANY_TEXT = r"(?s)<p\b[^>]*>(.*?)</p>"
-LANGUAGE = r'(?s)<(\w+)\b(?=[^>]*\bitemprop="programmingLanguage")[^>]*>(.*?)</\1>'
-PERIOD_NODE = rf"(?s)<span\b{_with_class('float-sm-right')}[^>]*>(.*?)</span>"
-BUILDER_NODE = rf"(?s)<span\b{_with_class('d-inline-block')}[^>]*>(.*?)</span>"
-BUILDER_ALT = r'<img\b[^>]*\balt="([^"]+)"'
-EMPTY_BOARD = r"(?i)we don['’]t have any trending repositories|no trending repositories found"
+def page_number(period_no: Column, scope_no: Column) -> Column:
+    """Period-major number of a page, distinct for any number of scopes below 2 ** 40."""
+    return F.shiftleft(period_no.cast("bigint"), 40) + scope_no
 
 
 def board_matrix(
@@ -41,7 +40,7 @@ def board_matrix(
     expanded = scopes.select("scope", "scope_no", F.posexplode(F.array(*map(F.lit, periods))).alias("p", "period"))
     segment = F.when(F.col("scope") == "global", "").otherwise(F.concat(F.lit("/"), F.col("scope")))
     return expanded.select(
-        (F.col("p") * 1000 + F.col("scope_no")).cast("int").alias("page_no"),
+        page_number(F.col("p"), F.col("scope_no")).alias("page_no"),
         "scope",
         "period",
         F.concat(
@@ -110,15 +109,9 @@ def board_rows(
 
 
 def node_text(markup: Column) -> Column:
-    """Text of a node: pieces between tags, each trimmed, joined by one blank, entities decoded."""
-    pieces = F.transform(F.split(markup, r"(?s)<!--.*?-->|<[^>]*>"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
-    return _unescape(F.array_join(F.filter(pieces, lambda x: x != ""), " "))
-
-
-def _unescape(text: Column) -> Column:
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Text of a node: pieces between tags, each trimmed, joined by one blank, references decoded."""
+    pieces = F.transform(F.split(markup, rf"(?s)<!--.*?-->|<[/!?a-zA-Z]{M.INSIDE}>"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
+    return M.unescape(F.array_join(F.filter(pieces, lambda x: x != ""), " "))
 
 
 def _first(markup: Column, pattern: str, group: int = 1) -> Column:
@@ -128,15 +121,15 @@ def _first(markup: Column, pattern: str, group: int = 1) -> Column:
 
 def _link_text(markup: Column, full_name: Column, leaf: str) -> Column:
     """Text of the link to ``/<full_name>/<leaf>``; null when there is none."""
-    links = F.regexp_extract_all(markup, F.lit(rf'(?s)<a\b[^>]*\bhref="/[^"]*/{leaf}"[^>]*>.*?</a>'), F.lit(0))
+    links = F.regexp_extract_all(markup, F.lit(M.element("a")), F.lit(0))
     wanted = F.concat(F.lit("/"), full_name, F.lit(f"/{leaf}"))
-    same = lambda a: _unescape(F.regexp_extract(a, r'\bhref="([^"]*)"', 1)) == wanted
+    same = lambda a: F.coalesce(M.value_of(_first(a, LINK)) == wanted, F.lit(False))
     return node_text(F.try_element_at(F.filter(links, same), F.lit(1)))
 
 
 def _row_key(markup: Column) -> Column:
     headings = F.array_join(F.regexp_extract_all(markup, F.lit(HEADING_NODE), F.lit(1)), " ")
-    full_name = F.regexp_replace(_unescape(_first(headings, LINK)), "^/+|/+$", "")
+    full_name = F.regexp_replace(M.value_of(_first(headings, LINK)), "^/+|/+$", "")
     return F.struct(full_name.alias("full_name"), _first(markup, PERIOD_NODE).alias("period_node"), markup.alias("markup"))
 
 
@@ -157,27 +150,31 @@ def _row_struct(row: Column, position: Column) -> Column:
             "description"
         ),
         node_text(_first(markup, LANGUAGE, 2)).alias("primary_language"),
-        F.coalesce(parse_compact_number(_link_text(markup, full_name, "stargazers")), F.lit(0)).alias("total_stars"),
-        F.coalesce(parse_compact_number(_link_text(markup, full_name, "forks")), F.lit(0)).alias("total_forks"),
-        F.when(period_text != "", parse_compact_number(period_text)).alias("period_stars"),
-        F.transform(builders, lambda a: F.regexp_replace(_unescape(a), "^@+", "")).alias("built_by"),
+        F.coalesce(M.computed_once(_link_text(markup, full_name, "stargazers"), parse_compact_number), F.lit(0)).alias("total_stars"),
+        F.coalesce(M.computed_once(_link_text(markup, full_name, "forks"), parse_compact_number), F.lit(0)).alias("total_forks"),
+        M.computed_once(period_text, lambda text: F.when(text != "", parse_compact_number(text))).alias("period_stars"),
+        F.transform(
+            F.filter(F.transform(builders, M.value_of), lambda a: a != ""), lambda a: F.regexp_replace(a, "^@+", "")
+        ).alias("built_by"),
     )
 
 
 def parse_boards(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add ``status``, ``error`` and ``entries`` to each page, all inside the row.
 
-    A row without a usable key fails its page. Without rows a page succeeds only when it
-    says that the board is empty under a heading that names the board.
+    A row without a usable key fails its page, and so does a row that is begun and not ended. Without
+    rows a page succeeds only when it says that the board is empty under a heading that names the board.
     """
-    rows = F.regexp_extract_all(F.col(html), F.lit(ROW), F.lit(1))
-    parsed = pages.withColumn("_keys", F.transform(rows, _row_key))
-    heading = node_text(_first(F.col(html), r"(?s)<h1\b[^>]*>(.*?)</h1>"))
-    empty = F.contains(F.lower(heading), F.lit("trending")) & node_text(F.col(html)).rlike(EMPTY_BOARD)
+    live = F.regexp_replace(F.col(html), M.COMMENT, "")
+    rows = F.regexp_extract_all(live, F.lit(ROW), F.lit(1))
+    parsed = pages.withColumn("_keys", F.transform(rows, _row_key)).withColumn("_starts", F.regexp_count(live, F.lit(ROW_START)))
+    heading = node_text(_first(live, M.element("h1")))
+    empty = F.contains(F.lower(heading), F.lit("trending")) & node_text(live).rlike(P.EMPTY_BOARD)
     bad_key = F.exists("_keys", lambda r: ~F.coalesce(r["full_name"].rlike("^[^/]*/[^/]*$"), F.lit(False)))
     no_link = F.exists("_keys", lambda r: r["full_name"].isNull())
     error = (
-        F.when((F.size("_keys") == 0) & ~F.coalesce(empty, F.lit(False)), "unrecognized_page")
+        F.when(F.col("_starts") != F.size("_keys"), "unended_row")
+        .when((F.size("_keys") == 0) & ~F.coalesce(empty, F.lit(False)), "unrecognized_page")
         .when(no_link, "row_without_link")
         .when(bad_key, "invalid_row_key")
     )
@@ -187,7 +184,7 @@ def parse_boards(pages: DataFrame, html: str = "html") -> DataFrame:
         .withColumn("status", F.when(failed, "failed").otherwise("success"))
         .withColumn("_keys", F.when(failed, F.slice("_keys", 1, 0)).otherwise(F.col("_keys")))
         .withColumn("entries", F.transform("_keys", _row_struct))
-        .drop("_keys")
+        .drop("_keys", "_starts")
     )
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import unicodedata
 from datetime import date
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankloom import params as P
 from rankloom.functions.scalars import label, slug
@@ -106,13 +109,25 @@ def search_text(*columns: Column) -> Column:
     return F.lower(F.concat_ws(" ", *columns))
 
 
+@F.pandas_udf(T.StringType())
+def _normalized(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+
+
+def compatible(text: Column) -> Column:
+    """Unicode compatibility form. ASCII text has it already and reaches Python as null."""
+    foreign = F.when(text.rlike(r"[^\x00-\x7F]"), text)
+    return F.coalesce(_normalized(foreign), text)
+
+
 def catalog_search(
     catalog: DataFrame, query: str = "", category: str | None = None, language: str | None = None, search: str = "search"
 ) -> DataFrame:
-    """All whitespace-separated tokens occur in the search text, and the given facets match."""
+    """All whitespace-separated tokens occur in the search text, and the given facets match. Both sides are
+    compared in compatible form (full-width letters are letters) and lower case."""
     kept = catalog
-    for token in query.lower().split():
-        kept = kept.where(F.contains(F.lower(search), F.lit(token)))
+    for token in unicodedata.normalize("NFKC", query).lower().split():
+        kept = kept.where(F.contains(F.lower(compatible(F.col(search))), F.lit(token)))
     if category:
         kept = kept.where(F.col("category") == category)
     if language:

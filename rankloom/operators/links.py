@@ -6,22 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom import params as P
+from rankloom.functions.markup import unescape
 from rankloom.functions.rows import unnest
 from rankloom.functions.scalars import violations
 from rankloom.functions.text import media_tags
 from rankloom.functions.urls import absolute_target, directory_of, is_absolute, path_of, resolve_dots, rewrite_matches, unquote
-from rankloom.operators.boards import _unescape, node_text
+from rankloom.operators.boards import node_text
 
 NOT_MARKUP = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
 HREF = r"(?is)<(?:a|link)\b[^>]*?\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
 EXTERNAL = r"(?i)^(?:https?:|mailto:|#)"
 
-NESTED_IMAGE = r"\[!\[([^\]]*)\]\(([^)]+)\)\]\(([^)]+)\)"
-INLINE_LINK = r"(!?)\[([^\]]*)\]\(([^)]+)\)"
-HTML_TARGET = r"(?i)\b(?:href|src)=[\"']([^\"']+)[\"']"
-REFERENCE = r"(?m)^[ \t]{0,3}\[[^\]]+\]:[ \t]*(?:<[^>\n]+>|[^\s]+)[^\n]*$"
-REFERENCE_PARTS = r"^([ \t]{0,3}\[([^\]]+)\]:[ \t]*)(<[^>\n]+>|[^\s]+)([^\n]*)$"
-IMAGE_REFERENCE = r"!\[([^\]]*)\]\[([^\]]*)\]"
+# Where a Markdown text has link targets. One pattern finds them all in one pass from left to right: an
+# image with its target, the target that closes any other link (so an image inside a link needs no rule of
+# its own), a definition at the start of a line, and the attributes of embedded HTML.
+DESTINATION = r"\(\s*(?:<[^<>\n]*>|[^\s()<>]*(?:\([^\s()]*\)[^\s()<>]*)*)(?:\s[^()]*)?\)"
+IMAGE_TARGET = rf"!\[[^\]]*\]{DESTINATION}"
+LINK_TARGET = rf"\]{DESTINATION}"
+DEFINITION = r"^[ ]{0,3}\[[^\]\n]+\]:[ \t]*(?:<[^<>\n]*>|\S+)"
+ATTRIBUTE = r"\b(?:href|src)\s*=\s*(?:\"[^\"]*\"|'[^']*')"
+ANY_TARGET = rf"(?im){DEFINITION}|{IMAGE_TARGET}|{LINK_TARGET}|{ATTRIBUTE}"
+# Parts of one match: what stands before the target, the target, and what follows it.
+DEFINITION_PARTS = r"(?s)^(\s*\[[^\]]+\]:[ \t]*<?)(.*?)(>?)$"
+ANGLED_PARTS = r"(?s)^(.*?\]\(\s*<)([^<>]*)(>.*)$"
+PLAIN_PARTS = r"(?s)^(.*?\]\(\s*)(\S*?)((?:\s.*)?\))$"
+ATTRIBUTE_PARTS = r"(?s)^([^=]*=\s*[\"'])(.*)([\"'])$"
+IMAGE_USE = r"!\[([^\]]*)\]\[([^\]]*)\]"
 
 
 def hrefs(html: Column) -> Column:
@@ -30,7 +40,7 @@ def hrefs(html: Column) -> Column:
     double = F.regexp_extract_all(markup, F.lit(HREF), F.lit(1))
     single = F.regexp_extract_all(markup, F.lit(HREF), F.lit(2))
     found = F.filter(F.concat(double, single), lambda h: h.isNotNull() & (h != ""))
-    return F.array_distinct(F.transform(found, _unescape))
+    return F.array_distinct(F.transform(found, unescape))
 
 
 def page_links(pages: DataFrame, path: str = "path", html: str = "html") -> DataFrame:
@@ -74,111 +84,67 @@ def page_outline(pages: DataFrame, key: str, html: str) -> DataFrame:
 # --- links of documents ------------------------------------------------------------------------
 
 
-def _target(raw: Column) -> Column:
-    """First word of a link's parentheses, without angle brackets."""
-    return F.regexp_replace(F.regexp_extract(F.trim(raw), r"^(\S+)", 1), r"^[<>]+|[<>]+$", "")
+def _labels_of_images(text: Column) -> Column:
+    """Labels that images refer to; an empty label means the image's own text."""
+    uses = F.regexp_extract_all(text, F.lit(IMAGE_USE), F.lit(0))
 
+    def label(use: Column) -> Column:
+        named = F.regexp_extract(use, IMAGE_USE, 2)
+        return F.lower(F.trim(F.when(named == "", F.regexp_extract(use, IMAGE_USE, 1)).otherwise(named)))
 
-def _image_labels(text: Column) -> Column:
-    alts = F.regexp_extract_all(text, F.lit(IMAGE_REFERENCE), F.lit(1))
-    labels = F.regexp_extract_all(text, F.lit(IMAGE_REFERENCE), F.lit(2))
-    return F.zip_with(alts, labels, lambda a, b: F.lower(F.trim(F.coalesce(F.nullif(b, F.lit("")), a))))
+    return F.transform(uses, label)
 
 
-def _link(syntax: str, target: Column, image: Column) -> Column:
-    return F.struct(F.lit(syntax).alias("syntax"), target.alias("target"), image.alias("image"))
-
-
-def link_structs(text: Column) -> Column:
-    """All link targets of a Markdown text, by syntax."""
-    nested = F.regexp_extract_all(text, F.lit(NESTED_IMAGE), F.lit(0))
-    images = F.transform(nested, lambda m: _link("nested_image", F.regexp_extract(m, NESTED_IMAGE, 2), F.lit(True)))
-    around = F.transform(nested, lambda m: _link("nested_link", F.regexp_extract(m, NESTED_IMAGE, 3), F.lit(False)))
-    flat = F.regexp_replace(text, NESTED_IMAGE, " ")
-    inline = F.transform(
-        F.regexp_extract_all(flat, F.lit(INLINE_LINK), F.lit(0)),
-        lambda m: _link("inline", _target(F.regexp_extract(m, INLINE_LINK, 3)), F.startswith(m, F.lit("!"))),
+def _described(match: Column, labels: Column) -> Column:
+    """A match with its parts, its syntax, and whether its target is shown as an image."""
+    defined = F.lower(F.trim(F.regexp_extract(match, r"^\s*\[([^\]]+)\]:", 1)))
+    syntax = (
+        F.when(match.rlike(r"^ {0,3}\[[^\]]+\]:"), "reference")
+        .when(match.rlike(r"(?i)^(?:href|src)"), "html")
+        .otherwise("inline")
     )
-    labels = _image_labels(text)
-    references = F.transform(
-        F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)),
-        lambda m: _link(
-            "reference",
-            F.regexp_replace(F.regexp_extract(m, REFERENCE_PARTS, 3), r"^[<>]+|[<>]+$", ""),
-            F.array_contains(labels, F.lower(F.trim(F.regexp_extract(m, REFERENCE_PARTS, 2)))),
-        ),
+    image = (
+        F.when(syntax == "reference", F.array_contains(labels, defined))
+        .when(syntax == "html", F.lower(F.substring(match, 1, 3)) == "src")
+        .otherwise(F.startswith(match, F.lit("!")))
     )
-    html = F.transform(
-        F.regexp_extract_all(text, F.lit(HTML_TARGET), F.lit(0)),
-        lambda m: _link("html", F.regexp_extract(m, HTML_TARGET, 1), F.lower(F.substring(m, 1, 3)) == "src"),
-    )
-    return F.concat(images, around, inline, references, html)
+
+    def part(n: int) -> Column:
+        inline = F.when(match.rlike(ANGLED_PARTS), F.regexp_extract(match, ANGLED_PARTS, n)).otherwise(F.regexp_extract(match, PLAIN_PARTS, n))
+        defined = F.when(syntax == "reference", F.regexp_extract(match, DEFINITION_PARTS, n))
+        return defined.when(syntax == "html", F.regexp_extract(match, ATTRIBUTE_PARTS, n)).otherwise(inline)
+
+    return F.struct(syntax.alias("syntax"), part(2).alias("target"), image.alias("image"), part(1).alias("head"), part(3).alias("tail"))
 
 
 def absolutize_links(
     documents: DataFrame, text: str, full_name: str = "full_name", branch: str = "branch", path: str = "doc_path"
 ) -> DataFrame:
     """Link table: each distinct target of a document with its absolute form."""
-    rows = unnest(documents, F.array_distinct(link_structs(F.col(text))), "link", full_name, branch, path)
+    keys = [full_name, branch, path]
+    labelled = documents.select(*keys, F.col(text).alias("_text"), _labels_of_images(F.col(text)).alias("_labels"))
+    matches = F.regexp_extract_all("_text", F.lit(ANY_TARGET), F.lit(0))
+    rows = unnest(labelled, F.transform(matches, lambda m: _described(m, F.col("_labels"))), "link", *keys)
     absolute = absolute_target(F.col("link.target"), F.col("link.image"), F.col(full_name), F.col(branch), F.col(path))
-    return rows.select(full_name, "link.syntax", "link.target", "link.image", absolute.alias("absolute"))
+    table = rows.select(full_name, "link.syntax", "link.target", "link.image", absolute.alias("absolute"))
+    return table.where("target <> ''").distinct()
 
 
 def absolutize_text(
     documents: DataFrame, text: str, full_name: str = "full_name", branch: str = "branch", path: str = "doc_path"
 ) -> DataFrame:
-    """The documents with relative link targets made absolute, all else unchanged.
-
-    One pass per syntax, each a column of its own, so that no pass is computed twice; a text
-    without the marks of a syntax skips its pass.
-    """
-    labels = F.col("_labels")
-
-    def to_absolute(target: Column, image: Column) -> Column:
-        return absolute_target(target, image, F.col(full_name), F.col(branch), F.col(path))
-
-    def reference(m: Column) -> Column:
-        target = F.regexp_replace(F.regexp_extract(m, REFERENCE_PARTS, 3), r"^[<>]+|[<>]+$", "")
-        image = F.array_contains(labels, F.lower(F.trim(F.regexp_extract(m, REFERENCE_PARTS, 2))))
-        head, rest = F.regexp_extract(m, REFERENCE_PARTS, 1), F.regexp_extract(m, REFERENCE_PARTS, 4)
-        return F.when(is_absolute(target), m).otherwise(F.concat(head, to_absolute(target, image), rest))
-
-    def nested(m: Column) -> Column:
-        part = lambda n: F.regexp_extract(m, NESTED_IMAGE, n)
-        return F.concat(
-            F.lit("[!["), part(1), F.lit("]("), to_absolute(part(2), F.lit(True)),
-            F.lit(")]("), to_absolute(part(3), F.lit(False)), F.lit(")"),
-        )
-
-    def inline(m: Column) -> Column:
-        raw = F.trim(F.regexp_extract(m, INLINE_LINK, 3))
-        target = _target(raw)
-        title = F.regexp_extract(raw, r"(?s)^\S+\s+(.*)$", 1)
-        mark = F.regexp_extract(m, INLINE_LINK, 1)
-        built = F.concat(
-            mark, F.lit("["), F.regexp_extract(m, INLINE_LINK, 2), F.lit("]("), to_absolute(target, mark == "!"),
-            F.when(title != "", F.concat(F.lit(" "), title)).otherwise(""), F.lit(")"),
-        )
-        return F.when(is_absolute(target), m).otherwise(built)
-
-    def html(m: Column) -> Column:
-        target = F.regexp_extract(m, HTML_TARGET, 1)
-        head = F.regexp_extract(m, r"(?i)^((?:href|src)=[\"'])", 1)
-        absolute = to_absolute(target, F.lower(F.substring(m, 1, 3)) == "src")
-        return F.concat(head, absolute, F.substring(m, -1, 1))
-
-    has = lambda *marks: F.expr(" OR ".join(f"contains(_text, '{m}')" for m in marks))
-    passes = (
-        (REFERENCE, reference, has("]:")),
-        (NESTED_IMAGE, nested, has("[![")),
-        (INLINE_LINK, inline, has("](")),
-        (HTML_TARGET, html, F.col("_text").rlike("(?i)(?:href|src)=")),
-    )
-    current = F.col("_text")
-    out = documents.withColumns({"_text": F.col(text), "_labels": _image_labels(F.col(text))})
-    for pattern, fn, present in passes:
-        out = out.withColumn("_text", F.when(present, rewrite_matches(current, pattern, fn)).otherwise(current))
-    return out.withColumn(text, current).drop("_text", "_labels")
+    """The documents with relative link targets made absolute, all else unchanged, in one pass."""
+
+    def rewritten(match: Column) -> Column:
+        d = _described(match, F.col("_labels"))
+        absolute = absolute_target(d["target"], d["image"], F.col(full_name), F.col(branch), F.col(path))
+        keep = (d["target"] == "") | is_absolute(d["target"])
+        return F.when(keep, match).otherwise(F.concat(d["head"], absolute, d["tail"]))
+
+    marked = F.contains("_text", F.lit("](")) | F.contains("_text", F.lit("]:")) | F.col("_text").rlike(r"(?i)(?:href|src)\s*=")
+    named = documents.withColumns({"_text": F.col(text), "_labels": _labels_of_images(F.col(text))})
+    out = F.when(marked, rewrite_matches(F.col("_text"), ANY_TARGET, rewritten)).otherwise(F.col("_text"))
+    return named.withColumn(text, out).drop("_text", "_labels")
 
 
 # --- rendered pages ----------------------------------------------------------------------------

@@ -32,7 +32,11 @@ def with_position(
     earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
     if by:
-        joined = sorted_rows.join(offsets, ["_part", *by])
+        # null is a group like any other
+        same = sorted_rows["_part"] == offsets["_part"]
+        for column in by:
+            same = same & sorted_rows[column].eqNullSafe(offsets[column])
+        joined = sorted_rows.join(offsets, same).select(sorted_rows["*"], "_offset", "_first")
     else:
         # without groups there is one row per partition, so this side is at most n rows
         joined = sorted_rows.join(F.broadcast(offsets), ["_part"])

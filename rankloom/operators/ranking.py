@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom import params as P
+from rankloom.functions.rows import join_null_safe
 from rankloom.functions.scalars import (
     age_days,
     distinct_sorted,
@@ -21,13 +22,14 @@ from rankloom.operators.boards import periods_present, success_pages_only
 
 
 def value_bucket(value: Column, per_octave: int = 1024) -> Column:
-    """A non-decreasing bucket number with relative width 1/per_octave.
+    """A non-decreasing bucket number with relative width 1/per_octave, for values of any size.
 
-    The number of buckets follows from the type (at most 64 octaves each side), not from
-    the data, while large value ranges still spread over many buckets.
+    The number of buckets follows from the type (the octaves of a double, each side), not from
+    the data, while fractions and large ranges alike spread over many buckets. Zero has its own.
     """
-    magnitude = F.floor(F.log2(F.abs(value.cast("double")) + 1.0) * per_octave)
-    return (F.signum(value.cast("double")) * magnitude).cast("bigint")
+    number = value.cast("double")
+    magnitude = F.floor((F.log2(F.abs(number)) + 1075) * per_octave) + 1
+    return F.when(number == 0, F.lit(0)).otherwise(F.signum(number) * magnitude).cast("bigint")
 
 
 def value_histogram(values: DataFrame, by: tuple[str, ...], value: str) -> DataFrame:
@@ -55,7 +57,7 @@ def value_histogram(values: DataFrame, by: tuple[str, ...], value: str) -> DataF
     inside = Window.partitionBy(*by, "bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     return (
         # a left join leaves the counts as they are, so both uses share one shuffle
-        counts.join(offsets, [*by, "bucket"], "left")
+        join_null_safe(counts, offsets, (*by, "bucket"))
         .withColumn("less", F.col("before") + F.coalesce(F.sum("equal").over(inside), F.lit(0)))
         .select(*by, value, "equal", "less", "known")
     )
@@ -73,11 +75,14 @@ def midrank_percentile(
     ranks = value_histogram(values, by, value).select(
         *by, value, midrank(F.col("less"), F.col("equal"), F.col("known")).alias(name)
     )
-    return values.join(ranks, [*by, value], "left").withColumn(name, F.coalesce(name, F.lit(neutral)))
+    return join_null_safe(values, ranks, (*by, value)).withColumn(name, F.coalesce(name, F.lit(neutral)))
 
 
 def previous_snapshot_date(snapshots: DataFrame, capture: date) -> DataFrame:
-    """One row: the newest snapshot date strictly before ``capture`` (null when there is none)."""
+    """One row: the newest snapshot date strictly before ``capture`` (null when there is none).
+
+    It is the date of any page, failed ones too, for all uses; of a table partitioned by date no
+    column is read for it."""
     return snapshots.where(F.col("capture_date") < F.lit(capture)).agg(F.max("capture_date").alias("previous_date"))
 
 
@@ -93,7 +98,7 @@ def momentum_join(snapshots: DataFrame, capture: date) -> DataFrame:
     Both snapshots are averaged in one aggregate keyed by name, in place of a join.
     """
     rows = success_pages_only(snapshots)
-    prior = previous_snapshot_date(rows, capture).scalar()
+    prior = previous_snapshot_date(snapshots, capture).scalar()
     is_now = F.col("capture_date") == F.lit(capture)
     means = (
         rows.where(is_now | (F.col("capture_date") == prior))
@@ -118,7 +123,7 @@ def trend_boards(snapshots: DataFrame, captures: list[date]) -> DataFrame:
     rows = success_pages_only(snapshots).where(F.col("full_name").isNotNull())
     uses, needed = [], F.lit(False)
     for capture in captures:
-        prior = previous_snapshot_date(rows, capture).scalar()
+        prior = previous_snapshot_date(snapshots, capture).scalar()
         own, before = F.col("capture_date") == F.lit(capture), F.col("capture_date") == prior
         needed = needed | own | before
         for condition, now in ((own, True), (before, False)):

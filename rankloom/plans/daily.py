@@ -81,7 +81,10 @@ def ingest(spark: SparkSession, batch_path: str, folder: str) -> DataFrame:
     if first:
         listed = "; ".join(f"{r.check} {r.item}: {r.rule}" for r in first)
         raise ValueError(f"batch has {first[0].total} issues: {listed}")
-    capture: date = batch.select(F.max(F.to_date("capture_date"))).first()[0]
+    captures = [r[0] for r in batch.select(F.to_date("capture_date")).distinct().limit(2).collect()]
+    if len(captures) != 1:
+        raise ValueError("a batch has one capture date; publish each date's documents by themselves")
+    capture: date = captures[0]
 
     paths = write_snapshots(folder, snapshots=B.success_pages_only(entries), pages=page_headers(entries))
     trend = R.trend_board(spark.read.parquet(paths["snapshots"]), capture)

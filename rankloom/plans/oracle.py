@@ -289,7 +289,7 @@ VIEWS = {
         LATERAL (SELECT unnest(['global', event_type]) AS scope) s
       GROUP BY ALL""",
     "board": f"""
-      SELECT capture_date, CAST({PERIOD_NO} * 1000 + {SCOPE_NO} AS INTEGER) AS page_no, scope, period,
+      SELECT capture_date, CAST({PERIOD_NO} AS BIGINT) * 1099511627776 + {SCOPE_NO} AS page_no, scope, period,
         '{P.SITE}{P.BOARD_PATH}/' || scope || '?since=' || period AS source_url,
         CASE WHEN scope = 'error' AND period = 'daily' THEN 'failed' ELSE 'success' END AS status,
         rank, item, {name('item')} AS full_name, '{P.SITE}/' || {name('item')} AS url,
@@ -318,7 +318,7 @@ VIEWS = {
         CASE WHEN c_custkey % 43 = 8 THEN 'plain' ELSE 'usage à tous' END AS license_scope,
         CASE WHEN c_custkey % 41 = 0 THEN 'P9' ELSE 'P' || (c_custkey % 5) END AS value_level
         FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
-        WHERE c_custkey IN (SELECT user_id FROM events) AND c_custkey % 40 <> 39)""",
+        WHERE c_custkey IN (SELECT user_id FROM events))""",
     "enriched_early": f"SELECT * EXCLUDE (gate_failures), {gate_cases('k % 3 = 1')} AS gate_failures FROM enriched",
     "measures_now": measures_view(C),
     "measures_early": measures_view(B),
@@ -456,7 +456,7 @@ VIEWS["nav"] = f"""
         regexp_extract(html, '<a href="/([^"]*)"', 1) AS slug FROM pages"""
 VIEWS["board_outcomes"] = """
       SELECT *, CASE WHEN page_id % 10 = 8 THEN NULL WHEN page_id % 10 = 9 OR len(items) = 0 THEN 'unrecognized_page'
-        WHEN page_id % 10 = 7 THEN 'row_without_link'
+        WHEN page_id % 20 = 3 THEN 'unended_row' WHEN page_id % 10 = 7 THEN 'row_without_link'
         WHEN len(list_filter(items, lambda x: x = '' OR contains(x, '/'))) > 0 THEN 'invalid_row_key' END AS error FROM nav"""
 VIEWS["board_items"] = f"""
       SELECT page_id, CAST(rank AS INTEGER) AS rank, {unescape('items[rank]')} AS item, {unescape('trim(texts[rank])')} AS shown
@@ -518,7 +518,7 @@ def rendered_statement() -> str:
 
 STATEMENTS = {
     "board_matrix": f"""
-      SELECT CAST({PERIOD_NO} * 1000 + {SCOPE_NO} AS INTEGER) AS page_no, scope, period,
+      SELECT CAST({PERIOD_NO} AS BIGINT) * 1099511627776 + {SCOPE_NO} AS page_no, scope, period,
         '{P.SITE}{P.BOARD_PATH}' || CASE WHEN scope = 'global' THEN '' ELSE '/' || scope END || '?since=' || period || '&spoken_language_code=' AS url,
         scope || '-' || period AS slug
       FROM (SELECT DISTINCT unnest([event_type, 'global']) AS scope FROM events), (SELECT unnest({sql_list(P.PERIODS)}) AS period)""",
@@ -661,9 +661,9 @@ STATEMENTS = {
         ON a.scope = w.scope AND a.period = w.period""",
     "duplicate_keys": "SELECT full_name, count(*) AS rows FROM (SELECT full_name FROM enriched UNION ALL SELECT DISTINCT full_name FROM good) GROUP BY 1 HAVING count(*) > 1",
     "pool_reconcile": """
-      SELECT full_name, 'extra' AS side FROM enriched WHERE full_name NOT IN (SELECT full_name FROM good)
-      UNION ALL SELECT DISTINCT full_name, 'missing' FROM good WHERE full_name NOT IN (SELECT full_name FROM enriched)""",
-    "pool_counts": "SELECT raw_candidates, evaluated, raw_candidates = 57 AS raw_match, evaluated = 147 AS evaluated_match FROM (SELECT (SELECT count(*) FROM trend_now) AS raw_candidates, (SELECT count(*) FROM enriched) AS evaluated)",
+      SELECT full_name, 'extra' AS side FROM enriched WHERE k % 40 <> 39 AND full_name NOT IN (SELECT full_name FROM good)
+      UNION ALL SELECT DISTINCT full_name, 'missing' FROM good WHERE full_name NOT IN (SELECT full_name FROM enriched WHERE k % 40 <> 39)""",
+    "pool_counts": "SELECT raw_candidates, evaluated, raw_candidates = 57 AS raw_match, evaluated = 147 AS evaluated_match FROM (SELECT (SELECT count(*) FROM trend_now) AS raw_candidates, (SELECT count(*) FROM enriched WHERE k % 40 <> 39) AS evaluated)",
     "symmetric_difference": f"""
       SELECT full_name, 'extra' AS side FROM (SELECT full_name FROM board WHERE capture_date = {C} EXCEPT SELECT full_name FROM board WHERE capture_date = {B})
       UNION ALL SELECT full_name, 'missing' FROM (SELECT full_name FROM board WHERE capture_date = {B} EXCEPT SELECT full_name FROM board WHERE capture_date = {C})""",
@@ -815,11 +815,11 @@ STATEMENTS = {
     "read_batch": "SELECT capture_date, scope, period, rank, full_name, period_stars, status FROM board",
     "write_snapshots": "SELECT capture_date, full_name, status, final_score FROM evals",
     "schema_conformance": f"""
-      SELECT CAST(capture_date AS VARCHAR) AS doc, 'batch' AS object, CAST(0 AS INTEGER) AS position,
+      SELECT CAST(capture_date AS VARCHAR) AS doc, 'batch' AS object, CAST(0 AS BIGINT) AS position,
         CASE WHEN day(capture_date) = 30 THEN 'description' ELSE '' END AS violations FROM (SELECT DISTINCT capture_date FROM board)
-      UNION ALL SELECT CAST(capture_date AS VARCHAR), 'page', CAST(page AS INTEGER), CASE WHEN scope = 'view' THEN 'scope' ELSE '' END FROM page_numbers
-      UNION ALL SELECT CAST(capture_date AS VARCHAR), 'entry', CAST(page * 1000 + rank - 1 AS INTEGER), '' FROM board JOIN page_numbers USING (capture_date, page_no)
-      UNION ALL SELECT CAST(capture_date AS VARCHAR), 'repository', CAST(row_number() OVER (PARTITION BY capture_date ORDER BY full_name) - 1 AS INTEGER),
+      UNION ALL SELECT CAST(capture_date AS VARCHAR), 'page', CAST(page AS BIGINT), CASE WHEN scope = 'view' THEN 'scope' ELSE '' END FROM page_numbers
+      UNION ALL SELECT CAST(capture_date AS VARCHAR), 'entry', CAST(page AS BIGINT) * 4294967296 + rank - 1, '' FROM board JOIN page_numbers USING (capture_date, page_no)
+      UNION ALL SELECT CAST(capture_date AS VARCHAR), 'repository', CAST(row_number() OVER (PARTITION BY capture_date ORDER BY full_name) - 1 AS BIGINT),
         {violations(("k % 10 = 3", "missing_field"), ("k % 47 = 9", "card_extra_field"), ("k % 43 = 8", "card_features_items"))}
       FROM (SELECT DISTINCT capture_date, full_name FROM board) JOIN enriched USING (full_name)""",
 }

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rankloom import params as P
 from rankloom.functions.scalars import canonical_url
-from rankloom.operators.boards import board_rows
+from rankloom.operators.boards import board_rows, page_number
 from rankloom.operators.catalog import CATALOG_SCHEMA, catalog_upsert
 from rankloom.operators.edition import period_features
 from rankloom.operators.ranking import evaluate, trend_board, trend_boards
@@ -49,12 +49,16 @@ def board_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def scopes(spark: SparkSession, folder: str) -> DataFrame:
     """Scopes found in the data, with ``global`` and a number in name order."""
-    found = read_table(spark, folder, "events").select(F.explode(F.array(F.col("event_type"), F.lit("global"))).alias("scope"))
+    types = read_table(spark, folder, "events").select("event_type").distinct()
+    found = types.select(F.explode(F.array(F.col("event_type"), F.lit("global"))).alias("scope"))
     return found.distinct().withColumn("scope_no", scope_number())
 
 
 def scope_number() -> Column:
-    return (F.array_position(F.array(*map(F.lit, SCOPES)), F.col("scope")) - 1).cast("int")
+    """The known scopes in their order; any other has a number from its hash, above them."""
+    place = F.array_position(F.array(*map(F.lit, SCOPES)), F.col("scope")) - 1
+    hashed = F.lit(len(SCOPES)) + F.pmod(F.xxhash64("scope"), F.lit((1 << 39) - len(SCOPES)))
+    return F.when(place >= 0, place).otherwise(hashed)
 
 
 def board_entries(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,7 +77,7 @@ def as_entries(rows: DataFrame) -> DataFrame:
     source = F.concat(F.lit(P.SITE + P.BOARD_PATH + "/"), "scope", F.lit("?since="), "period")
     return rows.select(
         "capture_date",
-        (period_no * 1000 + scope_number()).cast("int").alias("page_no"),
+        page_number(period_no, scope_number()).alias("page_no"),
         "scope",
         "period",
         F.lit("any").alias("spoken_language"),
@@ -131,7 +135,6 @@ def enrichment(spark: SparkSession, folder: str) -> DataFrame:
         read_table(spark, folder, "customer")
         .join(active, "c_custkey", "left_semi")
         .join(read_table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .where(F.col("c_custkey") % 40 != 39)
     )
     k = F.col("c_custkey")
     name = item_name(k)
@@ -365,8 +368,8 @@ def document_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def board_html(spark: SparkSession, folder: str) -> DataFrame:
-    """Web pages with their navigation items written as board rows; some are empty boards, some
-    have a row without link, some are left as they are."""
+    """Web pages with their navigation items written as board rows, in four spellings of HTML; some
+    are empty boards, some have a row without link or without end, some are left as they are."""
     k = F.col("page_id")
     n = k.cast("string")
     row = F.concat(
@@ -376,10 +379,22 @@ def board_html(spark: SparkSession, folder: str) -> DataFrame:
         when_mod(k, 3, 0, F.concat(F.lit('<span class="float-sm-right">'), n, F.lit(" stars today</span>")), ""),
         F.lit('<span class="d-inline-block"><img alt="@$1"></span></article>'),
     )
-    boards = F.regexp_replace("html", F.lit(r'<li><a href="/([^"]*)">([^<]*)</a></li>'), row)
-    broken = F.replace(boards, F.lit("<h2>"), F.lit("<h3>"))
+    bare = F.regexp_replace(row, '="([^"]*)"', "=$1")
+    for lower, upper in (("article", "ARTICLE"), ("<h2", "<H2"), ("</h2", "</H2"), (" class=", " CLASS="), (" href=", " HREF=")):
+        bare = F.replace(bare, F.lit(lower), F.lit(upper))
+    coded = F.replace(F.replace(row, F.lit("&amp;"), F.lit("&#38;")), F.lit("About"), F.lit("&#x41;bout"))
+    spelled = F.when(k % 4 == 1, F.replace(row, F.lit('"'), F.lit("'"))).when(k % 4 == 2, bare).when(k % 4 == 3, coded).otherwise(row)
+    boards = F.regexp_replace("html", F.lit(r'<li><a href="/([^"]*)">([^<]*)</a></li>'), spelled)
+    broken = F.regexp_replace(boards, "<[hH]2>", "<h3>")
+    unended = F.regexp_replace(boards, "</(?:article|ARTICLE)>", "")
     empty = F.concat(F.lit("<h1>Trending</h1><p>It looks like we don't have any trending repositories "), n, F.lit("</p>"))
-    html = F.when(k % 10 == 7, broken).when(k % 10 == 8, empty).when(k % 10 == 9, F.col("html")).otherwise(boards)
+    html = (
+        F.when(k % 10 == 7, broken)
+        .when(k % 10 == 8, empty)
+        .when(k % 10 == 9, F.col("html"))
+        .when(k % 20 == 3, unended)
+        .otherwise(boards)
+    )
     return web_pages(spark, folder).select("page_id", html.alias("html"))
 
 

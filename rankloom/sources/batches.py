@@ -185,7 +185,7 @@ def schema_conformance(
         entry_rows.select(
             key,
             F.lit("entry").alias("object"),
-            (F.col("page") * 1000 + F.col("position")).alias("position"),
+            (F.shiftleft(F.col("page").cast("bigint"), 32) + F.col("position")).alias("position"),
             entry_rules.alias("violations"),
         ),
         repo_rows.select(key, F.lit("repository").alias("object"), "position", repo_rules.alias("violations")),

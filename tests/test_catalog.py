@@ -89,11 +89,19 @@ def test_missing_evaluations_are_reported(spark):
 
 
 def test_search(spark):
-    rows = [("a/tool", "Example/Tool 数据分析 Python", "数据分析", "Python")]
+    rows = [("dock/knots", "Dock/Knots 绳结 图解 Forth", "手工", "Forth"), ("dock/tides", "dock/tides TIDE tables", "海洋", "Ada")]
     df = spark.createDataFrame(rows, "full_name STRING, search STRING, category STRING, language STRING")
-    find = lambda *a, **k: C.catalog_search(df, *a, **k).count()
-    assert find("example 数据", category="数据分析", language="Python") == 1
-    assert (find("absent"), find("", language="Rust"), find("")) == (0, 0, 1)
+    names = lambda *a, **k: sorted(r.full_name for r in C.catalog_search(df, *a, **k).collect())
+    assert names("图解 dock") == ["dock/knots"] and names("tide Dock") == ["dock/tides"]
+    assert names("") == ["dock/knots", "dock/tides"] and names("anchor") == []
+    assert names("Ｔｉｄｅ　ＴＡＢＬＥＳ") == ["dock/tides"]
+    assert names("", language="Ada") == ["dock/tides"] and names("knots", category="海洋") == []
+
+
+def test_positions_keep_null_groups(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", 4)], "g STRING, id INT")
+    got = {r.id: r.position for r in with_position(df, [F.col("id")], ("g",), partitions=3).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 2}
 
 
 def test_positions_over_hot_groups(spark):

@@ -1,4 +1,5 @@
 import random
+from bisect import bisect_left, bisect_right
 from datetime import date
 
 import pytest
@@ -14,15 +15,12 @@ DAY, BEFORE = date(2026, 8, 27), date(2026, 8, 20)
 
 
 def plain_percentiles(values):
-    known = [v for v in values.values() if v is not None]
-    out = {}
-    for key, v in values.items():
-        if v is None or len(known) < 2:
-            out[key] = 50.0
-        else:
-            less, equal = sum(o < v for o in known), sum(o == v for o in known)
-            out[key] = 100.0 * (less + (equal - 1) / 2) / (len(known) - 1)
-    return out
+    """Mean place of a value in the sorted list, in percent of the last place; 50 where there is none."""
+    ordered = sorted(v for v in values.values() if v is not None)
+    if len(ordered) < 2:
+        return dict.fromkeys(values, 50.0)
+    place = {v: (bisect_left(ordered, v) + bisect_right(ordered, v) - 1) / 2 for v in set(ordered)}
+    return {key: 50.0 if v is None else place[v] * 100 / (len(ordered) - 1) for key, v in values.items()}
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -145,3 +143,27 @@ def test_waterfall_stages(spark):
 def test_grades(spark):
     df = spark.createDataFrame([Row(s=x) for x in (85.0, 84.99, 75.0, 65.0, 64.99)])
     assert [r[0] for r in df.select(S.grade(F.col("s"))).collect()] == ["S", "A", "A", "B", None]
+
+
+def test_small_fractions_spread_over_buckets(spark):
+    values = spark.range(100_000).select((F.col("id") / 1e9).alias("v"))
+    assert values.select(R.value_bucket(F.col("v"))).distinct().count() > 5000
+    ordered = values.orderBy("v").select(R.value_bucket(F.col("v")).alias("b")).limit(2000).collect()
+    assert [r.b for r in ordered] == sorted(r.b for r in ordered)
+
+
+def test_null_population(spark):
+    rows = [(None, 1, 10), (None, 2, 20), (None, 3, 30), ("a", 4, 5), ("a", 5, 6)]
+    df = spark.createDataFrame(rows, "g STRING, i INT, v BIGINT")
+    got = {r.i: r.percentile for r in R.midrank_percentile(df, ("g",), "v").collect()}
+    assert got == {1: 0.0, 2: 50.0, 3: 100.0, 4: 0.0, 5: 100.0}
+
+
+def test_one_idea_of_the_previous_capture(spark):
+    """A capture in which every page failed is still the previous one."""
+    early, failed = date(2026, 8, 13), BEFORE
+    rows = [entry(early, "global", "daily", 9, "dock/a", 5), entry(failed, "global", "daily", 1, "dock/a", 5, status="failed"), entry(DAY, "global", "daily", 3, "dock/a", 5)]
+    snapshots = entries(spark, rows)
+    assert R.previous_snapshot_date(snapshots, DAY).first()[0] == failed
+    assert R.momentum_join(snapshots, DAY).first().previous_rank is None
+    assert R.trend_board(snapshots, DAY).first().rank_momentum == 50.0
