@@ -254,8 +254,13 @@ def repeats(records: np.ndarray, bodies: bytes, group: np.ndarray) -> np.ndarray
     flat = np.frombuffer(bodies, np.uint8)
     place = np.empty(n, np.int64)
     place[order] = np.arange(n)
-    to = np.repeat(place * (REACH + SPAN) + REACH - records["lead"].astype(np.int64) - first, size) + np.arange(len(flat))
-    matrix.ravel()[to] = flat
+    begin = place * (REACH + SPAN) + REACH - records["lead"].astype(np.int64)
+    cells = matrix.ravel()
+    for a in range(0, n, PIECE // 4):
+        z = min(a + PIECE // 4, n)
+        low, high = first[a], first[z - 1] + size[z - 1]
+        to = np.repeat(begin[a:z] - (first[a:z] - low), size[a:z]) + np.arange(high - low)
+        cells[to] = flat[low:high]
     lead = records["lead"][order].astype(np.int64)
     last = lead - records["run"][order] + 1
     after_order, after = _ranked(matrix[:, REACH:])
