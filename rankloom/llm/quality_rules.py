@@ -6,8 +6,8 @@ boilerplate by Viterbi decoding. A document is kept when at least ``CONTENT_SHAR
 content lines and the base rules hold: ``MIN_WORDS`` words, and at most half of the words in repeated
 three-word windows.
 
-The fit uses at most ``FIT_DOCUMENTS`` labelled rows per class, those with the smallest hash of their id; all
-else covers every row. Without labels of both classes the starting weights hold.
+The fit uses at most ``FIT_DOCUMENTS`` labelled rows, those with the smallest hash of their id, in the classes' own
+proportion; all else covers every row. Without labels of both classes the starting weights hold.
 
 Null text: no words, so it fails. White space alone: likewise. Repeated rows get the same verdict each.
 Other columns are passed through or ignored.
@@ -30,7 +30,7 @@ from rankloom.llm.words import mix, words_of
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 CONTENT_SHARE = 0.5
-FIT_DOCUMENTS = 1000
+FIT_DOCUMENTS = 2000
 EPOCHS, RATE, SHRINK = 4, 0.1, 1e-4
 BLOCK = 4 << 20
 
@@ -53,6 +53,7 @@ OBSERVATIONS = {
     "sentence_end": 1.0,
     "short": -0.2,
     "long": 0.5,
+    "echo": -3.0,
 }
 
 
@@ -68,6 +69,11 @@ class Chain:
     def start(cls) -> Chain:
         return cls(list(OBSERVATIONS.values()), [[0.5, -0.5], [-0.5, 0.5]], [0.0, 0.0])
 
+    def add(self, other: Chain, share: float) -> None:
+        self.weights = [w + share * o for w, o in zip(self.weights, other.weights)]
+        self.begin = [w + share * o for w, o in zip(self.begin, other.begin)]
+        self.step = [[w + share * o for w, o in zip(x, y)] for x, y in zip(self.step, other.step)]
+
     def scores(self, lines: list[list[int]]) -> list[float]:
         w = self.weights
         return [sum(w[k] for k in line) for line in lines]
@@ -131,7 +137,8 @@ def observe(line: bytes, repeated: bool) -> list[int]:
     signs = n - len(line.translate(None, SIGNS))
     upper = n - len(line.translate(None, UPPER))
     digits = n - len(line.translate(None, DIGITS))
-    words = line.count(b" ") + 1
+    split = line.split()
+    words = len(split)
     end = line[-1:]
     held = (
         True,
@@ -146,6 +153,7 @@ def observe(line: bytes, repeated: bool) -> list[int]:
         end in (b".", b"?", b"!", b"\xbb", b'"'),
         words < 4,
         words > 12,
+        words > 5 and 2 * len(set(split)) < words,
     )
     return [k for k, h in enumerate(held) if h]
 
@@ -211,11 +219,12 @@ def measure(texts: list[bytes], chain: Chain) -> dict[str, list]:
 def fit(docs: DataFrame, labels: DataFrame, bound: int = FIT_DOCUMENTS) -> Chain:
     """Weights from documents that ``labels`` calls good (quality 1: all lines content) or bad (0: none).
 
-    At most ``bound`` documents of each class are used, so what comes to the driver is bounded."""
+    At most ``bound`` documents are used, so what comes to the driver is bounded. The weights are the mean over
+    the steps of the last epoch."""
     chain = Chain.start()
     order = (F.xxhash64(F.lit(9), "doc_id"), "doc_id")
-    picked = [labels.where(F.col("quality") == q).select("doc_id", "quality").dropna().distinct().orderBy(*order).limit(bound) for q in (0, 1)]
-    sample = docs.select("doc_id", "text").join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")
+    picked = labels.where(F.col("quality").isin(0, 1)).select("doc_id", "quality").dropna().distinct().orderBy(*order).limit(bound)
+    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -225,16 +234,17 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = FIT_DOCUMENTS) -> Chain
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = sample.mapInArrow(features, f"doc_id {kind}, quality long, lines array<long>").orderBy(*order, F.hash("lines")).collect()
-    if len({r["quality"] for r in rows}) < 2:
-        return chain
     bits = range(len(OBSERVATIONS))
     known = [([[k for k in bits if m >> k & 1] for m in r["lines"]], r["quality"]) for r in rows if r["lines"]]
-    counts = {q: sum(quality == q for _, quality in known) for q in (0, 1)}
+    if len({quality for _, quality in known}) < 2:
+        return chain
+    total = Chain([0.0] * len(OBSERVATIONS), [[0.0, 0.0], [0.0, 0.0]], [0.0, 0.0])
     for epoch in range(EPOCHS):
         for lines, quality in known:
-            weight = len(known) / (2 * counts[quality])
-            chain.learn(lines, [quality] * len(lines), RATE * weight / (1 + epoch))
-    return chain
+            chain.learn(lines, [quality] * len(lines), RATE / (1 + epoch))
+            if epoch == EPOCHS - 1:
+                total.add(chain, 1 / len(known))
+    return total
 
 
 def _rows(chain: Chain) -> Callable:

@@ -44,11 +44,24 @@ def test_quality_rules(spark):
     assert quality_report(empty(spark), fit(empty(spark), labels(spark))).count() == 0
 
 
+def test_faults_of_some_bad_documents_do_not_spoil_the_rest(spark):
+    """Most bad documents repeat a word; their lines end like sentences. Clean ones stay."""
+    from tests.llm.edge import prose
+
+    clean = [(k, "\n".join(prose(1000 + 9 * k + j, 18) for j in range(6)), 1) for k in range(80)]
+    echo = [(100 + k, f"{prose(2000 + k, 12)}\n" + "\n".join(f"{w} " * 20 + f"{w}." for w in ("stone", "amber", "river")), 0) for k in range(30)]
+    docs = spark.createDataFrame([(k, t) for k, t, _ in clean + echo], "doc_id long, text string")
+    marks = spark.createDataFrame([(k, q) for k, _, q in clean + echo], "doc_id long, quality int")
+    chain = fit(docs, marks)
+    kept = {r["doc_id"] for r in keep_good(docs, chain).collect()}
+    assert kept == {k for k, _, _ in clean}
+
+
 def test_decoding_is_the_best_path():
     chain = Chain.start()
     rng = np.random.default_rng(2)
     for _ in range(20):
-        lines = [sorted(rng.choice(12, 3, replace=False).tolist()) for _ in range(7)]
+        lines = [sorted(rng.choice(13, 3, replace=False).tolist()) for _ in range(7)]
 
         def value(states):
             s = chain.scores(lines)
