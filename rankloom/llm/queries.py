@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rankloom.llm.common import read
+from rankloom.llm.oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES"]
 
 
 def register(fn: Query) -> Query:
