@@ -20,8 +20,10 @@ FROM sets s JOIN (SELECT doc_id, min(r) AS component_id FROM reached GROUP BY do
 
 SUFFIX_DEDUP = """
 WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-places AS (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS p FROM texts WHERE length(h) >= 200),
-numbered AS (SELECT doc_id, p, row_number() OVER (PARTITION BY md5_number(substring(h, 2 * p + 1, 200)) ORDER BY doc_id, p) AS k FROM places),
+places AS (
+  SELECT doc_id, p, md5_number(substring(h, 2 * p + 1, 200)) AS digest
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS p FROM texts WHERE length(h) >= 200)),
+numbered AS (SELECT doc_id, p, row_number() OVER (PARTITION BY digest ORDER BY doc_id, p) AS k FROM places),
 repeats AS (SELECT doc_id, p, p > lag(p, 1, -101) OVER (PARTITION BY doc_id ORDER BY p) + 100 AS opens FROM numbered WHERE k > 1),
 islands AS (SELECT doc_id, p, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY p) AS island FROM repeats),
 spans AS (SELECT doc_id, island, min(p) AS a, max(p) + 100 AS z FROM islands GROUP BY doc_id, island),
