@@ -37,7 +37,7 @@ FREQUENT, SIGNATURES = 31, 32
 CLASSES = FREQUENT + 1 + SIGNATURES  #: the end token has a class of its own
 END_CLASS = FREQUENT
 TABLE = 1 << 12  #: rows of weights for each of the three kinds of features
-BATCH, RATE, SLICE = 4096, 0.35, 16
+BATCH, RATE, SLICE = 4096, 0.35, 64
 COUNT_BYTES, GROUP_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20, 32 << 20
 END = np.uint64(1)
 CHUNK = 256  #: rows of weights that are averaged together
@@ -170,6 +170,18 @@ class Model:
         return out
 
 
+def _row_sums(p: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the rows of ``p`` in ``order``, by segment; most segments have one row, which is only copied."""
+    size = np.diff(np.append(first, len(order)))
+    out = p[order[first]]
+    many = np.flatnonzero(size > 1)
+    if len(many):
+        inside = np.repeat(size > 1, size)
+        begin = np.cumsum(size[many]) - size[many]
+        out[many] = np.add.reduceat(p[order[inside]], begin)
+    return out
+
+
 def learn(model: Model, texts: list[bytes], history: np.ndarray) -> int:
     """Gradient steps over the texts; the step of a row of weights falls with the squares of its gradients."""
     t = tokens_of(texts)
@@ -186,7 +198,7 @@ def learn(model: Model, texts: list[bytes], history: np.ndarray) -> int:
         flat = used.ravel()
         order = np.argsort(flat, kind="stable")
         mine, first = np.unique(flat[order], return_index=True)
-        gradient = np.add.reduceat(p[order % (z - a)], first)
+        gradient = _row_sums(p, order % (z - a), first)
         history[mine] += np.einsum("ij,ij->i", gradient, gradient)
         model.weights[mine] -= gradient * (RATE / np.sqrt(history[mine]))[:, None]
         model.bias -= p.sum(0) * np.float32(0.05 / (z - a))
