@@ -114,3 +114,29 @@ def test_hosts(spark):
     by_id = {r["page_id"]: r for r in found}
     assert by_id[0]["text"] == prose(0, 20) and by_id[10]["text"].startswith("Home") and by_id[0]["n_chars"] == len(prose(0, 20))
     assert main_text(df.limit(0)).count() == 0
+
+
+def test_large_host_keeps_common_phrases_and_copies(spark):
+    def own(k, n):
+        return " ".join(f"w{k}x{i}" for i in range(n))
+
+    phrase, menu, notice = "at the end of the", "<div>Home</div><div>News</div><div>Sports and more</div>", " ".join(f"notice{i}" for i in range(24))
+    article = own("a", 80)
+    host = "https://big.example"
+    pages, expected = [], {}
+    for k in range(120):
+        text = f"{own(k, 12)} {phrase} {own(-k - 1, 9)}" if k % 2 else own(k, 25)
+        inside = f" {notice} {own(k + 1000, 4)}" if k % 3 == 0 else ""
+        pages.append((k, f"{host}/{k}", f"{menu}<p>{text}{inside}</p><div>Share this</div>"))
+        expected[k] = text + (f" {own(k + 1000, 4)}" if inside else "")
+    for k in range(200, 203):
+        pages.append((k, f"{host}/{k}", f"{menu}<p>{article}</p><p>at {own(k, 3)}</p>"))
+        expected[k] = f"{article} at {own(k, 3)}"
+    for k in range(300, 303):  # the only pages of their host
+        pages.append((k, f"https://copies.example/{k}", f"<p>{article}</p>"))
+        expected[k] = article
+    for k in range(400, 402):
+        pages.append((k, f"https://two.example/{k}", f"<div>one two three four five six</div><p>{own(k, 8)}</p>"))
+        expected[k] = own(k, 8)
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
+    assert {r["page_id"]: r["text"] for r in main_text(df).collect()} == expected
