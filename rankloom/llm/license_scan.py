@@ -1,6 +1,7 @@
 """License scan by conditional compression.
 
-Lines with a cue word form candidate blocks. A block is compressed by zstandard alone and with each
+Lines with a cue word form candidate blocks, with as many words before and after as the longest template has,
+since the lines of a wrapped notice need not all have a cue. A block is compressed by zstandard alone and with each
 template as a raw dictionary; the templates are ranked by how much smaller the block gets, relative to
 the template's own size. The leading ones are confirmed by the exact differences in wording: words of the template that
 the block lacks, and words that it has in between. A match must hold every distinguishing word of the
@@ -13,6 +14,7 @@ Null or empty texts give no rows; repeated rows give their matches each time; a
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
@@ -48,12 +50,35 @@ CONFIRMED = 4
 LEVEL = 19
 CUE = r"licen[cs]e|copyright|permission|redistribut|public domain|creative commons|unencumbered|software"
 _WORD = re.compile(r"[a-z0-9]+(?:[.'-][a-z0-9]+)*")
+_END = re.compile(r"""[^.!?]*[.!?]["')]*(?:\s|\Z)""")
 
 
 def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+#: (word, line, place in the line, whether a sentence ends with it)
+Token = tuple[str, int, int, bool]
+
+
+def tokens_of(lines: list[str], i: int) -> list[Token]:
+    line = lines[i].lower()
+    found = list(_WORD.finditer(line))
+    starts = [m.start() for m in found[1:]] + [len(line)]
+    return [(m[0], i, j, bool(_END.match(line[m.end() : z])) and not line[z : z + 1].isdigit()) for j, (m, z) in enumerate(zip(found, starts))]
+
+
+def beside(lines: list[str], at: int, step: int, stop: int, least: int) -> list[Token]:
+    """Words of the lines beside ``at``, up to ``stop`` or until there are ``least``."""
+    found: list[list[Token]] = []
+    i, n = at + step, 0
+    while i != stop and n < least:
+        found.append(tokens_of(lines, i))
+        n += len(found[-1])
+        i += step
+    return [t for line in found[::step] for t in line]
+
+
 class Scanner:
     def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES):
         import zstandard as zstd
@@ -82,10 +107,24 @@ class Scanner:
             rows.append(((alone - given) / self.own[k], k, alone, given))
         return sorted(rows, key=lambda r: (-r[0], -len(self.words[r[1]]), r[1]))
 
-    def wording(self, block: list[str], k: int) -> tuple[int, int, list[str], list[str], float] | None:
+    def possible(self, block: list[str], k: int) -> bool:
+        """Whether the block has words enough, in any order."""
+        need = Counter(self.words[k])
+        return self.telling[k] <= set(block) and sum((need & Counter(block)).values()) >= SIMILARITY * len(self.words[k])
+
+    def wording(self, block: list[str], k: int, core: list[bool]) -> tuple[int, int, list[str], list[str], float] | None:
+        """As ``compared``, at best without words of lines that have no cue and that stand apart from the rest."""
+        runs = [m for m in SequenceMatcher(None, self.words[k], block, autojunk=False).get_matching_blocks() if m.size]
+        near = list(runs)
+        while len(near) > 1 and not any(core[near[0].b : near[0].b + near[0].size]) and near[1].b - near[0].b - near[0].size > 2 * near[0].size:
+            near.pop(0)
+        while len(near) > 1 and not any(core[near[-1].b : near[-1].b + near[-1].size]) and near[-1].b - near[-2].b - near[-2].size > 2 * near[-1].size:
+            near.pop()
+        return self.compared(block, k, near) or self.compared(block, k, runs)
+
+    def compared(self, block: list[str], k: int, runs: list) -> tuple[int, int, list[str], list[str], float] | None:
         """Start and end of the template's words in the block, what it lacks, what it adds, share held."""
         template = self.words[k]
-        runs = [m for m in SequenceMatcher(None, template, block, autojunk=False).get_matching_blocks() if m.size]
         while runs and len(runs) > 1:  # stray words far off are no part of it
             held = sum(m.size for m in runs)
             if runs[-1].b + runs[-1].size - runs[0].b <= 2 * len(template):
@@ -113,19 +152,28 @@ class Scanner:
                 groups[-1].append(i)
             else:
                 groups.append([i])
+        reach, taken = max(map(len, self.words)), (0, 0)  # line and place after the last match
         for number, group in enumerate(groups):
-            rest = [words("\n".join(lines[group[0] : group[-1] + 1]))]
+            low, high = group[0], group[-1]
+            before = beside(lines, low, -1, groups[number - 1][-1] if number else -1, reach)
+            after = beside(lines, high, 1, groups[number + 1][0] if number + 1 < len(groups) else len(lines), reach)
+            core = [t for i in range(low, high + 1) for t in tokens_of(lines, i)]
+            rest = [[t for t in before[-reach:] if t[1:3] >= taken] + core + after[:reach]]
             while rest:
-                block = rest.pop(0)
-                if len(block) < 3:
+                tokens = rest.pop(0)
+                block = [t[0] for t in tokens]
+                likely = {k for k in range(len(self.words)) if self.possible(block, k)}
+                if len(block) < 3 or not likely:
                     continue
                 for gain, k, alone, given in self.ranked(block)[:CONFIRMED]:
-                    found = self.wording(block, k) if gain > 0 else None
+                    found = self.wording(block, k, [low <= t[1] <= high for t in tokens]) if gain > 0 and k in likely else None
                     if found:
                         start, end, missing, extra, held = found
                         exact = not missing and not extra
-                        yield (number, group[0], group[-1], self.names[k], k, alone, given, float(gain), " ".join(missing), " ".join(extra), held, "exact" if exact else "reworded")
-                        rest[:0] = [block[:start], block[end:]]
+                        first, last = min(low, tokens[start][1]), max(high, tokens[end - 1][1])
+                        yield (number, first, last, self.names[k], k, alone, given, float(gain), " ".join(missing), " ".join(extra), held, "exact" if exact else "reworded")
+                        taken = max(taken, (tokens[end - 1][1], tokens[end - 1][2] + 1))
+                        rest[:0] = [tokens[:start], tokens[end:]]
                         break
 
 

@@ -140,3 +140,20 @@ def test_large_host_keeps_common_phrases_and_copies(spark):
         expected[k] = own(k, 8)
     df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
     assert {r["page_id"]: r["text"] for r in main_text(df).collect()} == expected
+
+
+def test_wrapped_notices():
+    import textwrap
+
+    from rankloom.llm.license_scan import Scanner
+
+    scanner = Scanner()
+    for name, text in TEMPLATES:
+        for width in (60, 70, 80):
+            for mark in ("", "# ", "// ", " * "):
+                wrapped = "\n".join(mark + line for line in textwrap.wrap(text, width, break_on_hyphens=False))
+                found = list(scanner.matches(f"{prose(1, 30)}\n\n{wrapped}\n{mark.rstrip()}\n{prose(2, 60)}"))
+                assert [(m[3], m[-1]) for m in found] == [(name, "exact")], (text, width, mark)
+    mpl = TEMPLATES[9][1].replace("Mozilla Public ", "Mozilla Public\n")
+    far = "\n".join([mpl, prose(3, 20), prose(4, 20), prose(5, 20), mpl])
+    assert [(m[1], m[2], m[3]) for m in scanner.matches(far)] == [(0, 1, "MPL-2.0"), (5, 6, "MPL-2.0")]
