@@ -3,10 +3,11 @@
 Lines with a cue word form candidate blocks, with as many words before and after as the longest template has,
 since the lines of a wrapped notice need not all have a cue. A block is compressed by zstandard alone and with each
 template as a raw dictionary; the templates are ranked by how much smaller the block gets, relative to
-the template's own size. The leading ones are confirmed by the exact differences in wording: words of the template that
+the template's own size. In this order they are confirmed by the exact differences in wording: words of the template that
 the block lacks, and words that it has in between. A match must hold every distinguishing word of the
 template (those that set it apart from the others) and ``SIMILARITY`` of all its words, in order. The matched
-words are then taken out of the block and the rest is scanned again, so one block may give several matches.
+words are then taken out of the block and the rest is scanned again, so one block may give several matches; a
+block that none matches is cut into its sentences, or else its lines.
 
 Null or empty texts give no rows; repeated rows give their matches each time; a null doc_id is kept.
 """
@@ -45,8 +46,6 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 )
 
 SIMILARITY = 0.85
-#: Templates whose wording is compared, by rank.
-CONFIRMED = 4
 LEVEL = 19
 CUE = r"licen[cs]e|copyright|permission|redistribut|public domain|creative commons|unencumbered|software"
 _WORD = re.compile(r"[a-z0-9]+(?:[.'-][a-z0-9]+)*")
@@ -79,6 +78,15 @@ def beside(lines: list[str], at: int, step: int, stop: int, least: int) -> list[
     return [t for line in found[::step] for t in line]
 
 
+def pieces(tokens: list[Token]) -> list[list[Token]]:
+    """The sentences of a block, or else its lines; none if it can't be cut."""
+    for cut in (lambda t, _: t[3], lambda t, after: t[1] != after[1]):
+        edges = [0, *(i for i in range(1, len(tokens)) if cut(tokens[i - 1], tokens[i])), len(tokens)]
+        if len(edges) > 2:
+            return [tokens[x:z] for x, z in zip(edges, edges[1:])]
+    return []
+
+
 class Scanner:
     def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES):
         import zstandard as zstd
@@ -165,7 +173,7 @@ class Scanner:
                 likely = {k for k in range(len(self.words)) if self.possible(block, k)}
                 if len(block) < 3 or not likely:
                     continue
-                for gain, k, alone, given in self.ranked(block)[:CONFIRMED]:
+                for gain, k, alone, given in self.ranked(block):
                     found = self.wording(block, k, [low <= t[1] <= high for t in tokens]) if gain > 0 and k in likely else None
                     if found:
                         start, end, missing, extra, held = found
@@ -175,6 +183,8 @@ class Scanner:
                         taken = max(taken, (tokens[end - 1][1], tokens[end - 1][2] + 1))
                         rest[:0] = [tokens[:start], tokens[end:]]
                         break
+                else:
+                    rest[:0] = pieces(tokens)
 
 
 SCHEMA = (

@@ -157,3 +157,14 @@ def test_wrapped_notices():
     mpl = TEMPLATES[9][1].replace("Mozilla Public ", "Mozilla Public\n")
     far = "\n".join([mpl, prose(3, 20), prose(4, 20), prose(5, 20), mpl])
     assert [(m[1], m[2], m[3]) for m in scanner.matches(far)] == [(0, 1, "MPL-2.0"), (5, 6, "MPL-2.0")]
+
+
+def test_every_template_is_tried():
+    from rankloom.llm.license_scan import Scanner
+
+    scanner = Scanner()
+    none = "This work is licensed under the GNU General Public License, version 1."
+    for k in (0, 2, 12):
+        assert [(m[3], m[-1]) for m in scanner.matches(f"{none}\n{TEMPLATES[k][1]}")] == [(TEMPLATES[k][0], "exact")]
+    two = f"{none} {prose(1, 16)} The work is licensed under the GNU General Public License, version 2."
+    assert [(m[3], m[8], m[9]) for m in scanner.matches(two)] == [("GPL-2.0", "this", "")]
