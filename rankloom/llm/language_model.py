@@ -1,14 +1,16 @@
 """Text scores by a hashed maximum-entropy model with a class-factored softmax.
 
-    P(word | context) = P(class | context) * P(word | class)
+    P(word | context) = P(class | context) * P(sub-class | class, context) * P(word | sub-class)
 
 The class of a word is its own if it is one of the most frequent, else one of ``SIGNATURES`` by its last bytes. The
 classes' softmax has hashed features of the context: the word before, the pair of classes before (n-gram), and
 the pair of classes two and four places back (skip). Its weights come from gradient steps over all training
 documents: each task takes steps on its own partition from the common weights, and the tasks' weights are averaged by
-tokens, first over a slice for a start, then over all. Inside a class, words follow their counts with an
-absolute discount; the discounted mass is the probability of an unknown word of that class, so the model
-sums to one over all known words and "unknown, of class k".
+tokens, first over a slice for a start, then over all. The infrequent words of a class fall into ``SUBS``
+sub-classes by their hash; their softmax has the same three features of the context, each hashed with the class, starts at
+the sub-classes' counts and is learnt in the same steps. Inside a sub-class, words follow their counts with an
+absolute discount and without regard to the context; the discounted mass is the probability of an unknown word there, so the model
+sums to one over all known words and "unknown, of class k and sub-class s".
 
 Word counts cover every training document. They live in a table of packed buckets, as many as the corpus
 asks for; a group of documents asks the buckets for the counts of its distinct words, and nothing that grows
@@ -21,7 +23,7 @@ alone; a null id counts as the empty text. Rows of one id are scored each. Other
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,7 @@ FOLDS, HELD = 5, 1
 FREQUENT, SIGNATURES = 31, 32
 CLASSES = FREQUENT + 1 + SIGNATURES  #: the end token has a class of its own
 END_CLASS = FREQUENT
+SUBS = 32  #: sub-classes of the infrequent words of a class
 TABLE = 1 << 12  #: rows of weights for each of the three kinds of features
 BATCH, RATE, SLICE = 4096, 0.35, 64
 COUNT_BYTES, GROUP_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20, 32 << 20
@@ -69,6 +72,10 @@ def tokens_of(texts: list[bytes]) -> Tokens:
     return out
 
 
+def sub_of(hashes: np.ndarray) -> np.ndarray:
+    return (mix(hashes ^ _U(SUBS)) % _U(SUBS)).astype(np.int64)
+
+
 def packed(hashes: np.ndarray, buckets: int, *others: np.ndarray) -> tuple[pa.Array, list[pa.Array]]:
     """Bucket numbers, and for each array its part in each bucket, as bytes."""
     bucket = ((hashes >> _U(20)) % _U(buckets)).astype(np.int64)
@@ -100,7 +107,7 @@ def _count(buckets: int):
 
 
 def _summed(table: pa.Table) -> pa.Table:
-    """One bucket of the vocabulary, its most frequent words, and its sums by class."""
+    """One bucket of the vocabulary, its most frequent words, and its sums by class and sub-class."""
     hashes, counts, kinds = _joined(table.column("hashes"), _U), _joined(table.column("counts"), "<u8"), _joined(table.column("kinds"), np.uint8)
     distinct, at, back = np.unique(hashes, return_index=True, return_inverse=True)
     total = np.zeros(len(distinct), np.uint64)
@@ -108,7 +115,8 @@ def _summed(table: pa.Table) -> pa.Table:
     kind = kinds[at]
     words = np.flatnonzero(distinct != END)
     top = words[np.lexsort((distinct[words], -total[words].astype(np.int64)))[:FREQUENT]]
-    sums = [np.bincount(kind, w, CLASSES).astype(np.int64).tolist() for w in (total, np.ones(len(kind)), total == 1, total == 2)]
+    cell = kind.astype(np.int64) * SUBS + sub_of(distinct)
+    sums = [np.bincount(cell, w, CLASSES * SUBS).astype(np.int64).tolist() for w in (total, np.ones(len(kind)), total == 1, total == 2)]
     frequent = [{"hash": int(h), "count": int(c), "kind": int(k)} for h, c, k in zip(distinct[top].astype(np.int64), total[top], kind[top])]
     return pa.table(
         {
@@ -134,6 +142,9 @@ class Model:
     unknown: np.ndarray  #: log10 probability of an unknown word, given its class
     bias: np.ndarray
     weights: np.ndarray  #: rows: the three tables one after the other
+    share: np.ndarray  #: log of each sub-class's share of its class
+    rare: np.ndarray  #: log10 probability of an unknown word of each sub-class, given the class
+    inner: np.ndarray  #: weights of the sub-classes, as ``weights``
 
     def classes(self, t: Tokens) -> np.ndarray:
         kind = t.kind.copy()
@@ -143,8 +154,8 @@ class Model:
             kind[own] = at[own]
         return kind
 
-    def features(self, t: Tokens, kind: np.ndarray) -> np.ndarray:
-        """Rows of weights for each token's context; before a text stands the end token."""
+    def features(self, t: Tokens, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of weights for each token's context, of classes and of sub-classes; before a text stands the end token."""
         n = len(t.hash)
         since = np.arange(n) - np.repeat(t.first[:-1], np.diff(t.first))
         wide = kind.astype(np.uint64)
@@ -155,19 +166,18 @@ class Model:
             return out
 
         one, two, four = (back(wide, k, _U(END_CLASS)) for k in (1, 2, 4))
-        low = _U(TABLE - 1)
-        word = mix(back(t.hash, 1, END)) & low
-        pair = mix(one * _U(CLASSES) + two + _U(1 << 40)) & low
-        skip = mix(two * _U(CLASSES) + four + _U(1 << 41)) & low
-        return np.stack([word, pair + _U(TABLE), skip + _U(2 * TABLE)]).astype(np.int32)
+        low, table = _U(TABLE - 1), np.arange(3, dtype=np.uint64)[:, None] * _U(TABLE)
+        context = np.stack([mix(back(t.hash, 1, END)), mix(one * _U(CLASSES) + two + _U(1 << 40)), mix(two * _U(CLASSES) + four + _U(1 << 41))])
+        inner = mix(context ^ (wide + _U(1)) * _U(0x9E3779B97F4A7C15)) & low
+        return ((context & low) + table).astype(np.int32), (inner + table).astype(np.int32)
+
 
-    def logits(self, rows: np.ndarray) -> np.ndarray:
-        w = self.weights
-        out = w[rows[0]]
-        out += w[rows[1]]
-        out += w[rows[2]]
-        out += self.bias
-        return out
+def _logits(weights: np.ndarray, rows: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    out = weights[rows[0]]
+    out += weights[rows[1]]
+    out += weights[rows[2]]
+    out += offset
+    return out
 
 
 def _row_sums(p: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -182,26 +192,36 @@ def _row_sums(p: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray
     return out
 
 
-def learn(model: Model, texts: list[bytes], history: np.ndarray) -> int:
-    """Gradient steps over the texts; the step of a row of weights falls with the squares of its gradients."""
+def _step(weights: np.ndarray, history: np.ndarray, rows: np.ndarray, offset: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """One gradient step; the step of a row of weights falls with the squares of its gradients."""
+    n = len(target)
+    p = _logits(weights, rows, offset)
+    p -= p.max(1, keepdims=True)
+    np.exp(p, out=p)
+    p /= p.sum(1, keepdims=True)
+    p[np.arange(n), target] -= 1
+    flat = rows.ravel()
+    order = np.argsort(flat, kind="stable")
+    mine, first = np.unique(flat[order], return_index=True)
+    gradient = _row_sums(p, order % n, first)
+    history[mine] += np.einsum("ij,ij->i", gradient, gradient)
+    weights[mine] -= gradient * (RATE / np.sqrt(history[mine]))[:, None]
+    return p
+
+
+def learn(model: Model, texts: list[bytes], history: np.ndarray, inner_history: np.ndarray) -> int:
+    """Gradient steps over the texts."""
     t = tokens_of(texts)
     kind = model.classes(t)
-    rows = model.features(t, kind)
+    rows, inner = model.features(t, kind)
+    sub = sub_of(t.hash)
     for a in range(0, len(kind), BATCH):
         z = min(a + BATCH, len(kind))
-        used = rows[:, a:z]
-        p = model.logits(used)
-        p -= p.max(1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(1, keepdims=True)
-        p[np.arange(z - a), kind[a:z]] -= 1
-        flat = used.ravel()
-        order = np.argsort(flat, kind="stable")
-        mine, first = np.unique(flat[order], return_index=True)
-        gradient = _row_sums(p, order % (z - a), first)
-        history[mine] += np.einsum("ij,ij->i", gradient, gradient)
-        model.weights[mine] -= gradient * (RATE / np.sqrt(history[mine]))[:, None]
+        p = _step(model.weights, history, rows[:, a:z], model.bias, kind[a:z])
         model.bias -= p.sum(0) * np.float32(0.05 / (z - a))
+        at = a + np.flatnonzero(kind[a:z] > END_CLASS)
+        if len(at):
+            _step(model.inner, inner_history, inner[:, at], model.share[kind[at]], sub[at])
     return len(kind)
 
 
@@ -209,15 +229,15 @@ def _steps(model: Model):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        own = Model(model.frequent, model.tokens, model.distinct, model.discount, model.size, model.unknown, model.bias.copy(), model.weights.copy())
-        history = np.ones(len(own.weights), np.float32)
+        own = replace(model, bias=model.bias.copy(), weights=model.weights.copy(), inner=model.inner.copy())
+        history = [np.ones(len(w), np.float32) for w in (own.weights, own.inner)]
         seen = 0
         for rows in batches:
             texts = text_bytes(rows.column(0))
             for a, z in slices([len(x) for x in texts], 1 << 20):
-                seen += learn(own, texts[a:z], history)
+                seen += learn(own, texts[a:z], *history)
         if seen:
-            both = np.concatenate([own.weights, own.bias[None]])
+            both = np.concatenate([own.weights, own.bias[None], own.inner.reshape(-1, CLASSES)])
             chunks = [both[k : k + CHUNK] for k in range(0, len(both), CHUNK)]
             count = len(chunks)
             yield pa.RecordBatch.from_arrays(
@@ -249,7 +269,8 @@ def trained(model: Model, texts: DataFrame) -> Model:
     rows = sorted(mean.select("chunk", "weights").collect())
     if rows:
         both = np.concatenate([np.frombuffer(r["weights"], np.float16) for r in rows]).astype(np.float32).reshape(-1, CLASSES)
-        model = Model(model.frequent, model.tokens, model.distinct, model.discount, model.size, model.unknown, both[-1].copy(), both[:-1].copy())
+        n = len(model.weights)
+        model = replace(model, bias=both[n].copy(), weights=both[:n].copy(), inner=both[n + 1 :].reshape(-1, SUBS).copy())
     return model
 
 
@@ -258,24 +279,30 @@ def start(vocabulary: DataFrame) -> Model:
     listed = vocabulary.select(F.explode("frequent").alias("w")).select("w.*")
     top = listed.orderBy(F.desc("count"), "hash").limit(FREQUENT).collect()
     by_class = vocabulary.select(F.posexplode("sums").alias("kind", "s")).groupBy("kind").agg(*[F.sum(F.col("s")[k]).alias(f"s{k}") for k in range(4)])
-    sums = np.zeros((CLASSES, 4), np.float64)
+    cells = np.zeros((CLASSES * SUBS, 4), np.float64)
     for r in by_class.collect():
-        sums[r["kind"]] = r[1:]
-    tokens, distinct = int(sums[:, 0].sum()), int(sums[:, 1].sum())
+        cells[r["kind"]] = r[1:]
+    cells = cells.reshape(CLASSES, SUBS, 4)
+    tokens, distinct = int(cells[..., 0].sum()), int(cells[..., 1].sum())
     top = sorted(top, key=lambda r: r["hash"] % (1 << 64))
     for place, r in enumerate(top):
         own = np.array([r["count"], 1, r["count"] == 1, r["count"] == 2], np.float64)
-        sums[r["kind"]] -= own
-        sums[place] = own
-    n, v, once, twice = np.maximum(sums.T, 0)
+        sub = sub_of(np.array([r["hash"] % (1 << 64)], np.uint64))[0]
+        cells[r["kind"], sub] -= own
+        cells[place, sub] = own
+    cells = np.maximum(cells, 0)
+    n, v, once, twice = cells.sum(1).T
     signature = np.arange(CLASSES) > END_CLASS
     discount = np.where(signature, (once + 0.5) / (once + 2 * twice + 1), 0.0)
     n = n + signature  # an unknown word of a class without any is possible too
+    part = signature[:, None] / SUBS
     with np.errstate(divide="ignore"):
         unknown = np.log10((discount * v + signature) / np.maximum(n, 1e-300))
+        rare = np.log10((discount[:, None] * cells[..., 1] + part) / np.maximum(n, 1e-300)[:, None])
+    share = np.where(signature[:, None], np.log(np.maximum(cells[..., 0] + part, 1e-300) / np.maximum(n, 1e-300)[:, None]), 0).astype(np.float32)
     frequent = np.array([r["hash"] % (1 << 64) for r in top], np.uint64)
     bias = np.log(np.maximum(n, 0.5) / max(n.sum(), 1)).astype(np.float32)
-    return Model(frequent, tokens, distinct, discount, n, unknown, bias, np.zeros((3 * TABLE, CLASSES), np.float32))
+    return Model(frequent, tokens, distinct, discount, n, unknown, bias, np.zeros((3 * TABLE, CLASSES), np.float32), share, rare, np.zeros((3 * TABLE, SUBS), np.float32))
 
 
 def _asked(buckets: int):
@@ -303,6 +330,14 @@ def _answered(asked: pa.Table, vocabulary: pa.Table) -> pa.Table:
     return pa.table({"g": pa.array(groups, pa.int64()), "hashes": pa.array(known, pa.binary()), "counts": pa.array(numbers, pa.binary())})
 
 
+def _chosen(x: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log probability of each row's target."""
+    x -= x.max(1, keepdims=True)
+    picked = x[np.arange(len(x)), target]
+    np.exp(x, out=x)
+    return picked - np.log(x.sum(1))
+
+
 def score(model: Model, texts: list[bytes], hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of each text: tokens, known tokens, base score, model score. ``hashes`` ascend."""
     t = tokens_of(texts)
@@ -312,17 +347,17 @@ def score(model: Model, texts: list[bytes], hashes: np.ndarray, counts: np.ndarr
     c = np.where(known, counts[at].astype(np.float64) if len(hashes) else 0.0, 0.0)
     base = np.log10((c + 0.5) / (model.tokens + 0.5 * (model.distinct + 1)))
     with np.errstate(divide="ignore", invalid="ignore"):
-        inside = np.where(known, np.log10(np.maximum(c - model.discount[kind], 1e-12) / model.size[kind]), model.unknown[kind])
-    rows = model.features(t, kind)
+        sub = sub_of(t.hash)
+        inside = np.where(known, np.log10(np.maximum(c - model.discount[kind], 1e-12) / model.size[kind]), model.rare[kind, sub])
+    rows, inner = model.features(t, kind)
     chosen = np.empty(len(kind))
     for a in range(0, len(kind), BATCH):
         z = min(a + BATCH, len(kind))
-        x = model.logits(rows[:, a:z])
-        top = x.max(1)
-        picked = x[np.arange(z - a), kind[a:z]] - top
-        x -= top[:, None]
-        np.exp(x, out=x)
-        chosen[a:z] = picked - np.log(x.sum(1))
+        chosen[a:z] = _chosen(_logits(model.weights, rows[:, a:z], model.bias), kind[a:z])
+        at = a + np.flatnonzero(kind[a:z] > END_CLASS)
+        if len(at):
+            share = model.share[kind[at]]
+            chosen[at] += _chosen(_logits(model.inner, inner[:, at], share), sub[at]) - share[np.arange(len(at)), sub[at]]
     chosen = chosen / np.log(10) + np.where(np.isfinite(inside), inside, 0.0)
     chosen = np.where(np.isfinite(inside), chosen, base)  # only without any training text
     first = t.first[:-1]

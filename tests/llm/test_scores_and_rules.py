@@ -143,3 +143,37 @@ def test_model_sums_to_one(spark):
     hashes = np.array(sorted(table), np.uint64)
     n, known, base, own = score(model, [b"unknownword"], hashes, np.array([table[h] for h in hashes.tolist()], np.uint64))
     assert n[0] == 2 and known[0] == 1 and own[0] < 0
+
+
+def test_words_of_a_class_follow_the_context(spark):
+    """Pairs of words with equal last bytes and counts, each seen behind one word only."""
+    from rankloom.llm.language_model import VOCABULARY, _count, _summed, trained
+
+    pairs = [(f"left{k}", f"right{k}", f"{k}parrot", f"{k}carrot") for k in range(8)]
+    texts = [f"common{k}" for k in range(40) for _ in range(60)]
+    texts += [f"{a} {x}" for p in pairs for a, x in (p[::2], p[1::2]) for _ in range(20)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(1)
+    vocabulary = df.mapInArrow(_count(1), "bucket long, hashes binary, counts binary, kinds binary").groupBy("bucket").applyInArrow(_summed, VOCABULARY).cache()
+    model = start(vocabulary)
+    row = vocabulary.first()
+    hashes, counts = np.frombuffer(row["hashes"], np.uint64), np.frombuffer(row["counts"], "<u8")
+    for _ in range(12):
+        model = trained(model, df)
+    of = lambda a, x: score(model, [f"{a} {x}".encode()], hashes, counts)[3][0]
+    gained = [of(a, x) + of(b, y) - of(a, y) - of(b, x) for a, b, x, y in pairs]
+    assert np.mean(gained) > 0.3
+
+
+def test_sub_classes_sum_to_one(spark):
+    from rankloom.llm.language_model import END_CLASS, VOCABULARY, _count, _summed, sub_of
+
+    df = documents(spark).select("text").where("text is not null")
+    vocabulary = df.mapInArrow(_count(1), "bucket long, hashes binary, counts binary, kinds binary").groupBy("bucket").applyInArrow(_summed, VOCABULARY).cache()
+    model, row = start(vocabulary), vocabulary.first()
+    counts = dict(zip(np.frombuffer(row["hashes"], np.uint64).tolist(), np.frombuffer(row["counts"], "<u8").tolist()))
+    t = tokens_of([b" ".join(sorted({w for r in df.collect() for w in encoded(r["text"]).lower().split()}))])
+    kind, sub = model.classes(t), sub_of(t.hash)
+    mass = 10**model.rare
+    np.add.at(mass, (kind, sub), (np.array([counts[h] for h in t.hash.tolist()], float) - model.discount[kind]) / model.size[kind])
+    assert np.allclose(mass[END_CLASS + 1 :], np.exp(model.share[END_CLASS + 1 :]), atol=1e-6)
+    assert np.allclose(mass[END_CLASS + 1 :].sum(1), 1)
