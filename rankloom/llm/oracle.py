@@ -36,4 +36,49 @@ SELECT t.doc_id, CAST(length(t.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(l.n,
   sha256(unhex(coalesce(k.h, t.h))) AS kept_sha256
 FROM texts t LEFT JOIN lost l USING (doc_id) LEFT JOIN kept k USING (doc_id)"""
 
-ORACLE = {"op7_near_duplicates": NEAR_DUPLICATES, "op2_suffix_dedup": SUFFIX_DEDUP}
+EXACT_DEDUP = """
+WITH folded AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+groups AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM folded GROUP BY t)
+SELECT f.doc_id, g.keep_id, g.group_size, f.doc_id = g.keep_id AS kept, sha256(f.t) AS text_sha256
+FROM folded f JOIN groups g ON f.t = g.t"""
+
+#: Each document's failed filters as a word, each order as a word: a step removes what fails its letter and none before it.
+FILTER_AUDIT = r"""
+WITH RECURSIVE labelled AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first_id FROM texts GROUP BY t),
+failed AS (
+  SELECT part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic,
+    len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+    100 * length(regexp_replace(x.t, '[^A-Z]+', '', 'g')) > 2 * length(x.t) AS c,
+    regexp_matches(x.t, '[#$%&*|]') AS d, x.doc_id > f.first_id AS e
+  FROM texts x JOIN firsts f ON x.t = f.t LEFT JOIN labelled l ON x.doc_id = l.doc_id),
+masks AS (
+  SELECT part, concat(CASE WHEN a THEN 'A' ELSE '' END, CASE WHEN b THEN 'B' ELSE '' END, CASE WHEN c THEN 'C' ELSE '' END,
+    CASE WHEN d THEN 'D' ELSE '' END, CASE WHEN e THEN 'E' ELSE '' END) AS m, count(*) AS n,
+    count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failed GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT '' AS o UNION ALL SELECT o || f FROM orders, letters WHERE NOT contains(o, f)),
+steps AS (
+  SELECT o AS filter_order, s AS step, o[s] AS filter, o[:s - 1] AS before FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS s) WHERE length(o) = 5),
+met AS (
+  SELECT *, translate(m, before, '') = m AS arrives, contains(m, filter) AS fails FROM masks, steps),
+found AS (
+  SELECT part, filter_order, step, filter,
+    coalesce(sum(n) FILTER (arrives), 0) AS reached,
+    coalesce(sum(n) FILTER (arrives AND fails), 0) AS removed,
+    coalesce(sum(n) FILTER (fails), 0) AS failing,
+    coalesce(sum(n) FILTER (m = filter), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (arrives AND fails), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (arrives AND fails), 0) AS toxic_lost
+  FROM met GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, filter, CAST(reached - removed AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(failing - removed AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM found"""
+
+ORACLE = {"op7_near_duplicates": NEAR_DUPLICATES, "op2_suffix_dedup": SUFFIX_DEDUP, "op12_exact_dedup": EXACT_DEDUP, "op11_filter_audit": FILTER_AUDIT}

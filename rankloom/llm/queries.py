@@ -91,3 +91,18 @@ def op3_quality_classifier(spark, folder):
 
     docs = read(spark, folder, "documents")
     return quality_scores(docs, fit(docs))
+
+
+@register
+def op12_exact_dedup(spark, folder):
+    """Of equal texts the row with the largest id stays, as the query asks."""
+    from rankloom.llm.exact_dedup import duplicate_report
+
+    return duplicate_report(read(spark, folder, "documents"), keep="largest")
+
+
+@register
+def op11_filter_audit(spark, folder):
+    from rankloom.llm.filter_audit import filter_audit
+
+    return filter_audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
