@@ -81,4 +81,36 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, filter, CAST(reached -
   CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
 FROM found"""
 
-ORACLE = {"op7_near_duplicates": NEAR_DUPLICATES, "op2_suffix_dedup": SUFFIX_DEDUP, "op12_exact_dedup": EXACT_DEDUP, "op11_filter_audit": FILTER_AUDIT}
+SOURCE_DIVERGENCE = r"""
+WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+per_doc AS (SELECT lang, source, unnest(list_distinct(w)) AS term FROM docs),
+terms AS (SELECT lang, term FROM per_doc GROUP BY ALL HAVING count(*) >= 10),
+found AS (SELECT lang, source, term, count(*) AS c FROM (SELECT lang, source, unnest(w) AS term FROM docs) SEMI JOIN terms USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+sizes AS (SELECT lang, count(*) AS v FROM terms GROUP BY lang),
+grid AS (SELECT g.lang, g.source, t.term, coalesce(f.c, 0) AS c FROM groups g JOIN terms t USING (lang) LEFT JOIN found f USING (lang, source, term)),
+whole AS (SELECT lang, term, sum(c) AS c FROM grid GROUP BY ALL),
+p AS (
+  SELECT lang, source, term, c, CAST(1 + (CAST(1000000000 AS HUGEINT) * (c + 2)) // (sum(c) OVER (PARTITION BY lang, source) + 2 * v) AS BIGINT) AS p
+  FROM grid JOIN sizes USING (lang)),
+q AS (
+  SELECT lang, term, CAST(1 + (CAST(1000000000 AS HUGEINT) * (c + 2)) // (sum(c) OVER (PARTITION BY lang) + 2 * v) AS BIGINT) AS q
+  FROM whole JOIN sizes USING (lang)),
+priced AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN priced x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+telling AS (
+  SELECT lang, source, term AS item, ((p - q) * (p - q)) // (p + q) AS value,
+    row_number() OVER (PARTITION BY lang, source ORDER BY ((p - q) * (p - q)) // (p + q) DESC, term) AS k
+  FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pairs
+UNION ALL SELECT lang, source, 'term', item, CAST(value AS BIGINT), CAST(k AS INTEGER) FROM telling WHERE k <= 10"""
+
+ORACLE = {"op7_near_duplicates": NEAR_DUPLICATES, "op2_suffix_dedup": SUFFIX_DEDUP, "op12_exact_dedup": EXACT_DEDUP, "op11_filter_audit": FILTER_AUDIT, "op13_source_divergence": SOURCE_DIVERGENCE}

@@ -106,3 +106,10 @@ def op11_filter_audit(spark, folder):
     from rankloom.llm.filter_audit import filter_audit
 
     return filter_audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@register
+def op13_source_divergence(spark, folder):
+    from rankloom.llm.divergence import divergence
+
+    return divergence(read(spark, folder, "documents"))
