@@ -7,26 +7,47 @@ from pyspark.sql import functions as F
 
 from rankloom import params as P
 from rankloom.functions import text as X
+from rankloom.functions.blocks import nested_structure
 from rankloom.functions.markdown import fence_blocks, headings_in, open_fence_in, prose_in, without_fences
 from rankloom.functions.scalars import slug, violations
 from rankloom.session import stored
 
 
+def with_shape(df: DataFrame, text: Column, name: str, where: Column | None = None) -> DataFrame:
+    """Add ``name``, the structure of nested blocks (null where linear patterns do), and ``name_bare``, the text without fences."""
+    shape = nested_structure(text if where is None else F.when(where, text))
+    return df.withColumn(name, shape).withColumn(f"{name}_bare", F.when(F.col(name).isNull(), without_fences(text)))
+
+
+def blocks_of(name: str, text: Column) -> Column:
+    return F.when(F.col(name).isNotNull(), F.col(f"{name}.blocks")).otherwise(fence_blocks(text))
+
+
+def levels_of(name: str) -> Column:
+    return F.when(F.col(name).isNotNull(), F.col(f"{name}.headings")).otherwise(headings_in(F.col(f"{name}_bare")))
+
+
+def prose_of(name: str) -> Column:
+    return prose_in(F.coalesce(f"{name}.prose", f"{name}_bare"))
+
+
+def unclosed_in(name: str) -> Column:
+    return F.when(F.col(name).isNotNull(), F.col(f"{name}.unclosed")).otherwise(open_fence_in(F.col(f"{name}_bare")))
+
+
 def markdown_structure(df: DataFrame, text: str) -> DataFrame:
-    """Add ordered fence blocks, heading levels, prose and the unclosed-fence flag."""
-    bare = F.col("_bare")
-    return (
-        df.withColumn("_bare", without_fences(F.col(text)))
-        .withColumns(
-            {
-                "blocks": fence_blocks(F.col(text)),
-                "headings": headings_in(bare),
-                "prose": prose_in(bare),
-                "unclosed": open_fence_in(bare),
-            }
-        )
-        .drop("_bare")
-    )
+    """Add ordered fence blocks, heading levels, prose and the unclosed-fence flag.
+
+    Texts whose blocks are nested (in lists, quotes, raw HTML) go through the state machine of
+    ``functions.blocks``; linear patterns do for all others."""
+    shaped = with_shape(df, F.col(text), "_shape")
+    parts = {
+        "blocks": blocks_of("_shape", F.col(text)),
+        "headings": levels_of("_shape"),
+        "prose": prose_of("_shape"),
+        "unclosed": unclosed_in("_shape"),
+    }
+    return shaped.withColumns(parts).drop("_shape", "_shape_bare")
 
 
 def with_parts(df: DataFrame, mode: str, body: str, source: str, script: str) -> DataFrame:
@@ -36,22 +57,20 @@ def with_parts(df: DataFrame, mode: str, body: str, source: str, script: str) ->
     the other parts are left null.
     """
     copy, b, s = F.col(mode) == P.MODE_COPY, F.col(body), F.col("_source")
-    levels = lambda bare: F.when(~F.col("_copy"), headings_in(F.col(bare)))
-    return (
-        df.withColumns({"_source": X.unix_lines(F.col(source)), "_copy": copy})
-        .withColumns({"_bare": without_fences(b), "_source_bare": without_fences(s)})
-        .withColumns(
-            {
-                "_levels": levels("_bare"),
-                "_source_levels": levels("_source_bare"),
-                "_same_blocks": F.when(~F.col("_copy"), fence_blocks(b) == fence_blocks(s)),
-                "_prose": F.when(F.col("_copy"), prose_in(F.col("_source_bare"))),
-                "_native": X.script_chars(b, script),
-                "_source_native": F.when(F.col("_copy"), X.script_chars(s, script)),
-            }
-        )
-        .withColumns({"_prose_native": X.script_chars(F.col("_prose"), script), "_words": X.latin_words(F.col("_prose"))})
-    )
+    own, other = "_own", "_other"
+    known = df.withColumns({"_source": X.unix_lines(F.col(source)), "_copy": copy})
+    shaped = with_shape(with_shape(known, b, own, ~F.col("_copy")), s, other)
+    translated = lambda part: F.when(~F.col("_copy"), part)
+    return shaped.withColumns(
+        {
+            "_levels": translated(levels_of(own)),
+            "_source_levels": translated(levels_of(other)),
+            "_same_blocks": translated(blocks_of(own, b) == blocks_of(other, s)),
+            "_prose": F.when(F.col("_copy"), prose_of(other)),
+            "_native": X.script_chars(b, script),
+            "_source_native": F.when(F.col("_copy"), X.script_chars(s, script)),
+        }
+    ).withColumns({"_prose_native": X.script_chars(F.col("_prose"), script), "_words": X.latin_words(F.col("_prose"))})
 
 
 def structure_rules(body: Column) -> list[tuple[Column, str]]:
@@ -62,7 +81,7 @@ def structure_rules(body: Column) -> list[tuple[Column, str]]:
         c("_levels") == F.concat(F.array(F.lit(1)), c("_source_levels"))
     )
     return [
-        (open_fence_in(c("_source_bare")) | (~c("_copy") & open_fence_in(c("_bare"))), "unclosed_fence"),
+        (unclosed_in("_other") | (~c("_copy") & unclosed_in("_own")), "unclosed_fence"),
         (c("_copy") & (c("_prose_native") < F.greatest(F.lit(1), c("_words"))), "copy_not_native"),
         (c("_copy") & (body != X.strip(c("_source"))), "copy_differs"),
         (~c("_same_blocks"), "code_blocks"),

@@ -94,6 +94,15 @@ PLACEHOLDERS = ("待翻译", "TODO_TRANSLATE")
 MEDIA_TAGS = ("picture", "img", "video", "details", "table")
 LOCAL_SECTION_ID = "chinese-readme"
 
+# Elements whose tag begins a block of raw HTML in Markdown, by its specification.
+HTML_BLOCK_TAGS = (
+    "address", "article", "aside", "base", "basefont", "blockquote", "body", "caption", "center", "col", "colgroup", "dd",
+    "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "frame", "frameset",
+    "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "iframe", "legend", "li", "link", "main", "menu",
+    "menuitem", "nav", "noframes", "ol", "optgroup", "option", "p", "param", "search", "section", "summary", "table", "tbody",
+    "td", "tfoot", "th", "thead", "title", "tr", "track", "ul",
+)
+
 LABEL_UNCATEGORIZED = "未分类"
 LABEL_NO_LANGUAGE = "未标注"
 LABEL_NOT_SHOWN = "未展示"

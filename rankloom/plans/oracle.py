@@ -771,6 +771,11 @@ STATEMENTS = {
     "length_ratio": f"SELECT doc_id, CAST(source_bytes AS INTEGER) AS source_bytes, CAST(translation_bytes AS INTEGER) AS translation_bytes, {violations(*length_rules('mode', 'body'))} AS violations FROM local_docs",
     "markdown_structure": f"""
       SELECT doc_id, array_to_string({blocks('md')}, '|') AS blocks, array_to_string({headings('md')}, ',') AS headings, {unclosed('md')} AS unclosed FROM md_docs""",
+    "nested_structure": f"""
+      SELECT doc_id, CASE WHEN doc_id % 6 = 5 THEN '' ELSE array_to_string({blocks('md')}, '|') END AS blocks,
+        CASE WHEN doc_id % 6 = 5 THEN '' ELSE array_to_string({headings('md')}, ',') END AS headings, doc_id % 6 <> 5 AND {unclosed('md')} AS unclosed FROM md_docs""",
+    "nested_diff": f"""
+      SELECT doc_id, {violations((unclosed('md'), 'unclosed_fence'), (f"doc_id % 6 = 5 AND len({blocks('md')}) > 0", 'code_blocks'), (f"doc_id % 6 = 5 AND len({headings('md')}) > 0", 'headings'))} AS violations FROM md_docs""",
     "structure_diff": f"SELECT doc_id, {violations(*structure_rules('mode', 'body', 'md'))} AS violations FROM local_docs",
     "markdown_section": f"""
       SELECT doc_id, sha256({section('md', 'Usage')}) AS usage_sha256, {sub(f"split_part({section('md', 'Summary')}, {N} || {N}, 1)", STRIP)} AS summary FROM md_docs""",

@@ -811,9 +811,7 @@ def length_ratio(spark, folder):
     return rows.select("doc_id", "source_bytes", "translation_bytes", joined(S.violations(*checks)).alias("violations"))
 
 
-@register
-def markdown_structure(spark, folder):
-    rows = D.markdown_structure(W.docs_md(spark, folder), "md")
+def structure_columns(rows: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id",
         joined("blocks", "|").alias("blocks"),
@@ -822,6 +820,26 @@ def markdown_structure(spark, folder):
     )
 
 
+@register
+def markdown_structure(spark, folder):
+    return structure_columns(D.markdown_structure(W.docs_md(spark, folder), "md"))
+
+
+@register
+def nested_structure(spark, folder):
+    """The same documents inside lists, quotes and both: their structure stays, but for indented code."""
+    return structure_columns(D.markdown_structure(W.nested_md(spark, folder), "md"))
+
+
+@register
+def nested_diff(spark, folder):
+    """Each nested document as a translation of the plain one."""
+    plain = W.docs_md(spark, folder).select("doc_id", F.col("md").alias("original"))
+    pairs = W.nested_md(spark, folder).withColumnRenamed("md", "body").join(plain, "doc_id").withColumn("mode", F.lit(P.MODE_TRANSLATION))
+    rows = D.structure_diff(pairs, source="original", script=SCRIPT)
+    return rows.select("doc_id", joined("violations").alias("violations"))
+
+
 @register
 def structure_diff(spark, folder):
     rows = D.structure_diff(W.localized_docs(spark, folder).withColumnRenamed("md", "original"), source="original", script=SCRIPT)

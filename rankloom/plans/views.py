@@ -296,6 +296,19 @@ def docs_md(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: What stands before the first line of a document and before the others: nothing, a quote, an item, a quote in an item, an
+#: item in a quote, the indent of code.
+CONTAINERS = (("", ""), ("> ", "> "), ("- ", "  "), ("1. > ", "   > "), ("> - ", ">   "), ("    ", "    "))
+
+
+def nested_md(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document's Markdown inside containers."""
+    k = F.col("doc_id") % len(CONTAINERS)
+    first, others = (F.element_at(F.array(*[F.lit(c[side]) for c in CONTAINERS]), (k + 1).cast("int")) for side in (0, 1))
+    nested = F.concat(first, F.replace("md", F.lit("\n"), F.concat(F.lit("\n"), others)))
+    return docs_md(spark, folder).select("doc_id", nested.alias("md"))
+
+
 def localized_docs(spark: SparkSession, folder: str) -> DataFrame:
     """Each document as a source, its localized variant, and its manifest row."""
     k = F.col("doc_id")
