@@ -38,35 +38,6 @@ def manifest_hash_verify(manifest: DataFrame, files: DataFrame) -> DataFrame:
     return manifest.join(actual, "path", "left").withColumn("outcome", outcome)
 
 
-def tree_fingerprint(hashes: DataFrame, fanout: int = 4) -> DataFrame:
-    """One digest for a set of files, independent of row order; ``hashes`` has (path, sha256).
-
-    With ``fanout`` 0 it is the plain digest over sorted path bytes and raw file digests, for
-    a short list of files. Otherwise files are grouped by the first ``fanout`` hex digits of
-    their path's digest, each group gets that plain digest, and the result is the digest over
-    the groups' digests: 16^fanout rows reach the last task, and no task sees all files.
-    """
-    leaf = F.struct(
-        F.split("path", "/").alias("order"),
-        F.concat(F.lower(F.hex(F.encode("path", "UTF-8"))), F.lower("sha256")).alias("hex"),
-    )
-    group = F.substring(F.sha2("path", 256), 1, fanout) if fanout else F.lit("")
-    groups = hashes.groupBy(group.alias("bucket")).agg(
-        F.count("*").alias("files"), _digest(F.array_sort(F.collect_list(leaf))).alias("digest")
-    )
-    if not fanout:
-        return groups.select("files", F.col("digest").alias("fingerprint"))
-    node = F.struct(F.col("bucket").alias("order"), F.col("digest").alias("hex"))
-    return groups.agg(
-        F.coalesce(F.sum("files"), F.lit(0)).alias("files"),
-        _digest(F.array_sort(F.collect_list(node))).alias("fingerprint"),
-    )
-
-
-def _digest(nodes: Column) -> Column:
-    return F.sha2(F.unhex(F.array_join(F.transform(nodes, lambda n: n["hex"]), "")), 256)
-
-
 def sources_by_hash(sources: DataFrame) -> DataFrame:
     """One source per content hash (the last path of equal ones), so lookups are unique."""
     hashed = content_hashes(sources)

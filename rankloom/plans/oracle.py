@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from rankloom import params as P
+from rankloom.operators import digest_tree as T
 from rankloom.plans import queries as Q
 from rankloom.plans.views import CAPTURE, KINDS, PRIOR, SCOPES, SCRIPT, TOP
 
@@ -516,6 +517,26 @@ def rendered_statement() -> str:
       SELECT full_name, {violations(*rules)} AS violations FROM (SELECT *, {content} AS content, {media('body')} AS tags FROM local_docs)"""
 
 
+def tree_levels(leaf: int, fanout: int, most: int = 8) -> str:
+    """The nodes of a digest tree over ``files``, as a subquery."""
+    parts = [
+        "l0 AS (SELECT row_number() OVER (ORDER BY string_split(path, '/'), path) AS pos, path AS key, lower(hex(encode(path))) || sha256 AS hex, 1 AS files, NULL AS own FROM files)"
+    ]
+    nodes = []
+    for level in range(most):
+        each, salt = (leaf, "") if level == 0 else (fanout, f" || '#{level}'")
+        parts.append(f"""
+      s{level} AS (SELECT *, (SELECT count(*) FROM l{level}) > {each} AND CAST('0x' || left(sha256(key{salt}), 8) AS BIGINT) % {each} = 0 AS starts FROM l{level}),
+      b{level} AS (SELECT *, coalesce(max(CASE WHEN starts THEN pos END) OVER (ORDER BY pos), 1) AS first FROM s{level}),
+      r{level} AS (SELECT *, first + (pos - first) // {T.LONGEST * each} * {T.LONGEST * each} AS run FROM b{level}),
+      n{level} AS (SELECT run, min_by(key, pos) AS key, CAST(sum(files) AS BIGINT) AS files, sha256(unhex(string_agg(hex, '' ORDER BY pos))) AS digest FROM r{level} GROUP BY run),
+      l{level + 1} AS (SELECT row_number() OVER (ORDER BY run) AS pos, key, digest AS hex, files, run AS own FROM n{level} WHERE (SELECT count(*) FROM n{level}) > 1)""")
+        parent = f"(SELECT n.key FROM r{level + 1} r JOIN n{level + 1} n ON n.run = r.run WHERE r.own = n{level}.run)" if level + 1 < most else "NULL"
+        nodes.append(f"SELECT {level} AS level, key, {parent} AS parent, files, digest FROM n{level}")
+    # a level of one leaf or node has no rows above it
+    return f"(WITH {','.join(parts)} {' UNION ALL '.join(nodes)})"
+
+
 STATEMENTS = {
     "board_matrix": f"""
       SELECT CAST({PERIOD_NO} AS BIGINT) * 1099511627776 + {SCOPE_NO} AS page_no, scope, period,
@@ -706,10 +727,11 @@ STATEMENTS = {
     "manifest_hash_verify": """
       SELECT path, m.sha256, f.sha256 AS actual_sha256, CASE WHEN f.sha256 IS NULL THEN 'missing' WHEN f.sha256 <> m.sha256 THEN 'changed' ELSE 'ok' END AS outcome
       FROM manifest m LEFT JOIN files f USING (path)""",
-    "tree_fingerprint": """
-      SELECT CAST(sum(n) AS BIGINT) AS files, sha256(unhex(string_agg(digest, '' ORDER BY bucket))) AS fingerprint FROM (
-        SELECT substr(sha256(path), 1, 4) AS bucket, count(*) AS n,
-          sha256(unhex(string_agg(lower(hex(encode(path))) || sha256, '' ORDER BY string_split(path, '/')))) AS digest FROM files GROUP BY 1)""",
+    "tree_fingerprint": f"SELECT files, digest AS fingerprint FROM {tree_levels(T.LEAF, T.FANOUT)} WHERE parent IS NULL",
+    "digest_tree": f"SELECT level, key, parent, files, digest FROM {tree_levels(Q.SMALL_LEAF, Q.SMALL_FANOUT)}",
+    "tree_diff": """
+      SELECT path, CASE WHEN m.sha256 IS NULL THEN 'added' WHEN f.sha256 IS NULL THEN 'removed' ELSE 'changed' END AS outcome,
+        m.sha256 AS sha256_before, f.sha256 AS sha256_after FROM manifest m FULL JOIN files f USING (path) WHERE m.sha256 IS DISTINCT FROM f.sha256""",
     "bind_sources": """
       SELECT m.path AS full_name, source_path, CASE WHEN actual_bytes = want THEN 'readmes/sources/' || m.sha256 || '.md' END AS source_artifact,
         CASE WHEN source_path IS NULL THEN 'missing' WHEN actual_bytes <> want THEN 'size_mismatch' ELSE 'bound' END AS outcome

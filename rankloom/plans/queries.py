@@ -14,6 +14,7 @@ from rankloom.functions import scalars as S
 from rankloom.functions import text as X
 from rankloom.operators import boards as B
 from rankloom.operators import catalog as C
+from rankloom.operators import digest_tree as T
 from rankloom.operators import documents as D
 from rankloom.operators import edition as E
 from rankloom.operators import evidence as V
@@ -567,7 +568,26 @@ def manifest_hash_verify(spark, folder):
 
 @register
 def tree_fingerprint(spark, folder):
-    return M.tree_fingerprint(M.content_hashes(W.document_files(spark, folder)))
+    return T.tree_fingerprint(M.content_hashes(W.document_files(spark, folder)))
+
+
+#: Leaves and nodes of these queries are small, so that the trees have several levels at every size of the tables.
+SMALL_LEAF, SMALL_FANOUT = 32, 8
+
+
+@register
+def digest_tree(spark, folder):
+    """Every node: level, first path, files, digest."""
+    tree = T.build_tree(M.content_hashes(W.document_files(spark, folder)), SMALL_LEAF, SMALL_FANOUT)
+    return tree.nodes.select("level", "key", "parent", "files", "digest")
+
+
+@register
+def tree_diff(spark, folder):
+    """What has changed since the manifest was committed."""
+    committed = W.document_manifest(spark, folder).select("path", "sha256")
+    trees = [T.build_tree(rows, SMALL_LEAF, SMALL_FANOUT) for rows in (committed, M.content_hashes(W.document_files(spark, folder)))]
+    return T.tree_diff(*trees)
 
 
 @register

@@ -1,7 +1,6 @@
 import hashlib
 import random
 from datetime import date, timedelta
-from pathlib import PurePosixPath
 
 from pyspark.sql import functions as F
 
@@ -15,27 +14,6 @@ def digest(data):
     return hashlib.sha256(data.encode() if isinstance(data, str) else data).hexdigest()
 
 
-def test_fingerprint_of_a_short_list_is_the_plain_digest(spark):
-    files = {"a/b": "1", "a-b": "2", "a": "3", "ä/z": "4"}
-    df = spark.createDataFrame([(p, digest(t)) for p, t in files.items()], "path STRING, sha256 STRING")
-    plain = hashlib.sha256()
-    for path in sorted(files, key=lambda p: PurePosixPath(p).parts):
-        plain.update(path.encode())
-        plain.update(bytes.fromhex(digest(files[path])))
-    assert M.tree_fingerprint(df, fanout=0).first().fingerprint == plain.hexdigest()
-
-
-def test_fingerprint_ignores_order_and_sees_changes(spark):
-    rows = [(f"d{i % 9}/f{i}", digest(str(i))) for i in range(400)]
-    take = lambda r: M.tree_fingerprint(spark.createDataFrame(r, "path STRING, sha256 STRING").repartition(5)).first()
-    base = take(rows)
-    assert base.files == 400
-    assert take(rows[::-1]).fingerprint == base.fingerprint
-    assert take([("d0/g0", rows[0][1])] + rows[1:]).fingerprint != base.fingerprint
-    assert take([(rows[0][0], digest("x"))] + rows[1:]).fingerprint != base.fingerprint
-    assert take(rows[1:]).fingerprint != base.fingerprint
-
-
 def test_latest_manifest_is_verified(spark):
     commits = spark.createDataFrame(
         [("2026-01-01", {"old": "x"}), ("2026-01-02", {"a": digest("1"), "b": digest("2"), "c": "x"})], "run_id STRING, files MAP<STRING, STRING>"
