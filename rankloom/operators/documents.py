@@ -170,16 +170,21 @@ def document_rules(language: str = P.LOCAL_LANGUAGE, run: int = P.DOCUMENT_FOREI
     return header + [(present & condition, name) for condition, name in content]
 
 
+def checked_documents(
+    manifest: DataFrame, files: DataFrame, sources: DataFrame, script: str = P.NATIVE_SCRIPT, run: int = P.DOCUMENT_FOREIGN_RUN_MIN
+) -> DataFrame:
+    """Every manifest row with what it breaks by itself: full_name, expected_path, body_sha256, rules. The texts are gone
+    over once; what stays is a narrow table in the shared folder."""
+    rows = with_parts(localized_rows(manifest, files, sources), "meta_mode", "body", "source", script)
+    rules = violations(*document_rules(run=run)).alias("rules")
+    return stored(rows.select("full_name", "expected_path", F.sha2("body", 256).alias("body_sha256"), rules), "localized")
+
+
 def localized_validation(
     manifest: DataFrame, files: DataFrame, sources: DataFrame, script: str = P.NATIVE_SCRIPT, run: int = P.DOCUMENT_FOREIGN_RUN_MIN
 ) -> DataFrame:
     """All rule violations of every manifest row, repeated names and bodies included."""
-    rows = with_parts(localized_rows(manifest, files, sources), "meta_mode", "body", "source", script)
-    checked = rows.select(
-        "full_name", F.sha2("body", 256).alias("body_sha256"), violations(*document_rules(run=run)).alias("rules")
-    )
-    # three uses follow: the texts are gone over once, what stays is a narrow table
-    checked = stored(checked, "localized")
+    checked = checked_documents(manifest, files, sources, script, run)
     bodies = checked.groupBy("body_sha256").agg(F.count("*").alias("same_body")).where(F.col("same_body") > 1)
     names = checked.groupBy("full_name").agg(F.count("*").alias("same_name")).where(F.col("same_name") > 1)
     joined = checked.join(bodies, "body_sha256", "left").join(names, "full_name", "left")
@@ -187,3 +192,62 @@ def localized_validation(
         (F.col("same_body").isNotNull(), "repeated_body"), (F.col("same_name").isNotNull(), "repeated_name")
     )
     return joined.select("full_name", F.concat("rules", repeated).alias("violations"))
+
+
+def localized_collection(
+    header: DataFrame,
+    manifest: DataFrame,
+    files: DataFrame,
+    sources: DataFrame,
+    displayed: DataFrame,
+    catalog: DataFrame,
+    script: str = P.NATIVE_SCRIPT,
+    run: int = P.DOCUMENT_FOREIGN_RUN_MIN,
+) -> DataFrame:
+    """What keeps the localized documents from being published: (check, item, violations), no row when all is well.
+
+    ``header`` is the manifest's one row (schema_version, entry_count); ``displayed`` and ``catalog`` have full_name.
+    Besides the rules on each document, the manifest must list the displayed names once each, these must be in the
+    catalog, the files must be the expected ones and no others, and no two bodies may be equal. All these sets are
+    compared in one aggregate over tagged keys: a key's rows are counted by side in the tasks that read them, and of
+    ``files`` only the paths are read again.
+    """
+    checked = checked_documents(manifest, files, sources, script, run)
+
+    def side(rows: DataFrame, check: str, item: Column, name: str, n: Column | int = 1) -> DataFrame:
+        count = n if isinstance(n, Column) else F.lit(n)
+        return rows.select(F.lit(check).alias("check"), item.alias("item"), F.lit(name).alias("side"), count.cast("long").alias("n"))
+
+    name = F.col("full_name")
+    tagged = [
+        side(checked, "name", name, "entry"),
+        side(displayed, "name", name, "displayed"),
+        side(catalog, "name", name, "catalog"),
+        side(checked, "file", F.col("expected_path"), "entry"),
+        side(files, "file", F.col("path"), "file"),
+        side(checked.where(F.col("body_sha256").isNotNull()), "body", F.col("body_sha256"), "entry"),
+        side(checked, "manifest", F.lit("entry_count"), "entry"),
+        side(header, "manifest", F.lit("entry_count"), "declared", F.coalesce("entry_count", F.lit(-1))),
+        side(header, "manifest", F.lit("schema_version"), "declared", F.coalesce("schema_version", F.lit(-1))),
+    ]
+    rows = tagged[0]
+    for more in tagged[1:]:
+        rows = rows.unionByName(more)
+    sides = ("entry", "displayed", "catalog", "file", "declared")
+    counted = rows.groupBy("check", "item").agg(*[F.coalesce(F.sum(F.when(F.col("side") == s, F.col("n"))), F.lit(0)).alias(s) for s in sides])
+    c = F.col
+    is_ = lambda check: c("check") == check
+    found = violations(
+        (is_("name") & (c("entry") > 1), "repeated_name"),
+        (is_("name") & (c("displayed") > 0) & (c("entry") == 0), "entry_missing"),
+        (is_("name") & (c("displayed") == 0) & (c("entry") > 0), "not_displayed"),
+        (is_("name") & (c("displayed") > 0) & (c("catalog") == 0), "not_in_catalog"),
+        (is_("file") & (c("file") == 0), "file_missing"),
+        (is_("file") & (c("entry") == 0), "file_extra"),
+        (is_("body") & (c("entry") > 1), "repeated_body"),
+        ((c("item") == "entry_count") & (c("declared") != c("entry")), "entry_count"),
+        ((c("item") == "schema_version") & (c("declared") != P.MANIFEST_VERSION), "schema_version"),
+    )
+    sets = counted.select("check", "item", found.alias("violations"))
+    own = checked.select(F.lit("document").alias("check"), name.alias("item"), c("rules").alias("violations"))
+    return sets.unionByName(own).where(F.size("violations") > 0)

@@ -17,6 +17,7 @@ DEFAULT_PERIOD = "weekly"
 
 BATCH_VERSION = 4
 EDITION_VERSION = 1
+MANIFEST_VERSION = 1
 
 TREND_WEIGHTS = {
     "weekly_percentile": 0.50,

@@ -1,7 +1,7 @@
 """One day's batch from document to published tables, and the audit of what is published.
 
 Tables below a folder: ``pages``, ``snapshots``, ``evaluations``, ``rejections``, ``editions``,
-``features``, ``reports`` (all by ``capture_date``) and ``catalog/version=N``.
+``features``, ``reports`` (all by ``capture_date``) and ``catalog``.
 """
 
 from __future__ import annotations
@@ -14,13 +14,12 @@ from pyspark.sql import functions as F
 from rankloom import params as P
 from rankloom.functions.rows import unnest
 from rankloom.operators import boards as B
-from rankloom.operators import catalog as C
 from rankloom.operators import edition as E
 from rankloom.operators import ranking as R
 from rankloom.operators import rules as U
 from rankloom.session import stored
 from rankloom.sources.batches import batch_entries, batch_repositories, read_batch, schema_conformance, write_snapshots
-from rankloom.streaming.catalog import catalog_version, next_version
+from rankloom.streaming.catalog import catalog_version, upsert_into
 
 
 def expected_pages(spark: SparkSession) -> DataFrame:
@@ -93,8 +92,7 @@ def ingest(spark: SparkSession, batch_path: str, folder: str) -> DataFrame:
     evaluations = spark.read.schema(scored.schema).parquet(path).where(F.col("capture_date") == F.lit(capture))
 
     root = f"{folder}/catalog"
-    version = next_version(spark, root)
-    C.catalog_upsert(catalog_version(spark, root), evaluations).write.parquet(f"{root}/version={version}")
+    upsert_into(spark, root, evaluations)
     held = catalog_version(spark, root)
 
     features = stored(E.period_features(evaluations, held, capture), "features")

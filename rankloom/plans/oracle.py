@@ -483,7 +483,8 @@ CLOSED_DAY = "CAST(ts AS DATE) + 1 <= (SELECT max(ts) - INTERVAL 1 DAY FROM even
 SNAPSHOT_DAY = f"{C} - 2"
 
 
-def localized_statement() -> str:
+def localized_rules() -> list[tuple[str, str]]:
+    """What a document breaks by itself."""
     present = "has AND fm"
     header = [
         ("NOT has", "file_missing"),
@@ -496,11 +497,36 @@ def localized_statement() -> str:
         ("source_bytes <> strlen(src)", "source_bytes"),
     ]
     content = structure_rules("mode", "body", "src") + prose_rules("mode", "body", "src") + length_rules("mode", "body")
-    rules = header + [(f"{present} AND ({condition})", rule) for condition, rule in content]
-    rules.append(("has AND count(*) FILTER (has) OVER (PARTITION BY body) > 1", "repeated_body"))
+    return header + [(f"{present} AND ({condition})", rule) for condition, rule in content]
+
+
+VIEWS["local_rows"] = """
+      SELECT *, k % 67 <> 13 AS has, k % 43 <> 8 AS fm, md || CASE WHEN k % 71 = 14 THEN 'x' ELSE '' END AS src FROM local_docs"""
+VIEWS["listed_rows"] = """
+      SELECT r.* FROM local_rows r, LATERAL (SELECT unnest(range(CASE WHEN k % 83 = 15 THEN 2 ELSE 1 END))) WHERE k % 79 <> 18"""
+
+
+def localized_statement() -> str:
+    repeated = ("has AND count(*) FILTER (has) OVER (PARTITION BY body) > 1", "repeated_body")
+    return f"SELECT full_name, {violations(*localized_rules(), repeated)} AS violations FROM local_rows"
+
+
+def collection_statement() -> str:
+    names = violations(
+        ("entries > 1", "repeated_name"), ("shown AND entries = 0", "entry_missing"), ("NOT shown AND entries > 0", "not_displayed"),
+        ("shown AND k % 73 = 21", "not_in_catalog"),
+    )
     return f"""
-      SELECT full_name, {violations(*rules)} AS violations FROM (SELECT *, k % 67 <> 13 AS has, k % 43 <> 8 AS fm,
-        md || CASE WHEN k % 71 = 14 THEN 'x' ELSE '' END AS src FROM local_docs)"""
+      SELECT * FROM (
+        SELECT 'document' AS "check", full_name AS item, {violations(*localized_rules())} AS violations FROM listed_rows
+        UNION ALL SELECT 'name', full_name, {names}
+        FROM (SELECT *, k % 89 <> 16 AS shown, (SELECT count(*) FROM listed_rows l WHERE l.full_name = d.full_name) AS entries FROM local_docs d)
+        UNION ALL SELECT 'file', translation, CASE WHEN k % 67 = 13 THEN CASE WHEN k % 79 <> 18 THEN 'file_missing' ELSE '' END WHEN k % 79 = 18 THEN 'file_extra' ELSE '' END FROM local_docs
+        UNION ALL SELECT 'file', 'readmes/stray-' || k || '.zh-CN.md', 'file_extra' FROM local_docs WHERE k % 97 = 17
+        UNION ALL SELECT 'body', sha256(body), CASE WHEN count(*) > 1 THEN 'repeated_body' ELSE '' END FROM listed_rows WHERE has GROUP BY body
+        UNION ALL SELECT 'manifest', 'entry_count', CASE WHEN count(*) <> (SELECT count(*) FROM documents) THEN 'entry_count' ELSE '' END FROM listed_rows
+        UNION ALL SELECT 'manifest', 'schema_version', 'schema_version'
+      ) WHERE violations <> ''"""
 
 
 def rendered_statement() -> str:
@@ -828,6 +854,7 @@ STATEMENTS = {
           'src="clip ' || doc_id || '.mp4"', 'src="' || raw || dir || 'clip%20' || doc_id || '.mp4"'), '[ref]: docs/ref.md', '[ref]: ' || blob || dir || 'docs/ref.md') END) AS text_sha256
       FROM link_docs""",
     "localized_validation": localized_statement(),
+    "localized_collection": collection_statement(),
     "rendered_checks": rendered_statement(),
     "stream_boards": f"""
       SELECT capture_date, scope, period, item, metric, hits, rank FROM (

@@ -906,6 +906,12 @@ def localized_validation(spark, folder):
     return rows.select("full_name", joined("violations").alias("violations"))
 
 
+@register
+def localized_collection(spark, folder):
+    rows = D.localized_collection(*W.localized_set(W.localized_docs(spark, folder)), script=SCRIPT)
+    return rows.select("check", "item", joined("violations").alias("violations"))
+
+
 @register
 def rendered_checks(spark, folder):
     docs = W.localized_docs(spark, folder)

@@ -360,6 +360,20 @@ def localized_tables(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return manifest, files, sources
 
 
+def localized_set(docs: DataFrame) -> tuple[DataFrame, ...]:
+    """(header, manifest, files, sources, displayed, catalog): the tables above with faults of the set. Some entries are
+    missing or given twice, some names not displayed or not in the catalog, some files strays, the header is wrong."""
+    k = F.col("doc_id")
+    _, files, sources = localized_tables(docs)
+    listed = docs.where(k % 79 != 18)
+    manifest, _, _ = localized_tables(listed.unionByName(listed.where(k % 83 == 15)))
+    stray = F.concat(F.lit("readmes/stray-"), k.cast("string"), F.lit(f".{P.LOCAL_LANGUAGE}.md"))
+    strays = docs.where(k % 97 == 17).select(stray.alias("path"), F.lit("").alias("text"))
+    header = docs.agg(F.count("*").alias("entry_count")).withColumn("schema_version", F.lit(P.MANIFEST_VERSION + 1))
+    displayed, catalog = (docs.where(k % n != rest).select("full_name") for n, rest in ((89, 16), (73, 21)))
+    return header, manifest, files.unionByName(strays), sources, displayed, catalog
+
+
 def document_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """(path, sha256) as once committed: some hashes differ from the files, some files are gone."""
     k = F.col("doc_id")

@@ -241,3 +241,37 @@ def test_a_very_long_document(spark):
     assert df.select(X.has_foreign_passage(F.col("t")), X.script_chars(F.col("t"))).first()[0] is True
     linked = df.select("t", F.lit("o/p").alias("full_name"), F.lit("main").alias("branch"), F.lit("README.md").alias("doc_path"))
     assert L.absolutize_text(linked, "t").first().t.endswith(f"[a]({P.SITE}/o/p/blob/main/b.md)\n")
+
+
+def collection(spark, count=2, entry_count=None, version=1, displayed=None, catalog=None, files=lambda f: f, manifest=lambda m: m, **options):
+    m, f, s = tables(spark, count=count, own_body=True, **options)
+    names = [(f"port/tide{i}",) for i in range(count)]
+    frame = lambda rows: spark.createDataFrame(rows, "full_name STRING")
+    header = spark.createDataFrame([(version, count if entry_count is None else entry_count)], "schema_version INT, entry_count INT")
+    rows = D.localized_collection(header, manifest(m), files(f), s, frame(names if displayed is None else displayed), frame(names if catalog is None else catalog))
+    return sorted((r.check, r["item"], *r.violations) for r in rows.collect())
+
+
+def test_a_sound_collection_has_no_findings(spark):
+    assert collection(spark) == []
+
+
+STRAY = [("readmes/stray.zh-CN.md", "x")]
+FIRST = "readmes/port__tide0.zh-CN.md"
+
+
+@pytest.mark.parametrize(
+    "options,findings",
+    [
+        ({"entry_count": 3, "version": 2}, [("manifest", "entry_count", "entry_count"), ("manifest", "schema_version", "schema_version")]),
+        ({"entry_count": 4, "manifest": lambda m: m.unionByName(m)}, [("body", None, "repeated_body")] * 2 + [("name", f"port/tide{i}", "repeated_name") for i in (0, 1)]),
+        ({"displayed": [("port/tide1",), ("port/new",)]}, [("name", "port/new", "entry_missing", "not_in_catalog"), ("name", "port/tide0", "not_displayed")]),
+        ({"catalog": [("port/tide0",), ("port/other",)]}, [("name", "port/tide1", "not_in_catalog")]),
+        ({"files": lambda f: f.unionByName(f.sparkSession.createDataFrame(STRAY, f.schema))}, [("file", STRAY[0][0], "file_extra")]),
+        ({"files": lambda f: f.where(F.col("path") != FIRST)}, [("document", "port/tide0", "file_missing"), ("file", FIRST, "file_missing")]),
+        ({"entry": lambda e: {**e, "source_bytes": 1}}, [("document", f"port/tide{i}", "source_bytes") for i in (0, 1)]),
+    ],
+)
+def test_findings_of_a_collection(spark, options, findings):
+    found = [(c, None if c == "body" else i, *rules) for c, i, *rules in collection(spark, **options)]
+    assert sorted(found, key=repr) == sorted(findings, key=repr)

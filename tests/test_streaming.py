@@ -1,5 +1,7 @@
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from rankloom.operators.boards import board_rows
@@ -43,6 +45,65 @@ def test_catalog_stream_equals_batches(spark, folder, tmp_path):
     assert got == want and got
 
 
+def state(spark, out):
+    return sorted(map(tuple, SC.catalog_version(spark, f"{out}/catalog").collect()))
+
+
+def files(out):
+    return {p: (p.stat().st_mtime_ns, p.read_bytes()) for p in Path(out, "catalog", "entries").rglob("*.parquet")}
+
+
+def test_upsert_leaves_other_partitions_alone(spark, folder, tmp_path):
+    out, batch = str(tmp_path / "out"), W.Batch(spark, folder)
+    SC.upsert_into(spark, f"{out}/catalog", batch.prior)
+    SC.upsert_into(spark, f"{out}/catalog", batch.current.limit(0))
+    before = files(out)
+    some = batch.current.where("status = 'accepted'").orderBy("full_name").limit(2)
+    touched = {f"bucket={r[0]}" for r in some.select(SC.bucket(F.col("full_name"))).collect()}
+    SC.upsert_into(spark, f"{out}/catalog", some)
+    after = files(out)
+    assert {p: v for p, v in before.items() if p.parent.name not in touched} == {p: v for p, v in after.items() if p.parent.name not in touched}
+    assert len(before) > 2 and not {p for p in before if p.parent.name in touched} & set(after)
+    want = catalog_upsert(catalog_upsert(spark.createDataFrame([], CATALOG_SCHEMA), batch.prior), some)
+    assert state(spark, out) == sorted(map(tuple, want.collect()))
+
+
+def test_restarted_stream_and_single_batches_agree(spark, folder, tmp_path):
+    batch = W.Batch(spark, folder)
+    source, out = str(tmp_path / "ev"), str(tmp_path / "out")
+    batch.prior.coalesce(1).write.parquet(source)
+    stream = lambda: spark.readStream.schema(batch.prior.schema).parquet(source)
+    SC.stream_catalog_upsert(stream(), out).awaitTermination()
+    SC.upsert_into(spark, f"{out}/catalog", batch.current)
+    want = state(spark, out)
+    # the checkpoint is lost: everything is replayed, in the order it came in
+    batch.current.coalesce(1).write.mode("append").parquet(source)
+    query = stream().writeStream.foreachBatch(lambda rows, _: SC.upsert_into(rows.sparkSession, f"{out}/catalog", rows))
+    query.option("checkpointLocation", str(tmp_path / "new")).trigger(availableNow=True).start().awaitTermination()
+    assert state(spark, out) == want and want
+
+
+def test_an_upsert_that_broke_off_is_finished(spark, folder, tmp_path, monkeypatch):
+    batch = W.Batch(spark, folder)
+    out, root = str(tmp_path / "out"), f"{tmp_path}/out/catalog"
+    SC.upsert_into(spark, root, batch.prior)
+    put = SC._put
+
+    def breaks(spark, folder, path):
+        put(spark, folder, path)
+        for file in Path(folder, "entries").rglob("*.parquet"):  # partitions that were taken away and not yet replaced
+            file.unlink()
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(SC, "_put", breaks)
+    with pytest.raises(RuntimeError):
+        SC.upsert_into(spark, root, batch.prior.unionByName(batch.current))
+    monkeypatch.setattr(SC, "_put", put)
+    SC.upsert_into(spark, root, batch.current.limit(0))
+    held = {r[0] for r in state(spark, out)}
+    assert held >= {r.full_name for r in batch.prior.unionByName(batch.current).where("status = 'accepted'").collect()}
+
+
 def test_evidence_stream_equals_batch_on_closed_buckets(spark, tmp_path):
     start = datetime(2024, 1, 1)
     schema = "ts TIMESTAMP, full_name STRING, kind STRING, sha256 STRING"
