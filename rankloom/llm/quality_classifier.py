@@ -6,8 +6,9 @@ vote on good and on bad documents, and from that the posterior of every pattern.
 hashed words, word endings and coarse figures is then trained on posteriors as soft labels and scores every
 document by its whole text. One such model is made for quality and one for toxicity; the table ``labels`` is not used.
 
-The scorer is trained on at most ``FIT_DOCUMENTS`` documents, those with the smallest hash of id and text;
-patterns and posteriors cover all documents, and so do the scores.
+The scorer is trained on at most ``FIT_DOCUMENTS`` different documents of at most ``FIT_BYTES`` bytes each, those with the
+smallest hash of id and text; rows that are equal in both count as one there, however many they are. Patterns and
+posteriors cover all documents, and so do the scores.
 
 Null and empty texts get the labellers' votes for no words and a score from the figures alone. Repeated rows
 get equal scores. Null ids are ordinary values. Other columns are not read.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from rankloom.llm.common import slices, text_bytes
 from rankloom.llm.words import SPACE, Words, mix, words_of
 
-FIT_DOCUMENTS = 8192
+FIT_DOCUMENTS, FIT_BYTES = 8192, 32 << 10
 DIMENSIONS = 1 << 18
 EPOCHS, RATE, SHRINK = 6, 0.5, 1e-6
 ROUNDS, PRIOR, OWN_FAULT = 60, 2.0, 0.98
@@ -39,10 +40,26 @@ COMMON = (
     b"der die das und ist nicht ein eine mit von zu auf den sich im dem auch als "
     b"el los las y por con para se su al lo como no es del"
 )
+#: English, French, German, Spanish.
 INSULTS = {
-    "insult": b"idiot idiots moron morons loser losers clown clowns fool fools jerk jerks imbecile coward bastard",
-    "dehumanise": b"scum trash vermin filth garbage parasite parasites subhuman rats cockroach cockroaches",
-    "demean": b"stupid worthless pathetic disgusting dumb useless ugly hateful revolting shameful",
+    "insult": (
+        "idiot idiots moron morons loser losers clown clowns fool fools jerk jerks imbecile coward bastard "
+        "idiote idiotes crétin crétins imbécile imbéciles abruti abrutis connard connards salaud "
+        "idioten trottel dummkopf vollidiot arschloch versager feigling spinner "
+        "idiotas imbécil imbéciles cretino cretinos payaso payasos cobarde cabrón gilipollas"
+    ).encode(),
+    "dehumanise": (
+        "scum trash vermin filth garbage parasite parasites subhuman rats cockroach cockroaches "
+        "racaille ordure ordures vermine cafard cafards déchets "
+        "abschaum ungeziefer dreck parasiten untermensch kakerlaken gesindel "
+        "escoria basura alimaña alimañas parásito parásitos cucarachas chusma"
+    ).encode(),
+    "demean": (
+        "stupid worthless pathetic disgusting dumb useless ugly hateful revolting shameful "
+        "stupide stupides minable dégoûtant pathétique honteux "
+        "dumm wertlos erbärmlich widerlich nutzlos hässlich "
+        "estúpido estúpida patético asqueroso despreciable repugnante"
+    ).encode(),
 }
 
 
@@ -272,8 +289,7 @@ def fit(docs: DataFrame, bound: int = FIT_DOCUMENTS) -> WeakModel:
         count = np.bincount(back, seen[:, 1], len(code))
         codes.append(code)
         beliefs.append(posteriors(code, count, len(labellers)))
-    order = F.xxhash64(F.lit(3), "doc_id", "text")
-    sample = _smallest(rows, order, bound).mapInArrow(_sample, "features binary, quality long, toxicity long").orderBy("quality", "toxicity", "features").collect()
+    sample = _smallest(rows, bound).mapInArrow(_sample, "features binary, quality long, toxicity long").orderBy("quality", "toxicity", "features").collect()
     features = [np.frombuffer(r["features"], np.int32) for r in sample]
     scorers = []
     for k, name in enumerate(("quality", "toxicity")):
@@ -282,11 +298,13 @@ def fit(docs: DataFrame, bound: int = FIT_DOCUMENTS) -> WeakModel:
     return WeakModel(tuple(codes), tuple(beliefs), tuple(scorers))
 
 
-def _smallest(rows: DataFrame, order, bound: int) -> DataFrame:
-    """The ``bound`` rows of smallest hash: hashes are ranked alone, then the texts below the last one are read."""
-    hashes = rows.select(order.alias("h")).orderBy("h").limit(bound)
-    last = hashes.agg(F.max("h").alias("h")).first()["h"]
-    return rows.where(order <= F.lit(last)) if last is not None else rows.limit(0)
+def _smallest(rows: DataFrame, bound: int) -> DataFrame:
+    """One row for each of the ``bound`` smallest hashes of rows that may be fitted on. Hashes are ranked alone; then the
+    texts up to the last one are read, and equal rows become one in the task that reads them."""
+    short = rows.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= FIT_BYTES).withColumn("h", F.xxhash64(F.lit(3), "doc_id", "text"))
+    last = short.select("h").distinct().orderBy("h").limit(bound).agg(F.max("h").alias("h")).first()["h"]
+    known = short.where(F.col("h") <= F.lit(last)) if last is not None else short.limit(0)
+    return known.groupBy("h").agg(F.min("text").alias("text")).drop("h")
 
 
 def quality_scores(docs: DataFrame, model: WeakModel) -> DataFrame:
