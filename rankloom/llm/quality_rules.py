@@ -6,8 +6,13 @@ boilerplate by Viterbi decoding. A document is kept when at least ``CONTENT_SHAR
 content lines and the base rules hold: ``MIN_WORDS`` words, and at most half of the words in repeated
 three-word windows.
 
-The fit uses at most ``FIT_DOCUMENTS`` labelled rows, those with the smallest hash of their id, in the classes' own
-proportion; all else covers every row. Without labels of both classes the starting weights hold.
+The fit uses at most ``FIT_DOCUMENTS`` labelled documents of at most ``FIT_LINES`` lines and ``FIT_BYTES`` bytes, those
+with the smallest hash of their id, in the classes' own proportion; of several rows of an id, one. All else covers every
+row. Without labels of both classes the starting weights hold. A label says something of a document, not of its
+lines: a good one has at least ``GOOD_SHARE`` of its lines in content, a bad one at most ``BAD_SHARE``. The lines' own states
+are latent. Expectation-maximisation takes the field's posterior over them, tilted towards content or boilerplate just as
+far as the document's share asks, and steps towards its expectations; so a bad document may keep good lines, and
+lines of one document are told apart.
 
 Null text: no words, so it fails. White space alone: likewise. Repeated rows get the same verdict each.
 Other columns are passed through or ignored.
@@ -30,7 +35,10 @@ from rankloom.llm.words import mix, words_of
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 CONTENT_SHARE = 0.5
-FIT_DOCUMENTS = 2000
+FIT_DOCUMENTS, FIT_LINES, FIT_BYTES = 2000, 200, 64 << 10
+GOOD_SHARE, BAD_SHARE = 0.9, 0.2
+TILTS = 7  #: halvings of the search for a tilt, between 0 and MOST_TILT
+MOST_TILT = 16.0
 EPOCHS, RATE, SHRINK = 4, 0.1, 1e-4
 BLOCK = 4 << 20
 
@@ -97,38 +105,68 @@ class Chain:
             states.append(state)
         return states[::-1]
 
-    def learn(self, lines: list[list[int]], states: list[int], rate: float) -> None:
-        """One gradient step on the log-likelihood of a labelled sequence (forward-backward)."""
-        n, step, content = len(lines), self.step, self.scores(lines)
+    def expected(self, content: list[float]) -> tuple[list[float], list[list[float]]]:
+        """Probability of content for each line, and expected numbers of steps between states (forward-backward), for
+        lines of these content scores."""
+        n, step = len(content), self.step
+        (s00, s01), (s10, s11) = step
         add = lambda x, y: max(x, y) + math.log1p(math.exp(-abs(x - y)))
         forward = [(self.begin[0], self.begin[1] + content[0])]
         for e in content[1:]:
             a, b = forward[-1]
-            forward.append((add(a + step[0][0], b + step[1][0]), add(a + step[0][1], b + step[1][1]) + e))
-        backward = [(0.0, 0.0)] * n
-        for t in range(n - 2, -1, -1):
-            a, b = backward[t + 1]
-            b += content[t + 1]
-            backward[t] = (add(step[0][0] + a, step[0][1] + b), add(step[1][0] + a, step[1][1] + b))
+            forward.append((add(a + s00, b + s10), add(a + s01, b + s11) + e))
         whole = add(*forward[-1])
-        expect = [[0.0, 0.0], [0.0, 0.0]]
-        for t in range(n - 1):
+        marginal = [math.exp(forward[-1][1] - whole)] * n
+        steps = [[0.0, 0.0], [0.0, 0.0]]
+        behind = (0.0, 0.0)
+        for t in range(n - 2, -1, -1):
+            a, b = behind[0], behind[1] + content[t + 1]
+            f = forward[t]
             for i in (0, 1):
-                for j in (0, 1):
-                    expect[i][j] += math.exp(forward[t][i] + step[i][j] + content[t + 1] * j + backward[t + 1][j] - whole)
-        seen = [[0, 0], [0, 0]]
-        for i, j in zip(states, states[1:]):
-            seen[i][j] += 1
-        pace = rate / math.sqrt(n)
-        for t in range(n):
-            gap = states[t] - math.exp(forward[t][1] + backward[t][1] - whole)
-            for k in lines[t]:
+                steps[i][0] += math.exp(f[i] + step[i][0] + a - whole)
+                steps[i][1] += math.exp(f[i] + step[i][1] + b - whole)
+            behind = (add(s00 + a, s01 + b), add(s10 + a, s11 + b))
+            marginal[t] = math.exp(f[1] + behind[1] - whole)
+        return marginal, steps
+
+    def towards(self, lines: list[list[int]], target: tuple[list[float], list[list[float]]], rate: float) -> None:
+        """One gradient step from the field's expectations to the target's."""
+        marginal, steps = self.expected(self.scores(lines))
+        pace = rate / math.sqrt(len(lines))
+        for t, line in enumerate(lines):
+            gap = target[0][t] - marginal[t]
+            for k in line:
                 self.weights[k] += pace * (gap - SHRINK * self.weights[k])
-            if not t:
-                self.begin[1] += pace * gap
+        self.begin[1] += pace * (target[0][0] - marginal[0])
         for i in (0, 1):
             for j in (0, 1):
-                step[i][j] += pace * (seen[i][j] - expect[i][j])
+                self.step[i][j] += pace * (target[1][i][j] - steps[i][j])
+
+    def learn(self, lines: list[list[int]], states: list[int], rate: float) -> None:
+        """One gradient step on the log-likelihood of lines whose states are known."""
+        seen = [[0.0, 0.0], [0.0, 0.0]]
+        for i, j in zip(states, states[1:]):
+            seen[i][j] += 1
+        self.towards(lines, ([float(s) for s in states], seen), rate)
+
+    def tilted(self, lines: list[list[int]], good: bool) -> tuple[list[float], list[list[float]]]:
+        """The posterior nearest to the field's that has the share of content which a good or bad document asks."""
+        content = self.scores(lines)
+        share, sign = (GOOD_SHARE, 1.0) if good else (BAD_SHARE, -1.0)
+        enough = lambda found: sign * (sum(found[0]) / len(lines) - share) >= 0
+        found = self.expected(content)
+        if enough(found):
+            return found
+        low, high = 0.0, MOST_TILT
+        for _ in range(TILTS):
+            tilt = (low + high) / 2
+            found = self.expected([e + sign * tilt for e in content])
+            low, high = (low, tilt) if enough(found) else (tilt, high)
+        return self.expected([e + sign * high for e in content])
+
+    def learn_share(self, lines: list[list[int]], good: bool, rate: float) -> None:
+        """One step of expectation-maximisation for a labelled document."""
+        self.towards(lines, self.tilted(lines, good), rate)
 
 
 def observe(line: bytes, repeated: bool) -> list[int]:
@@ -217,33 +255,40 @@ def measure(texts: list[bytes], chain: Chain) -> dict[str, list]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, bound: int = FIT_DOCUMENTS) -> Chain:
-    """Weights from documents that ``labels`` calls good (quality 1: all lines content) or bad (0: none).
+    """Weights from documents that ``labels`` calls good (quality 1) or bad (0).
 
-    At most ``bound`` documents are used, so what comes to the driver is bounded. The weights are the mean over
-    the steps of the last epoch."""
+    At most ``bound`` documents with at most ``FIT_LINES`` lines come to the driver. An id that is called both is left
+    out. The weights are the mean over the steps of the last epoch."""
     chain = Chain.start()
-    order = (F.xxhash64(F.lit(9), "doc_id"), "doc_id")
-    picked = labels.where(F.col("quality").isin(0, 1)).select("doc_id", "quality").dropna().distinct().orderBy(*order).limit(bound)
-    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    order = F.xxhash64(F.lit(9), "doc_id")
+    marked = labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("long").alias("quality")).dropna()
+    single = marked.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most")
+    picked = single.select("doc_id", "quality").orderBy(order, "doc_id").limit(bound)
+    short = docs.select("doc_id", "text").where(F.octet_length("text") <= FIT_BYTES)
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             lines = [lines_of(t)[0] for t in text_bytes(rows.column("text"))]
+            held = pa.array([0 < len(found) <= FIT_LINES for found in lines])
             masks = pa.array([[sum(1 << k for k in line) for line in found] for found in lines], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("quality").cast(pa.int64()), masks], names=["doc_id", "quality", "lines"])
+            columns = [rows.column("doc_id"), rows.column("quality"), masks]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "quality", "lines"]).filter(held)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = sample.mapInArrow(features, f"doc_id {kind}, quality long, lines array<long>").orderBy(*order, F.hash("lines")).collect()
+    known = short.join(F.broadcast(picked), "doc_id").mapInArrow(features, f"doc_id {kind}, quality long, lines array<long>")
+    # rows of one id become one where they are read
+    one = known.groupBy("doc_id", "quality").agg(F.min("lines").alias("lines"))
+    rows = one.select(order.alias("h"), "*").collect()
     bits = range(len(OBSERVATIONS))
-    known = [([[k for k in bits if m >> k & 1] for m in r["lines"]], r["quality"]) for r in rows if r["lines"]]
-    if len({quality for _, quality in known}) < 2:
+    seen = [([[k for k in bits if m >> k & 1] for m in r["lines"]], r["quality"]) for r in sorted(rows, key=lambda r: (r["h"], r["lines"]))]
+    if len({quality for _, quality in seen}) < 2:
         return chain
     total = Chain([0.0] * len(OBSERVATIONS), [[0.0, 0.0], [0.0, 0.0]], [0.0, 0.0])
     for epoch in range(EPOCHS):
-        for lines, quality in known:
-            chain.learn(lines, [quality] * len(lines), RATE / (1 + epoch))
+        for lines, quality in seen:
+            chain.learn_share(lines, quality == 1, RATE / (1 + epoch))
             if epoch == EPOCHS - 1:
-                total.add(chain, 1 / len(known))
+                total.add(chain, 1 / len(seen))
     return total
 
 
