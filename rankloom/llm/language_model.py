@@ -2,13 +2,14 @@
 
     P(word | context) = P(class | context) * P(sub-class | class, context) * P(word | sub-class)
 
-The class of a word is its own if it is one of the most frequent, else one of ``SIGNATURES`` by its last bytes. The
-classes' softmax has hashed features of the context: the word before, the pair of classes before (n-gram), and
-the pair of classes two and four places back (skip). Its weights come from gradient steps over all training
-documents: each task takes steps on its own partition from the common weights, and the tasks' weights are averaged by
-tokens, first over a slice for a start, then over all. The infrequent words of a class fall into ``SUBS``
-sub-classes by their hash; their softmax has the same three features of the context, each hashed with the class, starts at
-the sub-classes' counts and is learnt in the same steps. Inside a sub-class, words follow their counts with an
+The class of a word is its own if it is one of the most frequent, else one of ``SIGNATURES`` by its last bytes; the
+infrequent words of a class fall into ``SUBS`` sub-classes by their hash. Class and sub-class are predicted in two steps
+each, a group and a place in the group, so that four small softmaxes stand for 128 classes of up to 16 sub-classes. Each
+has hashed features of the context, each hashed with what is already decided: the word before, the pair of classes
+before (n-gram), and the pair of classes two and four places back (skip). Their weights start at zero above the counts'
+shares and come from gradient steps over all training documents: each task takes steps on its own partition from the
+common weights, and the tasks' weights are averaged by tokens, first over a slice for a start, then over all. The rows of
+weights follow the size of the vocabulary. Inside a sub-class, words follow their counts with an
 absolute discount and without regard to the context; the discounted mass is the probability of an unknown word there, so the model
 sums to one over all known words and "unknown, of class k and sub-class s".
 
@@ -35,15 +36,19 @@ from rankloom.llm.words import mix, words_of
 from rankloom.session import stored
 
 FOLDS, HELD = 5, 1
-FREQUENT, SIGNATURES = 31, 32
+FREQUENT, SIGNATURES = 63, 64
 CLASSES = FREQUENT + 1 + SIGNATURES  #: the end token has a class of its own
 END_CLASS = FREQUENT
-SUBS = 32  #: sub-classes of the infrequent words of a class
-TABLE = 1 << 12  #: rows of weights for each of the three kinds of features
-BATCH, RATE, SLICE = 4096, 0.35, 64
+SUBS = 16  #: sub-classes of the infrequent words of a class
+#: Outcomes of the four steps: group of the class, class in the group, group of the sub-class, sub-class in the group.
+WIDTHS = (8, CLASSES // 8, 4, SUBS // 4)
+#: Words of the vocabulary for each row of weights (of each of the three kinds of features and four steps), and the least and
+#: most rows: every task sends all of them once a round.
+WORDS_PER_ROW, LEAST_ROWS, MOST_ROWS = 1 << 10, 1 << 14, 1 << 16
+BATCH, RATE, SLICE = 8192, 0.35, 8
 COUNT_BYTES, GROUP_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20, 32 << 20
 END = np.uint64(1)
-CHUNK = 256  #: rows of weights that are averaged together
+CHUNK = 1 << 14  #: weights that are averaged together
 _U = np.uint64
 
 
@@ -139,12 +144,17 @@ class Model:
     distinct: int
     discount: np.ndarray  #: by class
     size: np.ndarray  #: training tokens by class
-    unknown: np.ndarray  #: log10 probability of an unknown word, given its class
-    bias: np.ndarray
-    weights: np.ndarray  #: rows: the three tables one after the other
     share: np.ndarray  #: log of each sub-class's share of its class
     rare: np.ndarray  #: log10 probability of an unknown word of each sub-class, given the class
-    inner: np.ndarray  #: weights of the sub-classes, as ``weights``
+    offsets: list[np.ndarray]  #: of each step, log shares of its outcomes; one row per state that it starts from
+    weights: list[np.ndarray]  #: of each step; rows: the three tables one after the other
+
+    @property
+    def rows(self) -> int:
+        return len(self.weights[0]) // 3
+
+    def copy(self) -> Model:
+        return replace(self, offsets=[self.offsets[0].copy(), *self.offsets[1:]], weights=[w.copy() for w in self.weights])
 
     def classes(self, t: Tokens) -> np.ndarray:
         kind = t.kind.copy()
@@ -154,8 +164,8 @@ class Model:
             kind[own] = at[own]
         return kind
 
-    def features(self, t: Tokens, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of weights for each token's context, of classes and of sub-classes; before a text stands the end token."""
+    def contexts(self, t: Tokens, kind: np.ndarray) -> np.ndarray:
+        """Hashes of each token's three contexts; before a text stands the end token."""
         n = len(t.hash)
         since = np.arange(n) - np.repeat(t.first[:-1], np.diff(t.first))
         wide = kind.astype(np.uint64)
@@ -166,79 +176,126 @@ class Model:
             return out
 
         one, two, four = (back(wide, k, _U(END_CLASS)) for k in (1, 2, 4))
-        low, table = _U(TABLE - 1), np.arange(3, dtype=np.uint64)[:, None] * _U(TABLE)
-        context = np.stack([mix(back(t.hash, 1, END)), mix(one * _U(CLASSES) + two + _U(1 << 40)), mix(two * _U(CLASSES) + four + _U(1 << 41))])
-        inner = mix(context ^ (wide + _U(1)) * _U(0x9E3779B97F4A7C15)) & low
-        return ((context & low) + table).astype(np.int32), (inner + table).astype(np.int32)
+        return np.stack([mix(back(t.hash, 1, END)), mix(one * _U(CLASSES) + two + _U(1 << 40)), mix(two * _U(CLASSES) + four + _U(1 << 41))])
 
 
-def _logits(weights: np.ndarray, rows: np.ndarray, offset: np.ndarray) -> np.ndarray:
-    out = weights[rows[0]]
-    out += weights[rows[1]]
-    out += weights[rows[2]]
-    out += offset
-    return out
+@dataclass
+class Step:
+    """One softmax over a run of tokens: which tokens take it, the state they start from, and what comes out."""
+
+    at: np.ndarray | slice
+    state: np.ndarray
+    target: np.ndarray
+
+
+def steps_of(kind: np.ndarray, sub: np.ndarray) -> list[Step]:
+    """The four steps of tokens of these classes and sub-classes. The last two are taken by infrequent words only."""
+    kind = kind.astype(np.int64)
+    every, rare = slice(None), np.flatnonzero(kind > END_CLASS)
+    group, inside = kind // WIDTHS[1], kind % WIDTHS[1]
+    far, near = sub[rare] // WIDTHS[3], sub[rare] % WIDTHS[3]
+    return [
+        Step(every, np.zeros(len(kind), np.int64), group),
+        Step(every, group, inside),
+        Step(rare, kind[rare], far),
+        Step(rare, kind[rare] * WIDTHS[2] + far, near),
+    ]
+
+
+def _rows(context: np.ndarray, number: int, state: np.ndarray, rows: int) -> np.ndarray:
+    """Rows of weights in each of the three tables of a step, as short integers, which sort fast."""
+    salt = (state + (number << 20) + 1).astype(np.uint64) * _U(0x9E3779B97F4A7C15)
+    return (((context ^ salt) * _U(0xFF51AFD7ED558CCD)) >> _U(40) & _U(rows - 1)).astype(np.uint16)
+
+
+def _logits(weights: np.ndarray, rows: np.ndarray, offsets: np.ndarray, state: np.ndarray) -> np.ndarray:
+    """Within what ``exp`` can take, so that no row needs its maximum."""
+    n = len(weights) // 3
+    out = weights[:n].take(rows[0], 0, mode="clip")
+    out += weights[n : 2 * n].take(rows[1], 0, mode="clip")
+    out += weights[2 * n :].take(rows[2], 0, mode="clip")
+    out += offsets.take(state, 0, mode="clip") if len(offsets) > 1 else offsets
+    return np.clip(out, -80, 80, out=out)
+
+
+def _sums(p: np.ndarray) -> np.ndarray:
+    return p @ np.ones(p.shape[1], p.dtype)
 
 
 def _row_sums(p: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sums of the rows of ``p`` in ``order``, by segment; most segments have one row, which is only copied."""
     size = np.diff(np.append(first, len(order)))
-    out = p[order[first]]
+    out = p.take(order[first], 0, mode="clip")
     many = np.flatnonzero(size > 1)
     if len(many):
         inside = np.repeat(size > 1, size)
         begin = np.cumsum(size[many]) - size[many]
-        out[many] = np.add.reduceat(p[order[inside]], begin)
+        out[many] = np.add.reduceat(p.take(order[inside], 0, mode="clip"), begin)
     return out
 
 
-def _step(weights: np.ndarray, history: np.ndarray, rows: np.ndarray, offset: np.ndarray, target: np.ndarray) -> np.ndarray:
+def _step(weights: np.ndarray, history: np.ndarray, rows: np.ndarray, offsets: np.ndarray, state: np.ndarray, target: np.ndarray) -> np.ndarray:
     """One gradient step; the step of a row of weights falls with the squares of its gradients."""
-    n = len(target)
-    p = _logits(weights, rows, offset)
-    p -= p.max(1, keepdims=True)
+    n, size = len(target), len(weights) // 3
+    p = _logits(weights, rows, offsets, state)
     np.exp(p, out=p)
-    p /= p.sum(1, keepdims=True)
+    p /= _sums(p)[:, None]
     p[np.arange(n), target] -= 1
-    flat = rows.ravel()
-    order = np.argsort(flat, kind="stable")
-    mine, first = np.unique(flat[order], return_index=True)
-    gradient = _row_sums(p, order % n, first)
-    history[mine] += np.einsum("ij,ij->i", gradient, gradient)
-    weights[mine] -= gradient * (RATE / np.sqrt(history[mine]))[:, None]
+    for k, own in enumerate(rows):
+        order = np.argsort(own, kind="stable")
+        ranked = own[order]
+        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+        mine = ranked[first].astype(np.int64) + k * size
+        gradient = _row_sums(p, order, first)
+        squares = history.take(mine) + np.einsum("ij,ij->i", gradient, gradient)
+        history[mine] = squares
+        gradient *= (RATE / np.sqrt(squares))[:, None]
+        weights[mine] = weights.take(mine, 0, mode="clip") - gradient
     return p
 
 
-def learn(model: Model, texts: list[bytes], history: np.ndarray, inner_history: np.ndarray) -> int:
+def learn(model: Model, texts: list[bytes], history: list[np.ndarray]) -> int:
     """Gradient steps over the texts."""
     t = tokens_of(texts)
-    kind = model.classes(t)
-    rows, inner = model.features(t, kind)
-    sub = sub_of(t.hash)
+    kind, sub = model.classes(t), sub_of(t.hash)
+    context = model.contexts(t, kind)
     for a in range(0, len(kind), BATCH):
         z = min(a + BATCH, len(kind))
-        p = _step(model.weights, history, rows[:, a:z], model.bias, kind[a:z])
-        model.bias -= p.sum(0) * np.float32(0.05 / (z - a))
-        at = a + np.flatnonzero(kind[a:z] > END_CLASS)
-        if len(at):
-            _step(model.inner, inner_history, inner[:, at], model.share[kind[at]], sub[at])
+        for number, step in enumerate(steps_of(kind[a:z], sub[a:z])):
+            if len(step.target):
+                rows = _rows(context[:, a:z][:, step.at], number, step.state, model.rows)
+                p = _step(model.weights[number], history[number], rows, model.offsets[number], step.state, step.target)
+                if number == 0:
+                    model.offsets[0] -= p.sum(0) * np.float32(0.05 / (z - a))
     return len(kind)
 
 
+def _packed_weights(model: Model) -> np.ndarray:
+    return np.concatenate([model.offsets[0].ravel(), *(w.ravel() for w in model.weights)])
+
+
+def _with_weights(model: Model, flat: np.ndarray) -> Model:
+    out, at = model.copy(), 0
+    for x in (out.offsets[0], *out.weights):
+        x[:] = flat[at : at + x.size].reshape(x.shape)
+        at += x.size
+    return out
+
+
 def _steps(model: Model):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        own = replace(model, bias=model.bias.copy(), weights=model.weights.copy(), inner=model.inner.copy())
-        history = [np.ones(len(w), np.float32) for w in (own.weights, own.inner)]
+        own = model.copy()
+        history = [np.ones(len(w), np.float32) for w in own.weights]
         seen = 0
         for rows in batches:
             texts = text_bytes(rows.column(0))
             for a, z in slices([len(x) for x in texts], 1 << 20):
-                seen += learn(own, texts[a:z], *history)
+                seen += learn(own, texts[a:z], history)
         if seen:
-            both = np.concatenate([own.weights, own.bias[None], own.inner.reshape(-1, CLASSES)])
-            chunks = [both[k : k + CHUNK] for k in range(0, len(both), CHUNK)]
+            flat = _packed_weights(own)
+            chunks = [flat[k : k + CHUNK] for k in range(0, len(flat), CHUNK)]
             count = len(chunks)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -267,11 +324,7 @@ def trained(model: Model, texts: DataFrame) -> Model:
     moved = texts.mapInArrow(_steps(model), schema)
     mean = moved.groupBy("chunk", "part").applyInArrow(_averaged, schema).groupBy("chunk").applyInArrow(_averaged, schema)
     rows = sorted(mean.select("chunk", "weights").collect())
-    if rows:
-        both = np.concatenate([np.frombuffer(r["weights"], np.float16) for r in rows]).astype(np.float32).reshape(-1, CLASSES)
-        n = len(model.weights)
-        model = replace(model, bias=both[n].copy(), weights=both[:n].copy(), inner=both[n + 1 :].reshape(-1, SUBS).copy())
-    return model
+    return _with_weights(model, np.concatenate([np.frombuffer(r["weights"], np.float16) for r in rows])) if rows else model
 
 
 def start(vocabulary: DataFrame) -> Model:
@@ -291,18 +344,25 @@ def start(vocabulary: DataFrame) -> Model:
         cells[r["kind"], sub] -= own
         cells[place, sub] = own
     cells = np.maximum(cells, 0)
-    n, v, once, twice = cells.sum(1).T
+    n, _, once, twice = cells.sum(1).T
     signature = np.arange(CLASSES) > END_CLASS
     discount = np.where(signature, (once + 0.5) / (once + 2 * twice + 1), 0.0)
     n = n + signature  # an unknown word of a class without any is possible too
     part = signature[:, None] / SUBS
+    held = np.maximum(cells[..., 0] + part, 1e-300)
     with np.errstate(divide="ignore"):
-        unknown = np.log10((discount * v + signature) / np.maximum(n, 1e-300))
         rare = np.log10((discount[:, None] * cells[..., 1] + part) / np.maximum(n, 1e-300)[:, None])
-    share = np.where(signature[:, None], np.log(np.maximum(cells[..., 0] + part, 1e-300) / np.maximum(n, 1e-300)[:, None]), 0).astype(np.float32)
+    share = np.where(signature[:, None], np.log(held / np.maximum(n, 1e-300)[:, None]), 0).astype(np.float32)
+    groups = held.reshape(CLASSES, WIDTHS[2], WIDTHS[3])
+    flat = lambda x: np.log(np.maximum(x, 1e-300) / np.maximum(x.sum(1, keepdims=True), 1e-300)).astype(np.float32)
+    sizes = np.maximum(n, 0.5).reshape(WIDTHS[0], WIDTHS[1])
+    offsets = [flat(sizes.sum(1)[None]), flat(sizes), flat(groups.sum(2)), flat(groups.reshape(-1, WIDTHS[3]))]
     frequent = np.array([r["hash"] % (1 << 64) for r in top], np.uint64)
-    bias = np.log(np.maximum(n, 0.5) / max(n.sum(), 1)).astype(np.float32)
-    return Model(frequent, tokens, distinct, discount, n, unknown, bias, np.zeros((3 * TABLE, CLASSES), np.float32), share, rare, np.zeros((3 * TABLE, SUBS), np.float32))
+    rows = LEAST_ROWS
+    while rows < MOST_ROWS and rows * WORDS_PER_ROW < distinct:
+        rows *= 2
+    weights = [np.zeros((3 * rows, width), np.float32) for width in WIDTHS]
+    return Model(frequent, tokens, distinct, discount, n, share, rare, offsets, weights)
 
 
 def _asked(buckets: int):
@@ -332,10 +392,9 @@ def _answered(asked: pa.Table, vocabulary: pa.Table) -> pa.Table:
 
 def _chosen(x: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log probability of each row's target."""
-    x -= x.max(1, keepdims=True)
     picked = x[np.arange(len(x)), target]
     np.exp(x, out=x)
-    return picked - np.log(x.sum(1))
+    return picked - np.log(_sums(x))
 
 
 def score(model: Model, texts: list[bytes], hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -349,15 +408,17 @@ def score(model: Model, texts: list[bytes], hashes: np.ndarray, counts: np.ndarr
     with np.errstate(divide="ignore", invalid="ignore"):
         sub = sub_of(t.hash)
         inside = np.where(known, np.log10(np.maximum(c - model.discount[kind], 1e-12) / model.size[kind]), model.rare[kind, sub])
-    rows, inner = model.features(t, kind)
-    chosen = np.empty(len(kind))
+    context = model.contexts(t, kind)
+    chosen = np.zeros(len(kind))
     for a in range(0, len(kind), BATCH):
         z = min(a + BATCH, len(kind))
-        chosen[a:z] = _chosen(_logits(model.weights, rows[:, a:z], model.bias), kind[a:z])
-        at = a + np.flatnonzero(kind[a:z] > END_CLASS)
-        if len(at):
-            share = model.share[kind[at]]
-            chosen[at] += _chosen(_logits(model.inner, inner[:, at], share), sub[at]) - share[np.arange(len(at)), sub[at]]
+        part = chosen[a:z]
+        for number, step in enumerate(steps_of(kind[a:z], sub[a:z])):
+            if len(step.target):
+                rows = _rows(context[:, a:z][:, step.at], number, step.state, model.rows)
+                part[step.at] += _chosen(_logits(model.weights[number], rows, model.offsets[number], step.state), step.target)
+    rare = kind > END_CLASS
+    chosen[rare] -= model.share[kind[rare], sub[rare]]
     chosen = chosen / np.log(10) + np.where(np.isfinite(inside), inside, 0.0)
     chosen = np.where(np.isfinite(inside), chosen, base)  # only without any training text
     first = t.first[:-1]

@@ -121,13 +121,25 @@ def test_language_model(spark):
 
 
 def test_model_sums_to_one(spark):
-    from rankloom.llm.language_model import VOCABULARY, _count, _summed
+    from rankloom.llm.language_model import CLASSES, END_CLASS, SUBS, VOCABULARY, _chosen, _count, _logits, _rows, _summed, steps_of
 
     texts = [encoded(r[1]) for r in rows()]
     df = spark.createDataFrame([(t.decode(),) for t in texts], "text string")
     vocabulary = df.mapInArrow(_count(3), "bucket long, hashes binary, counts binary, kinds binary").groupBy("bucket").applyInArrow(_summed, VOCABULARY)
     model = start(vocabulary)
-    model.weights[:] = np.random.default_rng(5).normal(0, 0.3, model.weights.shape)
+    rng = np.random.default_rng(5)
+    for w in model.weights:
+        w[:] = rng.normal(0, 0.3, w.shape)
+    # over all classes and sub-classes, behind one context
+    cells, inner = np.repeat(np.arange(CLASSES), SUBS), np.tile(np.arange(SUBS), CLASSES)
+    once = (cells > END_CLASS) | (inner == 0)
+    cells, inner = cells[once], inner[once]
+    context = np.repeat(rng.integers(0, 2**63, (3, 1), dtype=np.uint64), len(cells), 1)
+    logs = np.zeros(len(cells))
+    for number, step in enumerate(steps_of(cells, inner)):
+        at = _rows(context[:, step.at], number, step.state, model.rows)
+        logs[step.at] += _chosen(_logits(model.weights[number], at, model.offsets[number], step.state), step.target)
+    assert abs(np.exp(logs).sum() - 1) < 1e-4
     words = sorted({w for t in texts for w in t.lower().split()})
     t = tokens_of([b" ".join(words)])
     table: dict[int, int] = {}
@@ -137,8 +149,7 @@ def test_model_sums_to_one(spark):
     c = np.array([table[h] for h in t.hash.tolist()], float)
     inside = np.zeros(len(model.size))
     np.add.at(inside, kind, (c - model.discount[kind]) / model.size[kind])
-    used = np.isfinite(model.unknown)
-    inside[used] += 10 ** model.unknown[used]
+    inside += (10**model.rare).sum(1)
     assert np.allclose(inside[model.size > 0], 1)
     hashes = np.array(sorted(table), np.uint64)
     n, known, base, own = score(model, [b"unknownword"], hashes, np.array([table[h] for h in hashes.tolist()], np.uint64))
