@@ -863,6 +863,11 @@ STATEMENTS = {
           FROM events JOIN (VALUES {", ".join(f"('{p}', {d})" for p, d in P.PERIOD_DAYS.items())}) w(period, days)
             ON CAST(ts AS DATE) BETWEEN {SNAPSHOT_DAY} - w.days + 1 AND {SNAPSHOT_DAY}, LATERAL (SELECT unnest(['global', event_type]) AS scope) s
           WHERE {CLOSED_DAY} GROUP BY ALL)) WHERE rank <= {TOP}""",
+    "stream_live_boards": f"""
+      SELECT day, scope, item, metric, hits, rank, day + 1 <= (SELECT CAST(max(ts) AS DATE) FROM events) AS closed FROM (
+        SELECT *, CAST(row_number() OVER (PARTITION BY day, scope ORDER BY metric DESC, item) AS INTEGER) AS rank FROM (
+          SELECT CAST(ts AS DATE) AS day, s.scope, user_id AS item, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS metric, count(*) AS hits
+          FROM events, LATERAL (SELECT unnest(['global', event_type]) AS scope) s GROUP BY ALL)) WHERE rank <= {TOP}""",
     "stream_dedup_evidence": f"""
       SELECT CAST(ts AS DATE) AS bucket_day, {name('user_id')} AS full_name, event_type AS kind, sha256(props) AS sha256,
         epoch_us(min(ts)) AS first_seen, count(*) AS copies FROM events WHERE {CLOSED_DAY} GROUP BY ALL""",

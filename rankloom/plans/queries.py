@@ -961,6 +961,19 @@ def stream_boards(spark, folder):
     return boards.select("capture_date", "scope", "period", "item", "metric", "hits", "rank")
 
 
+@register
+def stream_live_boards(spark, folder):
+    """The board of every day, open or closed, as the stream knows it after all events."""
+    from rankloom.streaming.live import live_boards, write_live_boards
+
+    out = run_folder(spark, "live")
+    events = event_stream(spark, folder).select(
+        "ts", F.col("event_type").alias("scope"), F.col("user_id").alias("item"), F.round(F.col("value") * 100).cast("bigint").alias("metric")
+    )
+    write_live_boards(events, out, W.TOP).awaitTermination()
+    return live_boards(spark, out, W.TOP)
+
+
 @register
 def stream_catalog_upsert(spark, folder):
     from rankloom.streaming.catalog import catalog_version, stream_catalog_upsert as run

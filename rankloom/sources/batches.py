@@ -196,13 +196,13 @@ def schema_conformance(
     return out
 
 
-def write_dated(df: DataFrame, path: str, date_column: str = "capture_date") -> None:
-    """Write a dated table; only the dates in ``df`` are replaced, other dates stay."""
+def write_dated(df: DataFrame, path: str, date_column: str = "capture_date", *more: str) -> None:
+    """Write a dated table; only the dates in ``df`` (and parts of them, by ``more`` columns) are replaced, others stay."""
     (
-        rebalanced(df, date_column)
+        rebalanced(df, date_column, *more)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(date_column)
+        .partitionBy(date_column, *more)
         .parquet(path)
     )
 

@@ -117,3 +117,42 @@ def test_evidence_stream_equals_batch_on_closed_buckets(spark, tmp_path):
     columns = ("bucket_day", "full_name", "kind", "sha256", "first_seen", "copies")
     got = sorted(map(tuple, spark.read.parquet(f"{out}/evidence").select(*columns).collect()))
     assert got == sorted(map(tuple, batch.select(*columns).collect())) and got
+
+
+def test_live_boards_equal_batch_and_state_is_bounded(spark, tmp_path):
+    """Three runs of a stream: open days are current, closed ones final, late rows dropped, falling totals seen."""
+    import random
+
+    from rankloom.streaming import live as SL
+
+    rng = random.Random(5)
+    start, source, out = datetime(2024, 1, 1), str(tmp_path / "in"), str(tmp_path / "out")
+    stream = lambda: spark.readStream.schema(SCHEMA).parquet(source)
+    seen, sizes = [], []
+
+    def event(day):
+        return (start + timedelta(days=day, seconds=rng.randrange(86400)), rng.choice("xy"), rng.randrange(40), rng.choice([5, 7, 11, -9]))
+
+    batches = [[event(d) for d in (0, 1) for _ in range(150)], [event(d) for d in (1, 2, 3) for _ in range(120)], [event(0) for _ in range(30)] + [event(5) for _ in range(60)]]
+    late = batches[2][:30]
+    for rows in batches:
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        query = SL.write_live_boards(stream(), out, top=4)
+        query.awaitTermination()
+        seen += [r for r in rows if r not in late]
+        sizes.append([p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress][-1])
+        totals = {}
+        for ts, scope, item, metric in seen:
+            for s in (scope, "global"):
+                own = totals.setdefault((ts.date(), s), {}).setdefault(item, [0, 0])
+                own[0] += metric
+                own[1] += 1
+        last = max(ts for ts, *_ in seen).date()
+        want = {
+            (day, s, item, metric, hits, rank, day < last)
+            for (day, s), items in totals.items()
+            for rank, (item, (metric, hits)) in enumerate(sorted(items.items(), key=lambda x: (-x[1][0], x[0]))[:4], 1)
+        }
+        assert {tuple(r) for r in SL.live_boards(spark, out, top=4).collect()} == want
+    # rows of packed totals, a list and a timer (which is held twice) for each shard of a scope of an open day, and of no closed one
+    assert sizes[-1] <= 3 * SL.SHARDS * (8 + 1 + 2)
