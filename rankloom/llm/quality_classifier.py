@@ -289,7 +289,8 @@ def fit(docs: DataFrame, bound: int = FIT_DOCUMENTS) -> WeakModel:
         count = np.bincount(back, seen[:, 1], len(code))
         codes.append(code)
         beliefs.append(posteriors(code, count, len(labellers)))
-    sample = _smallest(rows, bound).mapInArrow(_sample, "features binary, quality long, toxicity long").orderBy("quality", "toxicity", "features").collect()
+    sample = _smallest(rows, bound).mapInArrow(_sample, "features binary, quality long, toxicity long").collect()
+    sample = sorted(sample, key=lambda r: (r["quality"], r["toxicity"], bytes(r["features"])))  # as bounded as the sample
     features = [np.frombuffer(r["features"], np.int32) for r in sample]
     scorers = []
     for k, name in enumerate(("quality", "toxicity")):
