@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom import params as P
-from rankloom.functions.markup import unescape
+from rankloom.functions.markup import COMMENT, attribute_in, value_of
 from rankloom.functions.rows import unnest
 from rankloom.functions.scalars import violations
 from rankloom.functions.text import media_tags
@@ -14,7 +14,8 @@ from rankloom.functions.urls import absolute_target, directory_of, is_absolute,
 from rankloom.operators.boards import node_text
 
 NOT_MARKUP = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
-HREF = r"(?is)<(?:a|link)\b[^>]*?\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
+HREF = attribute_in("a|link", "href")
+OUTLINED = rf"(?s){attribute_in('h2', 'id')}(.*?)</(?i:h2)\s*>"
 EXTERNAL = r"(?i)^(?:https?:|mailto:|#)"
 
 # Where a Markdown text has link targets. One pattern finds them all in one pass from left to right: an
@@ -35,12 +36,10 @@ IMAGE_USE = r"!\[([^\]]*)\]\[([^\]]*)\]"
 
 
 def hrefs(html: Column) -> Column:
-    """Distinct non-empty link targets of ``a`` and ``link`` tags, outside comments and scripts."""
+    """Distinct non-empty link targets of ``a`` and ``link`` tags, in any spelling, outside comments and scripts."""
     markup = F.regexp_replace(html, NOT_MARKUP, " ")
-    double = F.regexp_extract_all(markup, F.lit(HREF), F.lit(1))
-    single = F.regexp_extract_all(markup, F.lit(HREF), F.lit(2))
-    found = F.filter(F.concat(double, single), lambda h: h.isNotNull() & (h != ""))
-    return F.array_distinct(F.transform(found, unescape))
+    found = F.transform(F.regexp_extract_all(markup, F.lit(HREF), F.lit(1)), value_of)
+    return F.array_distinct(F.filter(found, lambda h: h.isNotNull() & (h != "")))
 
 
 def page_links(pages: DataFrame, path: str = "path", html: str = "html") -> DataFrame:
@@ -68,10 +67,10 @@ def broken_links(pages: DataFrame, targets: DataFrame, path: str = "path", html:
 
 
 def page_outline(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """Second-level headings with an id, in page order: (key, position, heading_id, heading)."""
-    pattern = F.lit(r"(?is)<h2\b[^>]*?\sid=\"([^\"]*)\"[^>]*>(.*?)</h2>")
-    ids = F.regexp_extract_all(F.col(html), pattern, F.lit(1))
-    texts = F.regexp_extract_all(F.col(html), pattern, F.lit(2))
+    """Second-level headings with an id, in any spelling, in page order: (key, position, heading_id, heading)."""
+    markup = F.regexp_replace(F.col(html), COMMENT, "")
+    ids = F.transform(F.regexp_extract_all(markup, F.lit(OUTLINED), F.lit(1)), value_of)
+    texts = F.regexp_extract_all(markup, F.lit(OUTLINED), F.lit(2))
     rows = unnest(pages, F.arrays_zip(ids.alias("id"), texts.alias("text")), "h", key, position="position")
     return rows.select(
         key,

@@ -11,9 +11,10 @@ import re
 from rankloom import params as P
 from rankloom.operators import digest_tree as T
 from rankloom.plans import queries as Q
-from rankloom.plans.views import CAPTURE, KINDS, PRIOR, SCOPES, SCRIPT, TOP
+from rankloom.plans.views import BETWEEN, KINDS, SCOPES, SCRIPT, TOP
 
-C, B = f"DATE '{CAPTURE}'", f"DATE '{PRIOR}'"
+C = "(SELECT CAST(max(ts) AS DATE) FROM events)"
+B = f"({C} - {BETWEEN})"
 
 
 def quote(text: str) -> str:
@@ -511,6 +512,18 @@ def localized_statement() -> str:
     return f"SELECT full_name, {violations(*localized_rules(), repeated)} AS violations FROM local_rows"
 
 
+def report_statement() -> str:
+    first = f"split_part(text, {N}, 1)"
+    sections = [f"CASE WHEN doc_id % 7 = {i} THEN '' ELSE {quote(f'## {name}')} || {N} || {N} || {first} END" for i, name in enumerate(P.REQUIRED_REPORT_SECTIONS)]
+    phrases = [f"CASE WHEN doc_id % {11 + 2 * i} = 3 THEN {quote(p)} ELSE '' END" for i, p in enumerate(P.FORBIDDEN_REPORT_PHRASES)]
+    missing = violations(*[(f"NOT contains(report, {quote(p)})", p) for p in P.REQUIRED_REPORT_SECTIONS])
+    present = violations(*[(f"contains(report, {quote(p)})", p) for p in P.FORBIDDEN_REPORT_PHRASES])
+    return f"""
+      SELECT *, missing_sections = '' AND forbidden_sections = '' AS valid FROM (
+        SELECT doc_id, {missing} AS missing_sections, {present} AS forbidden_sections
+        FROM (SELECT doc_id, {f" || {N} || ".join(sections + phrases)} AS report FROM documents))"""
+
+
 def collection_statement() -> str:
     names = violations(
         ("entries > 1", "repeated_name"), ("shown AND entries = 0", "entry_missing"), ("NOT shown AND entries > 0", "not_displayed"),
@@ -710,7 +723,7 @@ STATEMENTS = {
     "pool_reconcile": """
       SELECT full_name, 'extra' AS side FROM enriched WHERE k % 40 <> 39 AND full_name NOT IN (SELECT full_name FROM good)
       UNION ALL SELECT DISTINCT full_name, 'missing' FROM good WHERE full_name NOT IN (SELECT full_name FROM enriched WHERE k % 40 <> 39)""",
-    "pool_counts": "SELECT raw_candidates, evaluated, raw_candidates = 57 AS raw_match, evaluated = 147 AS evaluated_match FROM (SELECT (SELECT count(*) FROM trend_now) AS raw_candidates, (SELECT count(*) FROM enriched WHERE k % 40 <> 39) AS evaluated)",
+    "pool_counts": f"SELECT raw_candidates, evaluated, raw_candidates = declared_raw AS raw_match, evaluated = declared AS evaluated_match FROM (SELECT (SELECT count(*) FROM trend_now) AS raw_candidates, (SELECT count(*) FROM enriched WHERE k % 40 <> 39) AS evaluated, (SELECT count(DISTINCT full_name) FROM board WHERE capture_date = {C}) AS declared_raw, (SELECT count(*) FROM enriched) AS declared)",
     "symmetric_difference": f"""
       SELECT full_name, 'extra' AS side FROM (SELECT full_name FROM board WHERE capture_date = {C} EXCEPT SELECT full_name FROM board WHERE capture_date = {B})
       UNION ALL SELECT full_name, 'missing' FROM (SELECT full_name FROM board WHERE capture_date = {B} EXCEPT SELECT full_name FROM board WHERE capture_date = {C})""",
@@ -855,6 +868,7 @@ STATEMENTS = {
       FROM link_docs""",
     "localized_validation": localized_statement(),
     "localized_collection": collection_statement(),
+    "report_rules": report_statement(),
     "rendered_checks": rendered_statement(),
     "stream_boards": f"""
       SELECT capture_date, scope, period, item, metric, hits, rank FROM (

@@ -24,7 +24,7 @@ from rankloom.operators import ranking as R
 from rankloom.operators import references as A
 from rankloom.operators import rules as U
 from rankloom.plans import views as W
-from rankloom.plans.views import CAPTURE, PRIOR, SCRIPT
+from rankloom.plans.views import SCRIPT
 from rankloom.session import run_folder, stored
 from rankloom.sources.tables import read_table
 
@@ -136,9 +136,9 @@ def name_order(spark, folder):
 @register
 def collection_summary(spark, folder):
     entries = W.snapshots(spark, folder)
-    today = entries.where(F.col("capture_date") == F.lit(CAPTURE))
+    today = entries.where(F.col("capture_date") == F.lit(W.capture(spark, folder)))
     requests = V.evidence_requests(B.distinct_candidates(today), W.KINDS)
-    reuse = V.evidence_asof_reuse(requests, W.evidence(spark, folder), CAPTURE)
+    reuse = V.evidence_asof_reuse(requests, W.evidence(spark, folder), W.capture(spark, folder))
     # in place of a fetch: kind "view" of names ending in 7 is taken as failed
     failed = ~F.col("reused") & (F.col("kind") == "view") & F.endswith("full_name", F.lit("7"))
     return B.collection_summary(
@@ -151,20 +151,20 @@ def collection_summary(spark, folder):
 
 @register
 def previous_snapshot(spark, folder):
-    rows = R.previous_snapshot(W.snapshots(spark, folder), CAPTURE)
+    rows = R.previous_snapshot(W.snapshots(spark, folder), W.capture(spark, folder))
     return rows.select("capture_date", "scope", "period", "rank", "full_name")
 
 
 @register
 def momentum_join(spark, folder):
-    rows = R.momentum_join(W.snapshots(spark, folder), CAPTURE)
+    rows = R.momentum_join(W.snapshots(spark, folder), W.capture(spark, folder))
     ranks = [S.round2(F.col(c)).alias(c) for c in ("current_rank", "previous_rank", "rank_momentum")]
     return rows.select("full_name", *ranks)
 
 
 @register
 def rank_momentum(spark, folder):
-    return R.trend_board(W.snapshots(spark, folder), CAPTURE).select(
+    return R.trend_board(W.snapshots(spark, folder), W.capture(spark, folder)).select(
         "full_name", "average_rank", "previous_average_rank", "rank_momentum"
     )
 
@@ -180,14 +180,14 @@ def midrank_percentile(spark, folder):
 
 @register
 def trend_score(spark, folder):
-    return R.trend_board(W.snapshots(spark, folder), CAPTURE).select(
+    return R.trend_board(W.snapshots(spark, folder), W.capture(spark, folder)).select(
         "full_name", *P.TREND_WEIGHTS, "trend_score", "trend_pass"
     )
 
 
 @register
 def trend_board(spark, folder):
-    rows = R.trend_board(W.snapshots(spark, folder), CAPTURE)
+    rows = R.trend_board(W.snapshots(spark, folder), W.capture(spark, folder))
     return rows.withColumn("periods_present", joined("periods_present"))
 
 
@@ -199,7 +199,7 @@ def hard_filter(spark, folder):
 
 @register
 def primary_period(spark, folder):
-    rows = R.primary_period(R.trend_board(W.snapshots(spark, folder), CAPTURE))
+    rows = R.primary_period(R.trend_board(W.snapshots(spark, folder), W.capture(spark, folder)))
     return rows.select("full_name", "primary_period")
 
 
@@ -257,7 +257,7 @@ def first_accepted(spark, folder):
 @register
 def newly_accepted(spark, folder):
     batch = W.Batch(spark, folder)
-    return C.newly_accepted(batch.current, batch.catalog(), CAPTURE).select("full_name", "final_score")
+    return C.newly_accepted(batch.current, batch.catalog(), batch.day).select("full_name", "final_score")
 
 
 @register
@@ -333,13 +333,13 @@ def period_features(spark, folder):
 @register
 def edition_stats(spark, folder):
     batch = W.Batch(spark, folder)
-    return E.edition_stats(batch.pages, batch.trend, batch.current, batch.catalog(), CAPTURE)
+    return E.edition_stats(batch.pages, batch.trend, batch.current, batch.catalog(), batch.day)
 
 
 @register
 def daily_edition(spark, folder):
     """The edition record as rows: each displayed key with its period and display number."""
-    record = E.edition_record(W.Batch(spark, folder).features(), CAPTURE)
+    record = E.edition_record(W.Batch(spark, folder).features(), W.capture(spark, folder))
     shown = record.select("date", "featured", F.posexplode("displayed").alias("p", "full_name"))
     period = F.coalesce(
         *[F.when(F.array_contains(F.element_at("featured", F.lit(p)), F.col("full_name")), F.lit(p)) for p in P.PERIODS]
@@ -350,7 +350,7 @@ def daily_edition(spark, folder):
 @register
 def daily_report(spark, folder):
     batch = W.Batch(spark, folder)
-    return E.daily_report(E.period_features(batch.current, batch.catalog(), CAPTURE), batch.current)
+    return E.daily_report(E.period_features(batch.current, batch.catalog(), batch.day), batch.current)
 
 
 def edition_rows(spark, folder) -> DataFrame:
@@ -399,7 +399,7 @@ def coverage_subset(spark, folder):
 
 @register
 def feature_lookup(spark, folder):
-    shown = edition_rows(spark, folder).select(F.lit(CAPTURE).alias("capture_date"), F.explode("displayed").alias("full_name"))
+    shown = edition_rows(spark, folder).select(F.lit(W.capture(spark, folder)).alias("capture_date"), F.explode("displayed").alias("full_name"))
     return E.feature_lookup(shown.distinct(), W.Batch(spark, folder).current)
 
 
@@ -448,14 +448,16 @@ def pool_reconcile(spark, folder):
 @register
 def pool_counts(spark, folder):
     batch = W.Batch(spark, folder)
-    return U.pool_counts(batch.trend, batch.enrichment.where(F.col("item") % 40 != 39), F.lit(57), F.lit(147))
+    today = batch.entries.where(F.col("capture_date") == F.lit(batch.day))
+    declared = today.select(F.countDistinct("full_name")).scalar(), batch.enrichment.select(F.count("*")).scalar()
+    return U.pool_counts(batch.trend, batch.enrichment.where(F.col("item") % 40 != 39), *declared)
 
 
 @register
 def symmetric_difference(spark, folder):
     entries = W.snapshots(spark, folder)
     names = lambda day: entries.where(F.col("capture_date") == F.lit(day)).select("full_name")
-    return U.symmetric_difference(names(CAPTURE), names(PRIOR))
+    return U.symmetric_difference(names(W.capture(spark, folder)), names(W.prior(spark, folder)))
 
 
 @register
@@ -508,6 +510,14 @@ def section_rules(spark, folder):
     )
 
 
+@register
+def report_rules(spark, folder):
+    rows = U.section_rules(W.report_texts(spark, folder), "report", P.REQUIRED_REPORT_SECTIONS, P.FORBIDDEN_REPORT_PHRASES)
+    return rows.select(
+        "doc_id", joined("missing_sections").alias("missing_sections"), joined("forbidden_sections").alias("forbidden_sections"), "valid"
+    )
+
+
 @register
 def duplicate_fingerprints(spark, folder):
     return U.duplicate_fingerprints(doc_lines(spark, folder), "doc_id", F.col("lines"))
@@ -547,9 +557,9 @@ def issue_sample(spark, folder):
 
 @register
 def evidence_asof_reuse(spark, folder):
-    entries = W.board_entries(spark, folder).where(F.col("capture_date") == F.lit(CAPTURE))
+    entries = W.board_entries(spark, folder).where(F.col("capture_date") == F.lit(W.capture(spark, folder)))
     requests = V.evidence_requests(B.distinct_candidates(entries), W.KINDS)
-    return V.evidence_asof_reuse(requests, W.evidence(spark, folder), CAPTURE)
+    return V.evidence_asof_reuse(requests, W.evidence(spark, folder), W.capture(spark, folder))
 
 
 @register
@@ -665,7 +675,7 @@ def group_sizes(spark, folder):
         F.octet_length("text").cast("bigint").alias("bytes"),
         F.expr("CAST(octet_length(text) div 3 AS BIGINT)").alias("packed_bytes"),
     )
-    return M.group_sizes(files, CAPTURE)
+    return M.group_sizes(files, W.capture(spark, folder))
 
 
 @register
@@ -744,7 +754,7 @@ def parse_timestamp_utc(spark, folder):
 
 @register
 def age_days(spark, folder):
-    age = S.age_days(F.lit(CAPTURE), F.col("created_at"))
+    age = S.age_days(F.lit(W.capture(spark, folder)), F.col("created_at"))
     return W.enrichment(spark, folder).select("full_name", age.alias("age_days"), S.hot_type(age).alias("hot_type"))
 
 
@@ -754,7 +764,7 @@ NEW_DAYS = 30
 @register
 def hot_type(spark, folder):
     """With a shorter age limit than the default."""
-    age = S.age_days(F.lit(CAPTURE), F.col("created_at"))
+    age = S.age_days(F.lit(W.capture(spark, folder)), F.col("created_at"))
     return W.enrichment(spark, folder).select("full_name", S.hot_type(age, NEW_DAYS).alias("hot_type"))
 
 
@@ -957,7 +967,7 @@ def stream_boards(spark, folder):
         "ts", F.col("event_type").alias("scope"), F.col("user_id").alias("item"), F.round(F.col("value") * 100).cast("bigint").alias("metric")
     )
     write_daily_totals(events, out).awaitTermination()
-    boards = closed_boards(spark, out, [CAPTURE - timedelta(days=2)], W.TOP)
+    boards = closed_boards(spark, out, [W.capture(spark, folder) - timedelta(days=2)], W.TOP)
     return boards.select("capture_date", "scope", "period", "item", "metric", "hits", "rank")
 
 
@@ -1084,5 +1094,5 @@ def write_snapshots(spark, folder):
     batch = W.Batch(spark, folder)
     rows = batch.evaluations.select("capture_date", "full_name", "status", "final_score")
     path = write(out, evaluations=rows)["evaluations"]
-    write(out, evaluations=rows.where(F.col("capture_date") == F.lit(CAPTURE)))
+    write(out, evaluations=rows.where(F.col("capture_date") == F.lit(batch.day)))
     return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)

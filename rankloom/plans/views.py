@@ -6,7 +6,7 @@ hashes, dropped headings, …) follow from the keys, so that each rule has rows
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +20,8 @@ from rankloom.operators.ranking import evaluate, trend_board, trend_boards
 from rankloom.session import stored
 from rankloom.sources.tables import read_table, spread
 
-CAPTURE = date(2024, 1, 30)
-PRIOR = date(2024, 1, 23)
+#: Days between the two captures.
+BETWEEN = 7
 TOP = 25
 EVENT_SCOPES = ("click", "error", "purchase", "signup", "view")
 SCOPES = ("global",) + EVENT_SCOPES
@@ -38,6 +38,17 @@ def item_name(item: Column, kind: str = "item") -> Column:
     return F.concat(F.lit("org"), (item % 7).cast("string"), F.lit(f"/{kind}"), item.cast("string"))
 
 
+def capture(spark: SparkSession, folder: str) -> date:
+    """The newest day of the events: the date of the capture. A table without events has the first day of 1970."""
+    newest = spark.read.parquet(f"{folder}/events.parquet").select(F.max("ts").cast("date").alias("day")).first()["day"]
+    return newest or date(1970, 1, 1)
+
+
+def prior(spark: SparkSession, folder: str) -> date:
+    """The capture before."""
+    return capture(spark, folder) - timedelta(days=BETWEEN)
+
+
 def board_events(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "events").select(
         "ts",
@@ -62,7 +73,8 @@ def scope_number() -> Column:
 
 
 def board_entries(spark: SparkSession, folder: str) -> DataFrame:
-    rows = board_rows(board_events(spark, folder), [PRIOR, CAPTURE], TOP)
+    last = capture(spark, folder)
+    rows = board_rows(board_events(spark, folder), [last - timedelta(days=BETWEEN), last], TOP)
     return as_entries(rows)
 
 
@@ -205,25 +217,27 @@ class Batch:
         self.entries = snapshots(spark, folder)
         self.pages = board_pages(self.entries)
         self.enrichment = enrichment(spark, folder)
-        self.trend = trend_board(self.entries, CAPTURE)
+        self.day = capture(spark, folder)
+        self.before = self.day - timedelta(days=BETWEEN)
+        self.trend = trend_board(self.entries, self.day)
         self._evaluations: DataFrame | None = None
 
     @property
     def evaluations(self) -> DataFrame:
         if self._evaluations is None:
             on = lambda rows, day: rows.withColumn("capture_date", F.lit(day))
-            records = on(self.enrichment, CAPTURE).unionByName(on(earlier_enrichment(self.enrichment), PRIOR))
-            scored = evaluate(records, trend_boards(self.entries, [PRIOR, CAPTURE]))
+            records = on(self.enrichment, self.day).unionByName(on(earlier_enrichment(self.enrichment), self.before))
+            scored = evaluate(records, trend_boards(self.entries, [self.before, self.day]))
             self._evaluations = stored(scored, "evaluations", "capture_date")
         return self._evaluations
 
     @property
     def current(self) -> DataFrame:
-        return self.evaluations.where(F.col("capture_date") == F.lit(CAPTURE))
+        return self.evaluations.where(F.col("capture_date") == F.lit(self.day))
 
     @property
     def prior(self) -> DataFrame:
-        return self.evaluations.where(F.col("capture_date") == F.lit(PRIOR))
+        return self.evaluations.where(F.col("capture_date") == F.lit(self.before))
 
     def catalog_before(self) -> DataFrame:
         return catalog_upsert(empty_catalog(self.spark), self.prior)
@@ -232,7 +246,7 @@ class Batch:
         return catalog_upsert(self.catalog_before(), self.current)
 
     def features(self) -> DataFrame:
-        return period_features(self.current, self.catalog(), CAPTURE)
+        return period_features(self.current, self.catalog(), self.day)
 
 
 def evidence(spark: SparkSession, folder: str) -> DataFrame:
@@ -360,6 +374,16 @@ def localized_tables(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return manifest, files, sources
 
 
+def report_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """A daily report around each document; some lack a section, some have a phrase that reports must not have."""
+    k = F.col("doc_id")
+    sections = [
+        when_mod(k, 7, i, "", F.concat(F.lit(f"## {name}\n\n"), F.substring_index("text", "\n", 1), F.lit("\n\n"))) for i, name in enumerate(P.REQUIRED_REPORT_SECTIONS)
+    ]
+    phrases = [when_mod(k, 11 + 2 * i, 3, phrase + "\n\n", "") for i, phrase in enumerate(P.FORBIDDEN_REPORT_PHRASES)]
+    return documents(spark, folder).select("doc_id", F.concat(*sections, *phrases).alias("report"))
+
+
 def localized_set(docs: DataFrame) -> tuple[DataFrame, ...]:
     """(header, manifest, files, sources, displayed, catalog): the tables above with faults of the set. Some entries are
     missing or given twice, some names not displayed or not in the catalog, some files strays, the header is wrong."""
@@ -436,7 +460,10 @@ def site_pages(spark: SparkSession, folder: str) -> DataFrame:
         .when(k % 6 == 2, F.col("html"))
         .otherwise(F.regexp_replace("html", r'href="/([^"]*)"', 'href="https://example.org/$1"'))
     )
+    # every second page writes its attributes in another way
+    html = F.when(k % 4 == 1, F.regexp_replace(html, '<a href="([^"]*)"', "<A class='x' HREF=$1")).when(k % 4 == 3, F.replace(html, F.lit('"'), F.lit("'"))).otherwise(html)
     outline = F.concat(F.lit('<h2 id="s'), k.cast("string"), F.lit('">About <i>'), slug, F.lit('</i></h2><h2 id="end">End</h2>'))
+    outline = F.when(k % 4 == 1, F.regexp_replace(outline, '<h2 id="([^"]*)"', "<H2 ID=$1")).when(k % 4 == 3, F.replace(outline, F.lit('"'), F.lit("'"))).otherwise(outline)
     return web_pages(spark, folder).select(
         "page_id",
         F.concat(F.lit("repos/"), slug, F.lit(".html")).alias("path"),

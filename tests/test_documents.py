@@ -230,6 +230,15 @@ def test_outline(spark):
     assert [(r.position, r.heading_id, r.heading) for r in L.page_outline(df, "k", "html").collect()] == [(1, "a", "A x"), (2, "b", "B")]
 
 
+def test_outlines_and_links_in_any_spelling(spark):
+    html = "<H2 class='k' ID=one>A</H2><h2 id='two &amp; 2'>B <b>b</b></h2><!-- <h2 id=no>x</h2> --><h2>none</h2><h2 data-id='z'>n</h2><h2 id = \"three\">C</h2 >"
+    df = spark.createDataFrame([(1, html)], "k INT, html STRING")
+    assert [(r.heading_id, r.heading) for r in L.page_outline(df, "k", "html").collect()] == [("one", "A"), ("two & 2", "B b"), ("three", "C")]
+    links = "<A HREF=a.html>a</A><a class=x href='b.html'>b</a><a data-href=no.html>n</a><link rel=s href = c.css><a href=d.html/>d</a><a title='x > y' href=e.html?q=1&amp;r>e</a>"
+    found = spark.createDataFrame([(links,)], "html STRING").select(L.hrefs(F.col("html"))).first()[0]
+    assert found == ["a.html", "b.html", "c.css", "d.html/", "e.html?q=1&r"]
+
+
 def test_a_very_long_document(spark):
     lines = "word another line of text, with ordinary marks\n" * 40000
     text = f"# T\n\n{TICKS}\n{lines}{TICKS}\n\n{lines}\n<!-- {lines} -->\n[a](b.md)\n"
