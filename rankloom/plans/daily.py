@@ -1,7 +1,7 @@
 """One day's batch from document to published tables, and the audit of what is published.
 
 Tables below a folder: ``pages``, ``snapshots``, ``evaluations``, ``rejections``, ``editions``,
-``features``, ``reports`` (all by ``capture_date``) and ``catalog``.
+``features``, ``reports``, ``commits/files`` (all by ``capture_date``) and ``catalog``.
 """
 
 from __future__ import annotations
@@ -17,11 +17,16 @@ from rankloom.operators import boards as B
 from rankloom.operators import edition as E
 from rankloom.operators import ranking as R
 from rankloom.operators import rules as U
+from rankloom.operators.manifests import content_hashes
 from rankloom.session import stored
 from rankloom.sources.batches import batch_entries, batch_repositories, read_batch, schema_conformance, write_snapshots
+from rankloom.sources.tables import read_files
 from rankloom.streaming.catalog import catalog_version, upsert_into
 
 
+COMMITS = "commits"
+
+
 def expected_pages(spark: SparkSession) -> DataFrame:
     pairs = [(scope, period) for period in P.PERIODS for scope in P.SCOPES]
     return spark.createDataFrame(pairs, "scope STRING, period STRING")
@@ -109,14 +114,52 @@ def ingest(spark: SparkSession, batch_path: str, folder: str) -> DataFrame:
         rejections=E.rejections(evaluations),
         stats=stats,
     )
+    commit_files(spark, folder, capture)
     return spark.read.schema(stats.schema).parquet(f"{folder}/stats").where(F.col("capture_date") == F.lit(capture))
 
 
+def published_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(path below ``folder``, sha256) of all files of the published tables; contents stay in the scan."""
+    files = read_files(spark, folder, "*.parquet")
+    return content_hashes(files.where(~F.startswith("path", F.lit(COMMITS)))).select("path", "sha256")
+
+
+def commit_files(spark: SparkSession, folder: str, capture: date) -> None:
+    """Note what is published as of a capture, one row per file."""
+    rows = published_files(spark, folder).withColumn("capture_date", F.lit(capture))
+    write_snapshots(f"{folder}/{COMMITS}", **{"files": rows})
+
+
+def committed_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of the newest commit that are missing or have other bytes: (path, outcome)."""
+    commits = spark.read.parquet(f"{folder}/{COMMITS}/files")
+    newest = commits.agg(F.max("capture_date")).scalar()
+    manifest = commits.where(F.col("capture_date") == newest).select("path", "sha256")
+    actual = published_files(spark, folder).withColumnRenamed("sha256", "actual_sha256")
+    outcome = F.when(F.col("actual_sha256").isNull(), "missing").when(F.col("actual_sha256") != F.col("sha256"), "changed")
+    return manifest.join(actual, "path", "left").select("path", outcome.alias("outcome")).where("outcome IS NOT NULL")
+
+
 def page_headers(entries: DataFrame) -> DataFrame:
     header = ("capture_date", "page_no", "scope", "period", "source_url", "captured_at", "raw_sha256", "status")
     return entries.select(*header).distinct()
 
 
+def snapshot_issues(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Pages of a capture without a snapshot row or the other way round, and statistics that say another number of pages."""
+    key = ["capture_date", "page_no"]
+    pages = spark.read.parquet(f"{folder}/pages")
+    told = spark.read.parquet(f"{folder}/stats").select("capture_date", "pages")
+    counted = pages.select(*key).distinct().groupBy("capture_date").agg(F.count("*").alias("actual"))
+    unknown = spark.read.parquet(f"{folder}/snapshots").select(*key).distinct().join(pages.select(*key), key, "left_anti")
+    wrong = told.join(counted, "capture_date", "full").where(~F.col("pages").eqNullSafe(F.col("actual")))
+    item = F.col("capture_date").cast("string").alias("item")
+    return [
+        unknown.select(F.lit("snapshot of an unknown page").alias("check"), F.concat_ws(" ", "capture_date", "page_no").alias("item")),
+        wrong.select(F.lit("page count").alias("check"), item),
+    ]
+
+
 def audit(spark: SparkSession, folder: str) -> DataFrame:
     """Issues of the published tables: (check, item). An empty result is a pass."""
     held = catalog_version(spark, f"{folder}/catalog")
@@ -132,6 +175,8 @@ def audit(spark: SparkSession, folder: str) -> DataFrame:
         E.edition_rules(editions)
         .where(F.size("violations") > 0)
         .select(F.lit("edition rules").alias("check"), F.col("date").cast("string").alias("item")),
+        *snapshot_issues(spark, folder),
+        committed_changes(spark, folder).select(F.concat(F.lit("committed file "), "outcome").alias("check"), F.col("path").alias("item")),
     ]
     out = parts[0]
     for part in parts[1:]:

@@ -1,7 +1,9 @@
 import json
 from datetime import date
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from test_sources import batch
 
 from rankloom.plans.daily import audit, ingest
@@ -28,6 +30,16 @@ def test_publish_and_publish_again(spark, tmp_path):
     (left,) = spark.read.parquet(f"{out}/rejections").collect()
     assert (left.full_name, left.rejection_stage) == ("example/revived-hot", "trend")
     assert audit(spark, out).count() == 0
+    # a published file is changed
+    changed = sorted(Path(out, "rejections").rglob("*.parquet"))[0]
+    kept = {p: p.read_bytes() for p in (changed, *Path(out).rglob(".*.crc"))}
+    spark.read.parquet(str(changed)).coalesce(1).withColumn("more", F.lit(1)).write.parquet(str(tmp_path / "other"))
+    changed.write_bytes(sorted((tmp_path / "other").glob("*.parquet"))[0].read_bytes())
+    changed.with_name(f".{changed.name}.crc").unlink()
+    assert [(r.check, r["item"]) for r in audit(spark, out).collect()] == [("committed file changed", str(changed.relative_to(out)))]
+    for path, data in kept.items():
+        path.write_bytes(data)
+    assert audit(spark, out).count() == 0
     once = state(spark, tmp_path)
     again = publish(spark, tmp_path, batch())
     assert tuple(again[c] for c in counts) == tuple(stats[c] for c in counts)
