@@ -78,6 +78,15 @@ CARD_SCALAR_FIELDS = ("one_line", "what", "usage", "why", "value")
 CARD_LIST_FIELDS = ("audience", "features", "strengths", "limitations")
 MIN_ITEMS = {"features": 2, "strengths": 2}
 
+# What is no prose in a document, and its frontmatter. These patterns define which characters the rules count.
+COMMENT = r"(?s)<!--.*?-->"
+FENCED = r"(?s)```.*?```"
+INLINE_CODE = r"`[^`]+`"
+DATA_URI = r"data:[^\s)\"']+"
+WEB_URL = r"https?://\S+"
+QUOTED_LINE = r"(?m)^[ \t]*[|>].*$"
+FRONTMATTER = r"(?s)\A---\n(.*?)\n---\n"
+
 # Character class (regex body) of the language texts are localized into.
 NATIVE_SCRIPT = "一-鿿"
 # Characters that may continue a run of foreign prose after its first letter.
@@ -170,3 +179,5 @@ FORBIDDEN_PATTERNS = {
     "limitations": (r"^本知识库只做静态核验",),
     "value": (r"^属于(?:可持续使用的生产型系统|较完整的工具或工作流|可复用的基础设施或生态型能力)",),
 }
+
+# --- End of the fixed values. ---

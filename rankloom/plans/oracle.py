@@ -301,6 +301,12 @@ VIEWS = {
         CASE WHEN metric % 7 <> 0 THEN metric END AS period_stars
       FROM (SELECT *, CAST(row_number() OVER (PARTITION BY capture_date, scope, period ORDER BY metric DESC, item) AS INTEGER) AS rank
         FROM totals) WHERE rank <= {TOP}""",
+    "altered": """
+      SELECT * REPLACE (CASE WHEN item % 11 = 3 THEN 0 ELSE rank END AS rank, CASE WHEN item % 13 = 5 THEN 'http://mirror/' || full_name ELSE url END AS url,
+          CASE WHEN item % 17 = 2 THEN -1 ELSE period_stars END AS period_stars),
+        CASE WHEN scope = 'view' THEN 'yesterday' ELSE CAST(capture_date AS VARCHAR) || 'T09:00:00+08:00' END AS captured_at,
+        left(sha256(source_url || CAST(capture_date AS VARCHAR)), CASE WHEN scope = 'click' THEN 60 ELSE 64 END) AS raw_sha256,
+        CASE WHEN item % 19 <> 4 THEN ['u' || item] END AS built_by FROM board""",
     "good": "SELECT * FROM board WHERE status = 'success'",
     "board_pages": "SELECT DISTINCT capture_date, page_no, scope, period, source_url, status FROM board",
     "enriched": f"""
@@ -699,15 +705,20 @@ STATEMENTS = {
     "page_rules": f"""
       SELECT capture_date, scope, period, full_name, violations, violations = '' AS valid FROM (
         SELECT *, {violations(
-            ("scope = 'view'", "scope"),
-            ("scope = 'view'", "captured_at"),
-            ("scope = 'click'", "raw_sha256"),
-            ("status = 'failed'", "failed_page_has_rows"),
-            ("item % 11 = 3", "rank"),
-            ("item % 13 = 5", "url"),
-            ("item % 17 = 2", "period_stars"),
-            ("item % 19 = 4", "built_by"),
-        )} AS violations FROM board)""",
+            (f"scope NOT IN ({', '.join(quote(x) for x in SCOPES[:-1])})", "scope"),
+            (f"period NOT IN ({', '.join(quote(x) for x in P.PERIODS)})", "period"),
+            ("status NOT IN ('success', 'failed')", "status"),
+            ("try_cast(captured_at AS TIMESTAMPTZ) IS NULL", "captured_at"),
+            (f"NOT {hits('raw_sha256', '^[A-Fa-f0-9]{64}$')}", "raw_sha256"),
+            (f"NOT starts_with(source_url, '{P.SITE}{P.BOARD_PATH}')", "source_url"),
+            ("status = 'failed' AND rank IS NOT NULL", "failed_page_has_rows"),
+            ("rank < 1", "rank"),
+            (f"url <> '{P.SITE}/' || full_name", "url"),
+            ("coalesce(total_stars, -1) < 0", "total_stars"),
+            ("coalesce(total_forks, -1) < 0", "total_forks"),
+            ("period_stars < 0", "period_stars"),
+            ("built_by IS NULL", "built_by"),
+        )} AS violations FROM altered)""",
     "duplicate_ranks": "SELECT capture_date, scope, period, rank, count(*) AS rows FROM (SELECT * REPLACE (CAST(CASE WHEN item % 11 = 3 THEN 0 ELSE rank END AS INTEGER) AS rank) FROM board) GROUP BY ALL HAVING count(*) > 1",
     "matrix_coverage": f"""
       SELECT scope, period, coalesce(n, 0) AS pages, CASE WHEN w.scope IS NULL THEN 'unexpected' WHEN n IS NULL THEN 'missing' ELSE 'repeated' END AS outcome

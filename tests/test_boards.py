@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from fixtures import entries, entry, full_matrix
+from fixtures import FRESH, entries, entry, full_matrix
 from pyspark.sql import functions as F
 
 from rankloom import params as P
@@ -116,8 +116,8 @@ def test_consolidation_keeps_first_seen_and_all_appearances(spark):
 def test_measures_of_a_full_matrix(spark):
     day = date(2026, 8, 27)
     rows = {r.full_name: r for r in B.candidate_measures(entries(spark, full_matrix(day))).collect()}
-    new = rows["example/new-hot"]
-    assert (new.average_rank, new.appearance_count, new.daily_stars, new.monthly_stars) == (1.0, 21, 100, 900)
+    new = rows[FRESH]
+    assert (new.average_rank, new.appearance_count, new.daily_stars, new.monthly_stars) == (1.0, 21, 132, 1430)
 
 
 def test_boards_from_events_match_a_plain_count(spark):

@@ -3,6 +3,7 @@ from datetime import date
 from pathlib import Path
 
 import pytest
+from fixtures import FRESH, KNOWN
 from pyspark.sql import functions as F
 from test_sources import batch
 
@@ -26,9 +27,9 @@ def test_publish_and_publish_again(spark, tmp_path):
     assert tuple(stats[c] for c in counts) == (21, 2, 2, 1, 1, 1, 1)
     out = str(tmp_path / "out")
     (shown,) = spark.read.parquet(f"{out}/reports").collect()
-    assert (shown.period, shown.full_name, shown.grade, shown.final_score, shown.period_stars) == ("daily", "example/new-hot", "A", 82.55, "100")
+    assert (shown.period, shown.full_name, shown.grade, shown.final_score, shown.period_stars) == ("daily", FRESH, "A", 82.55, "132")
     (left,) = spark.read.parquet(f"{out}/rejections").collect()
-    assert (left.full_name, left.rejection_stage) == ("example/revived-hot", "trend")
+    assert (left.full_name, left.rejection_stage) == (KNOWN, "trend")
     assert audit(spark, out).count() == 0
     # a published file is changed
     changed = sorted(Path(out, "rejections").rglob("*.parquet"))[0]
@@ -70,7 +71,7 @@ def wrong_count(b):
 
 @pytest.mark.parametrize(
     "change,message",
-    [(without_repository, "pool example/revived-hot: missing"), (without_page, "matrix rust monthly: missing"),
+    [(without_repository, "pool lighthouse/lamplog: missing"), (without_page, "matrix rust monthly: missing"),
      (repeated_features, "features_repeated"), (wrong_count, "pool counts: mismatch")],
 )
 def test_faulty_batches_publish_nothing(spark, tmp_path, change, message):

@@ -3,7 +3,7 @@ from bisect import bisect_left, bisect_right
 from datetime import date
 
 import pytest
-from fixtures import entries, entry, full_matrix, repositories, repository
+from fixtures import FRESH, KNOWN, entries, entry, full_matrix, repositories, repository
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -58,7 +58,7 @@ def test_momentum_is_clamped_and_neutral(spark):
 def test_trend_of_two_candidates(spark):
     rows = full_matrix(DAY)
     got = {r.full_name: r for r in R.trend_board(entries(spark, rows), DAY).collect()}
-    new, old = got["example/new-hot"], got["example/revived-hot"]
+    new, old = got[FRESH], got[KNOWN]
     # 100 * .5 + 100 * .2 + 100 * .15 + 50 * .1 + 100 * .05
     assert (new.trend_score, new.trend_pass, new.rank_momentum, new.cross_period) == (95.0, True, 50.0, 100.0)
     assert (old.trend_score, old.trend_pass, old.previous_average_rank) == (10.0, False, None)
@@ -135,7 +135,7 @@ def test_waterfall_stages(spark):
     assert stage["a/final"] == ("rejected", "final", ["final_score_below_65"])
     # the score and grade exist for rejected rows: 30 * .2 + 79 * .45 + 80 * .35
     assert (got["a/trend"].final_score, got["a/trend"].grade) == (69.55, "B")
-    assert (got["a/ok"].hot_type, got["a/ok"].repository_age_days) == ("NEW_HOT", 26)
+    assert (got["a/ok"].hot_type, got["a/ok"].repository_age_days) == ("NEW_HOT", 39)
     assert (got["a/old"].hot_type, got["a/old"].language) == ("REVIVED_HOT", None)
     assert got["a/ok"].all_evidence_urls == sorted(set(got["a/ok"].all_evidence_urls))
 

@@ -1,7 +1,7 @@
 import json
 from datetime import date
 
-from fixtures import full_matrix, repository
+from fixtures import KNOWN, full_matrix, repository
 from pyspark.sql import functions as F
 
 from rankloom import params as P
@@ -23,7 +23,7 @@ def batch():
     return {
         "schema_version": 4, "capture_date": DAY.isoformat(), "captured_at": "2026-08-27T10:00:00+08:00",
         "candidate_pool": {"description": "boards", "dedupe_key": "full_name", "raw_candidate_count": 2, "evaluated_candidate_count": 2},
-        "pages": list(pages.values()), "repositories": [repository(), repository("example/revived-hot")],
+        "pages": list(pages.values()), "repositories": [repository(), repository(KNOWN)],
     }
 
 
