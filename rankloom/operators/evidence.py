@@ -58,10 +58,12 @@ def usable_records(records: DataFrame, capture: date, max_age: int = P.EVIDENCE_
 
 
 def evidence_asof_reuse(
-    requests: DataFrame, records: DataFrame, capture: date, max_age: int = P.EVIDENCE_MAX_AGE_DAYS
+    requests: DataFrame, records: DataFrame, capture: date, max_age: int = P.EVIDENCE_MAX_AGE_DAYS, refresh: Column | None = None
 ) -> DataFrame:
     """Each request with the newest usable record, or without one (a miss to be fetched).
 
+    ``refresh`` is a condition on requests: those that it holds for are fetched anew, whatever there is.
+
     The as-of step is a ``max_by`` per (key, kind, url) before the join: no sort, no
     range join, and the lookup side is unique.
     """
@@ -70,7 +72,8 @@ def evidence_asof_reuse(
         .groupBy("full_name", "kind", "url")
         .agg(F.max_by(F.struct("sha256", "fetched_on"), "cached_day").alias("hit"))
     )
-    joined = requests.join(newest, ["full_name", "kind", "url"], "left")
+    anew = F.lit(False) if refresh is None else F.coalesce(refresh, F.lit(False))
+    joined = requests.join(newest, ["full_name", "kind", "url"], "left").withColumn("hit", F.when(~anew, F.col("hit")))
     return joined.select(
         "full_name",
         "kind",

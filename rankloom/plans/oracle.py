@@ -771,6 +771,9 @@ STATEMENTS = {
       FROM documents JOIN linted USING (doc_id) JOIN prints USING (doc_id) LEFT JOIN print_groups USING (fingerprint)""",
     "issue_sample": "SELECT doc_id, violations, (SELECT count(*) FROM linted WHERE violations <> '') AS total FROM linted WHERE violations <> '' ORDER BY doc_id LIMIT 20",
     "evidence_asof_reuse": "SELECT * FROM reuse",
+    "evidence_refresh": """
+      SELECT full_name, kind, url, reused AND NOT anew AS reused, CASE WHEN NOT anew THEN sha256 END AS sha256, CASE WHEN NOT anew THEN fetched_on END AS fetched_on
+      FROM (SELECT *, CAST(regexp_extract(full_name, '([0-9]+)$', 1) AS BIGINT) % 4 = 1 AS anew FROM reuse)""",
     "newest_per_kind": """
       SELECT full_name, kind, r.fetched_on AS fetched_on, r.sha256 AS sha256 FROM (
         SELECT full_name, kind, max({'fetched_on': coalesce(fetched_on, cached_day), 'sha256': sha256}) AS r FROM records WHERE status = 'success' GROUP BY ALL)""",

@@ -562,6 +562,16 @@ def evidence_asof_reuse(spark, folder):
     return V.evidence_asof_reuse(requests, W.evidence(spark, folder), W.capture(spark, folder))
 
 
+@register
+def evidence_refresh(spark, folder):
+    """The same requests, those of every fourth name to be fetched anew."""
+    capture = W.capture(spark, folder)
+    entries = W.board_entries(spark, folder).where(F.col("capture_date") == F.lit(capture))
+    requests = V.evidence_requests(B.distinct_candidates(entries), W.KINDS)
+    anew = F.regexp_extract("full_name", "([0-9]+)$", 1).cast("bigint") % 4 == 1
+    return V.evidence_asof_reuse(requests, W.evidence(spark, folder), capture, refresh=anew)
+
+
 @register
 def newest_per_kind(spark, folder):
     records = W.evidence(spark, folder).withColumn("fetched_on", F.coalesce("fetched_on", "cached_day"))

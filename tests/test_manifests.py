@@ -69,14 +69,21 @@ def record(kind, day, name="a/b", manifest=None, status="success", fetched=None,
     )
 
 
-def reused(spark, *records):
+def reused(spark, *records, **options):
     schema = "full_name STRING, manifest_name STRING, cached_day DATE, kind STRING, url STRING, status STRING, sha256 STRING, fetched_on DATE, content BINARY"
     candidates = spark.createDataFrame([("a/b",)], "full_name STRING")
-    rows = V.evidence_asof_reuse(V.evidence_requests(candidates), spark.createDataFrame(list(records), schema), DAY).collect()
+    rows = V.evidence_asof_reuse(V.evidence_requests(candidates), spark.createDataFrame(list(records), schema), DAY, **options).collect()
     assert len(rows) == 4
     return {r.kind: r.fetched_on for r in rows if r.reused}
 
 
+def test_refresh_uses_no_record(spark):
+    held = [record("readme", DAY), record("license", DAY)]
+    assert reused(spark, *held, refresh=F.lit(True)) == {}
+    assert reused(spark, *held, refresh=F.col("kind") == "readme").keys() == {"license"}
+    assert reused(spark, *held, refresh=F.lit(None).cast("boolean")).keys() == {"readme", "license"}
+
+
 def test_reuse(spark):
     before = DAY - timedelta(days=1)
     assert reused(spark, record("readme", before), record("license", DAY, fetched=before)) == {"readme": before, "license": before}
