@@ -13,8 +13,8 @@ and are no evidence.
 Tokens are runs of letters and digits, lower case. Null or empty texts have none. Rows of one doc_id are
 one document with several texts. Null ids are ordinary values. Other columns are not read.
 
-The seeds of the items are broadcast only when the benchmark's texts are small (``BROADCAST_BYTES``); beyond it
-the same join shuffles, and adaptive execution splits hot seeds.
+The seeds of the items are counted, and broadcast only when they are few (``BROADCAST_BYTES``, at ``SEED_BYTES`` each); beyond
+it the same join shuffles, and adaptive execution splits hot seeds.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from rankloom.llm.common import total_bytes
 
 MASKS = ("111101111", "11101110111", "11011011011")
 MIN_SCORE = 10
-BROADCAST_BYTES = 8 << 20
+BROADCAST_BYTES = 64 << 20
+SEED_BYTES = 128
 
 
 def tokens(text: str) -> Column:
@@ -55,7 +56,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_SCORE,
     texts = named.select("doc_id", "text_key", tokens("text").alias("tokens"))
     items = benchmark.select("item_id", "text").distinct()
     items = items.select("item_id", F.xxhash64("text").alias("item_key"), F.filter(tokens("text"), lambda t: t != "").alias("tokens"))
-    small = total_bytes(benchmark) <= BROADCAST_BYTES
+    windows = items.select(F.sum(F.size("tokens").cast("long")).alias("n")).first()["n"] or 0
+    small = windows * len(masks) * SEED_BYTES <= BROADCAST_BYTES and total_bytes(benchmark) <= BROADCAST_BYTES
     hint = F.broadcast if small else (lambda df: df)
 
     keys = seeds(items, "item_id", "item_key", masks=masks).withColumnRenamed("at", "item_at")
