@@ -38,10 +38,17 @@ def item_name(item: Column, kind: str = "item") -> Column:
     return F.concat(F.lit("org"), (item % 7).cast("string"), F.lit(f"/{kind}"), item.cast("string"))
 
 
+_CAPTURES: dict[tuple[str, str], date] = {}
+
+
 def capture(spark: SparkSession, folder: str) -> date:
-    """The newest day of the events: the date of the capture. A table without events has the first day of 1970."""
-    newest = spark.read.parquet(f"{folder}/events.parquet").select(F.max("ts").cast("date").alias("day")).first()["day"]
-    return newest or date(1970, 1, 1)
+    """The newest day of the events: the date of the capture, read once a session for each folder of tables. Tables without
+    events have the first day of 1970."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _CAPTURES:
+        newest = spark.read.parquet(f"{folder}/events.parquet").select(F.max("ts").cast("date").alias("day")).first()["day"]
+        _CAPTURES[key] = newest or date(1970, 1, 1)
+    return _CAPTURES[key]
 
 
 def prior(spark: SparkSession, folder: str) -> date:
