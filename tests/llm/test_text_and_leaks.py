@@ -70,6 +70,20 @@ def test_blocks():
     assert unique_text(blocks("<div class=ad>buy</div>kept<script>never closed"), set()) == "kept"
 
 
+def test_class_words_do_not_delete_articles():
+    text = lambda html: unique_text(blocks(html), set())
+    inside = lambda html: text(f"<article><p>Begin.</p>{html}<p>End.</p></article>")
+    assert text('<div class="social-network-theme"><article>Main text.</article></div>') == "Main text."
+    assert text('<main><div class="share-price">Shares rose.</div></main>') == "Shares rose."
+    for kept in ('<h2 id="related-work">Work.</h2>', '<h2 id="social-history">Work.</h2>', '<p class="notice">Work.</p>', '<section id="menu-design"><p>Work.</p></section>'):
+        assert inside(kept) == "Begin. Work. End."
+    for dropped in ('<div class="share-buttons">Share</div>', '<div class="ad">Buy</div>', '<div id="related-posts"><a>More</a></div>', "<nav>Menu</nav>", '<div class="social links">x</div>', '<div class="ad-slot-3">y</div>'):
+        assert inside(dropped) == "Begin. End."
+    wrapped = '<div class="widget"><article><p>Main text.</p></article></div>'
+    assert text(wrapped) == "Main text." and text(f"<article>Own.</article>{wrapped}") == "Own."
+    assert text('<div class="comments"><article>Nice!</article></div><div>Open.</div>') == "Open."
+
+
 def plain_main_text(pages):
     """Every run of five tokens outside articles is looked up on every other page of the host."""
     from rankloom.llm.html_text import DROP, KEEP, host_of
