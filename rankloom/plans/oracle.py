@@ -327,6 +327,11 @@ VIEWS = {
         CASE WHEN c_custkey % 41 = 0 THEN 'P9' ELSE 'P' || (c_custkey % 5) END AS value_level
         FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
         WHERE c_custkey IN (SELECT user_id FROM events))""",
+    "enriched_texts": """
+      SELECT *, CAST(DATE '2024-01-20' - CAST((k * 7) % 180 AS INTEGER) AS VARCHAR) ||
+          CASE k % 3 WHEN 0 THEN 'T00:30:00Z' WHEN 1 THEN 'T00:30:00+08:00' ELSE 'T10:00:00' END AS created_at,
+        CASE WHEN k % 53 = 9 THEN 'not-a-time' ELSE '2024-01-29T00:00:00Z' END AS pushed_at,
+        CASE WHEN k % 37 = 0 THEN '' ELSE 'static evidence ' || k END AS quality_rationale FROM enriched""",
     "enriched_early": f"SELECT * EXCLUDE (gate_failures), {gate_cases('k % 3 = 1')} AS gate_failures FROM enriched",
     "measures_now": measures_view(C),
     "measures_early": measures_view(B),
@@ -582,6 +587,9 @@ def tree_levels(leaf: int, fanout: int, most: int = 8) -> str:
     return f"(WITH {','.join(parts)} {' UNION ALL '.join(nodes)})"
 
 
+#: No evidence at all, or some that lies elsewhere.
+FOREIGN_EVIDENCE = f"len(e_urls || l_urls || q_urls || v_urls) = 0 OR len(list_filter(e_urls || l_urls || q_urls || v_urls, lambda u: NOT starts_with(u, '{P.SITE}/'))) > 0"
+
 STATEMENTS = {
     "board_matrix": f"""
       SELECT CAST({PERIOD_NO} AS BIGINT) * 1099511627776 + {SCOPE_NO} AS page_no, scope, period,
@@ -740,18 +748,24 @@ STATEMENTS = {
       UNION ALL SELECT full_name, 'missing' FROM (SELECT full_name FROM board WHERE capture_date = {B} EXCEPT SELECT full_name FROM board WHERE capture_date = {C})""",
     "enrichment_rules": f"""
       SELECT full_name, violations, violations = '' AS valid FROM (SELECT full_name, {violations(
-          ("k % 73 = 11", "url"),
-          ("k % 53 = 9", "pushed_at"),
-          ("license_name = ''", "license_name"),
-          ("license_scope = 'plain'", "license_scope"),
+          (f"url <> '{P.SITE}/' || full_name", "url"),
+          ("try_cast(created_at AS TIMESTAMPTZ) IS NULL", "created_at"),
+          ("try_cast(pushed_at AS TIMESTAMPTZ) IS NULL", "pushed_at"),
+          ("is_fork IS NULL OR is_mirror IS NULL OR archived IS NULL", "state_flags"),
+          ("coalesce(trim(license_name), '') = ''", "license_name"),
+          (f"NOT {hits('license_scope', f'[{SCRIPT}]')}", "license_scope"),
+          ("l_urls IS NULL", "license_evidence"),
           (f"NOT {in_limits('q', P.QUALITY_LIMITS)}", "quality_scores"),
-          ("q_sum <> quality_total", "quality_total"),
-          ("k % 37 = 0", "quality_rationale"),
+          ("list_sum(q) <> quality_total", "quality_total"),
+          ("trim(quality_rationale) = ''", "quality_rationale"),
           ("len(q_urls) = 0", "quality_evidence"),
-          ("value_level = 'P9'", "value_level"),
-          ("k % 71 = 3", "evidence_urls"),
-      )} AS violations FROM enriched)""",
-    "evidence_url_rule": "SELECT full_name, CAST(len(e_urls) + len(l_urls) + len(q_urls) + len(v_urls) AS INTEGER) AS url_count, k % 71 <> 3 AS valid FROM enriched",
+          (f"NOT {in_limits('v', P.VALUE_LIMITS)}", "value_scores"),
+          ("list_sum(v) <> value_total", "value_total"),
+          (f"value_level NOT IN ({', '.join(quote(x) for x in P.VALUE_LEVELS)})", "value_level"),
+          ("len(v_urls) = 0", "value_evidence"),
+          (FOREIGN_EVIDENCE, "evidence_urls"),
+      )} AS violations FROM enriched_texts)""",
+    "evidence_url_rule": f"SELECT full_name, CAST(len(e_urls) + len(l_urls) + len(q_urls) + len(v_urls) AS INTEGER) AS url_count, NOT ({FOREIGN_EVIDENCE}) AS valid FROM enriched",
     "snapshot_counts": f"SELECT doc_id, CAST(len(string_split(text, {N})) + 1 AS INTEGER) AS declared, CAST(len(string_split(text, {N})) AS INTEGER) AS actual FROM documents WHERE doc_id % 5 = 2",
     "native_script_rule": f"SELECT doc_id, {hits('text', f'[{SCRIPT}]')} AND NOT {hits('text', f'[A-Za-z][{P.FOREIGN_RUN}]{{60,}}')} AS native FROM documents",
     "text_lint_rules": "SELECT doc_id, violations, violations = '' AS valid FROM linted",
