@@ -86,4 +86,6 @@ def unescape(text: Column) -> Column:
         reference = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
         return F.when(place == 0, piece).otherwise(computed_once(reference, lambda r: referred(piece, r)))
 
-    return F.array_join(F.transform(F.split(text, "&"), decoded), "")
+    # most texts have none
+    whole = lambda t: F.when(F.contains(t, F.lit("&")), F.array_join(F.transform(F.split(t, "&"), decoded), "")).otherwise(t)
+    return computed_once(text, whole)

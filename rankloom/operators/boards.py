@@ -119,18 +119,23 @@ def _first(markup: Column, pattern: str, group: int = 1) -> Column:
     return F.try_element_at(F.regexp_extract_all(markup, F.lit(pattern), F.lit(group)), F.lit(1))
 
 
-def _link_text(markup: Column, full_name: Column, leaf: str) -> Column:
+def _links(markup: Column) -> Column:
+    """The links of a row with their targets."""
+    found = F.regexp_extract_all(markup, F.lit(M.element("a")), F.lit(0))
+    return F.transform(found, lambda a: F.struct(M.value_of(_first(a, LINK)).alias("target"), a.alias("node")))
+
+
+def _link_text(links: Column, full_name: Column, leaf: str) -> Column:
     """Text of the link to ``/<full_name>/<leaf>``; null when there is none."""
-    links = F.regexp_extract_all(markup, F.lit(M.element("a")), F.lit(0))
     wanted = F.concat(F.lit("/"), full_name, F.lit(f"/{leaf}"))
-    same = lambda a: F.coalesce(M.value_of(_first(a, LINK)) == wanted, F.lit(False))
-    return node_text(F.try_element_at(F.filter(links, same), F.lit(1)))
+    same = lambda a: F.coalesce(a["target"] == wanted, F.lit(False))
+    return node_text(F.try_element_at(F.filter(links, same), F.lit(1))["node"])
 
 
 def _row_key(markup: Column) -> Column:
     headings = F.array_join(F.regexp_extract_all(markup, F.lit(HEADING_NODE), F.lit(1)), " ")
     full_name = F.regexp_replace(M.value_of(_first(headings, LINK)), "^/+|/+$", "")
-    return F.struct(full_name.alias("full_name"), _first(markup, PERIOD_NODE).alias("period_node"), markup.alias("markup"))
+    return F.struct(full_name.alias("full_name"), _first(markup, PERIOD_NODE).alias("period_node"), markup.alias("markup"), _links(markup).alias("links"))
 
 
 def _row_struct(row: Column, position: Column) -> Column:
@@ -150,8 +155,8 @@ def _row_struct(row: Column, position: Column) -> Column:
             "description"
         ),
         node_text(_first(markup, LANGUAGE, 2)).alias("primary_language"),
-        F.coalesce(M.computed_once(_link_text(markup, full_name, "stargazers"), parse_compact_number), F.lit(0)).alias("total_stars"),
-        F.coalesce(M.computed_once(_link_text(markup, full_name, "forks"), parse_compact_number), F.lit(0)).alias("total_forks"),
+        F.coalesce(M.computed_once(_link_text(row["links"], full_name, "stargazers"), parse_compact_number), F.lit(0)).alias("total_stars"),
+        F.coalesce(M.computed_once(_link_text(row["links"], full_name, "forks"), parse_compact_number), F.lit(0)).alias("total_forks"),
         M.computed_once(period_text, lambda text: F.when(text != "", parse_compact_number(text))).alias("period_stars"),
         F.transform(
             F.filter(F.transform(builders, M.value_of), lambda a: a != ""), lambda a: F.regexp_replace(a, "^@+", "")
