@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,12 @@ def slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def text_slices(column: pa.Array, limit: int) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Start, end and texts of runs of rows of at most ``limit`` bytes together; only one run at a time is copied from the column."""
+    for a, z in slices(pc.fill_null(pc.binary_length(column), 0).to_pylist(), limit):
+        yield a, z, text_bytes(column.slice(a, z - a))
+
+
 def bucket_of(seed: int, n: int, *columns: Column | str) -> Column:
     """A seeded hash of the columns, spread over ``n`` buckets."""
     return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) if isinstance(c, str) else c for c in columns]), F.lit(n))

@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import slices, text_bytes
+from rankloom.llm.common import slices, text_bytes, text_slices
 from rankloom.llm.components import components
 from rankloom.llm.words import mix, words_of
-from rankloom.session import stored
+from rankloom.session import small_batches, stored
 
 WIDTH, PERCENT = 5, 80
 #: Shingles of a block; a task holds two blocks, or two documents if these are longer.
@@ -97,9 +97,8 @@ def signatures(key: np.ndarray, first: np.ndarray) -> np.ndarray:
 def _sets(width: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            texts = text_bytes(rows.column("text"))
-            for a, z in slices([len(t) for t in texts], BLOCK):
-                key, first = shingles(texts[a:z], width)
+            for a, z, texts in text_slices(rows.column("text"), BLOCK):
+                key, first = shingles(texts, width)
                 size = np.diff(first)
                 full = np.flatnonzero(size)
                 starts = np.append(first[:-1][full], len(key))
@@ -276,7 +275,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     chunks, rows = layout(percent)
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sets = stored(texts.mapInArrow(_sets(width), f"doc_id {kind}, text_key long, n_shingles long, node long, signature binary"), "sets")
+    sets = stored(small_batches(texts).mapInArrow(_sets(width), f"doc_id {kind}, text_key long, n_shingles long, node long, signature binary"), "sets")
     linked = sets.where("node is not null and doc_id is not null")
     nodes = linked.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
     nodes = stored(nodes, "nodes")

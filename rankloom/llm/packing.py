@@ -28,18 +28,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from rankloom.llm.common import slices, text_bytes
+from rankloom.llm.common import text_slices
 from rankloom.llm.words import SPACE, segment_hash
+from rankloom.session import small_batches
 
 LENGTH = 4096
 END = 2
 SENTENCE_COST, WORD_COST = 4.0, 24.0
 #: Tokens packed at a time, and bytes of text tokenized at a time.
-SEGMENT, BLOCK = 1 << 19, 4 << 20
+SEGMENT, BLOCK = 1 << 19, 1 << 19
 #: A boundary inside a sentence is offered when a stretch without one is this long.
 STRIDE = 32
 #: Words a worker remembers; beyond them it starts anew.
 REMEMBERED = 1_000_000
+#: Word parts given to the tokenizer at a time: it keeps far more for each than its ids.
+ENCODED = 1 << 13
 
 _PLAIN = np.full(256, 3, np.uint8)  # 0 space, 1 letter, 2 sign, 3 to be tokenized with all of its word
 _PLAIN[SPACE] = 0
@@ -69,12 +72,17 @@ class WordTokenizer:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.pool, self.ids = [np.zeros(0, np.uint32)], np.zeros(0, np.uint32)
+        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # of the known parts, by key
+        self.ids = np.zeros(0, np.uint32)
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _encode(self, plain: list[str], whole: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and id counts of the plain parts, then of the whole words."""
+        done = [self._encode_some(plain[i : i + ENCODED], []) for i in range(0, len(plain), ENCODED)]
+        done += [self._encode_some([], whole[i : i + ENCODED]) for i in range(0, len(whole), ENCODED)]
+        return np.concatenate([ids for ids, _ in done]), np.concatenate([sizes for _, sizes in done])
+
+    def _encode_some(self, plain: list[str], whole: list[str]) -> tuple[np.ndarray, np.ndarray]:
         flat: list[int] = []
         for e in self.tokenizer.encode_batch([" ".join(plain[i : i + 500]) for i in range(0, len(plain), 500)], add_special_tokens=False):
             flat += e.ids
@@ -123,10 +131,13 @@ class WordTokenizer:
         key = segment_hash(np.where(SPACE[data], data, folded), start)
         key = np.where(plain, key, segment_hash(data, start) ^ np.uint64(1))
         distinct, at, back = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.known) > REMEMBERED:
+        if len(self.keys) > REMEMBERED:
             self.forget()
-        known = self.known
-        number = np.fromiter((known.get(k, -1) for k in distinct.tolist()), np.int64, len(distinct))
+        place = np.searchsorted(self.keys, distinct)
+        number = np.full(len(distinct), -1, np.int64)
+        known = np.flatnonzero(place < len(self.keys))
+        known = known[self.keys[place[known]] == distinct[known]]
+        number[known] = self.numbers[place[known]]
         new = np.flatnonzero(number < 0)
         if len(new):
             first, last, is_plain = start[at[new]], end[at[new]], plain[at[new]]
@@ -139,7 +150,8 @@ class WordTokenizer:
             self.sizes = np.concatenate([self.sizes, sizes])
             self.ids = np.concatenate([self.ids, ids])
             number[new[order]] = offset + np.arange(len(new))
-            known.update(zip(distinct[new].tolist(), number[new].tolist()))
+            self.keys = np.insert(self.keys, place[new], distinct[new])
+            self.numbers = np.insert(self.numbers, place[new], number[new])
         of = number[back]
         sizes = self.sizes[of]
         after = np.cumsum(sizes)
@@ -275,9 +287,9 @@ def _pack(path: str, length: int, with_ids: bool, key_type: pa.DataType):
         packer = Packer(length, TaskContext.get().partitionId() << 33, with_ids)
         tokenizer = tokenizer_at(path)
         for rows in batches:
-            keys, texts = rows.column(0).to_pylist(), text_bytes(rows.column(1))
-            for a, z in slices([len(t) for t in texts], BLOCK):
-                ids, ends, stops = tokenizer.block(texts[a:z])
+            keys = rows.column(0).to_pylist()
+            for a, _, texts in text_slices(rows.column(1), BLOCK):
+                ids, ends, stops = tokenizer.block(texts)
                 begin = 0
                 for k, end in enumerate(ends.tolist()):
                     own = stops[np.searchsorted(stops, begin, "right") : np.searchsorted(stops, end, "right")] - begin
@@ -301,7 +313,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, wi
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
     from pyspark.sql.pandas.types import to_arrow_type
 
-    rows = docs.select("doc_id", "text")
+    rows = small_batches(docs.select("doc_id", "text"))
     kind = rows.schema["doc_id"].dataType
     schema = SCHEMA.format(kind.simpleString()) + (", ids array<int>" if with_ids else "")
     return rows.mapInArrow(_pack(tokenizer, length, with_ids, to_arrow_type(kind)), schema)

@@ -29,8 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import slices, text_bytes
+from rankloom.llm.common import text_bytes, text_slices
 from rankloom.llm.words import mix, words_of
+from rankloom.session import small_batches
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -40,7 +41,7 @@ GOOD_SHARE, BAD_SHARE = 0.9, 0.2
 TILTS = 7  #: halvings of the search for a tilt, between 0 and MOST_TILT
 MOST_TILT = 16.0
 EPOCHS, RATE, SHRINK = 4, 0.1, 1e-4
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 
 SIGNS = b"#*$%&|<>"
 UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -295,9 +296,8 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = FIT_DOCUMENTS) -> Chain
 def _rows(chain: Chain) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            texts = text_bytes(rows.column("text"))
-            for a, z in slices([len(t) for t in texts], BLOCK):
-                found = measure(texts[a:z], chain)
+            for a, z, texts in text_slices(rows.column("text"), BLOCK):
+                found = measure(texts, chain)
                 arrays = [rows.column("doc_id").slice(a, z - a)]
                 arrays += [pa.array(v, pa.bool_() if k in ("base_failed", "kept") else pa.float64() if k == "content_share" else pa.int64()) for k, v in found.items()]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", *found])
@@ -310,7 +310,7 @@ def quality_report(docs: DataFrame, chain: Chain) -> DataFrame:
     figures = ", ".join(f"{k} long" for k in (*MEASURES, "n_lines", "n_content_lines"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, {figures}, content_share double, base_failed boolean, kept boolean"
-    return docs.select("doc_id", "text").mapInArrow(_rows(chain), schema)
+    return small_batches(docs.select("doc_id", "text")).mapInArrow(_rows(chain), schema)
 
 
 def keep_good(docs: DataFrame, chain: Chain) -> DataFrame:
@@ -319,10 +319,9 @@ def keep_good(docs: DataFrame, chain: Chain) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            texts = text_bytes(rows.column(at))
             kept: list[bool] = []
-            for a, z in slices([len(t) for t in texts], BLOCK):
-                kept += measure(texts[a:z], chain)["kept"]
+            for _, _, texts in text_slices(rows.column(at), BLOCK):
+                kept += measure(texts, chain)["kept"]
             yield rows.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

@@ -2,10 +2,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from rankloom.llm.packing import Packer, best_cuts, pack
+from rankloom.llm import packing
+from rankloom.llm.common import text_slices
+from rankloom.llm.packing import Packer, WordTokenizer, best_cuts, pack
 from rankloom.llm.sharding import external_shuffle, shard_digest, write_shards
 from tests.llm.edge import documents, empty, encoded, rows
 
@@ -98,3 +101,41 @@ def test_open_window_is_carried():
         seen[d] += n
         fill[q] += n
     assert set(seen) == set(range(40)) and max(fill.values()) <= 16
+
+
+def test_long_texts_reach_python_in_small_batches(spark):
+    """Memory of a task follows the bytes of a few rows, not of 10,000."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64m")
+        docs = spark.range(3000, numPartitions=1).selectExpr("id as doc_id", "repeat(concat('word', id, ' '), 1200) as text")
+        assert pack(docs, with_ids=False).count() >= 3000
+
+        def measured(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([b.nbytes], pa.int64())], names=["bytes"])
+
+        assert max(r.bytes for r in docs.mapInArrow(measured, "bytes long").collect()) <= 9 << 20
+        spark.conf.set(key, "1m")
+        pack(docs)
+        assert spark.conf.get(key).startswith(("1m", "1048576"))  # a tighter bound stays
+    finally:
+        spark.conf.set(key, before)
+    texts = pa.array(["a" * 5, None, "b" * 9, "", "c" * 30, "d"])
+    runs = list(text_slices(texts, 12))
+    assert [x for _, _, part in runs for x in part] == [(t or "").encode() for t in texts.to_pylist()]
+    assert all(len(part) == z - a and (len(part) == 1 or sum(map(len, part)) <= 12) for a, z, part in runs)
+
+
+def test_words_are_encoded_and_remembered_in_parts(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [encoded(r[1]) for r in rows()]
+    plain = Tokenizer.from_file(path)
+    expected = [i for t in texts for i in plain.encode(t.decode(), add_special_tokens=False).ids]
+    monkeypatch.setattr(packing, "ENCODED", 3)
+    for most in (0, 20, 1 << 20):
+        monkeypatch.setattr(packing, "REMEMBERED", most)
+        tokenizer = WordTokenizer(path)
+        assert [i for t in texts for i in tokenizer.block([t])[0].tolist()] == expected
+        assert [i for a in range(0, len(texts), 4) for i in tokenizer.block(texts[a : a + 4])[0].tolist()] == expected
