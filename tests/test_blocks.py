@@ -3,10 +3,12 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from rankloom import params as P
+from rankloom.functions import blocks
 from rankloom.functions.blocks import DEEPEST, NESTED, structure_of
 from rankloom.operators import documents as D
 
@@ -178,3 +180,22 @@ def test_null_and_long_texts(spark):
     for text in ("> " * 50_000 + "# x", "- " * 50_000 + "x\n" + "> - " * 1000, ">\n" * 50_000, "<a " + " " * 100_000, "# " + " " * 100_000 + "x", "[" * 100_000):
         structure_of(text)
     assert structure_of("> " * (DEEPEST + 5) + "# x")["headings"] == []
+
+
+def test_structures_of_few_texts_at_a_time(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64m")
+        texts = [f"- # H{k}\n  text {k}" for k in range(7)] + ["plain"]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, md string").coalesce(1)
+        D.markdown_structure(docs, "md").collect()
+        assert int(spark.conf.get(key).rstrip("b")) <= 8 << 20  # long texts: few rows in a batch
+    finally:
+        spark.conf.set(key, before)
+    held = []
+    monkeypatch.setattr(blocks, "TOGETHER", 3)
+    monkeypatch.setattr(blocks.pa, "array", lambda rows, kind, array=pa.array: held.append(len(rows)) or array(rows, kind))
+    given = pa.chunked_array([[*texts, None]]).chunk(0)
+    assert blocks._structures.func(given).to_pylist() == [structure_of(t) for t in texts] + [None]
+    assert held and max(held) == 3
