@@ -8,7 +8,9 @@ of a heading, paragraph, list item, quote or table inside an article, and an art
 to be something else is kept if the page has no other.
 
 What structure leaves open, text outside any article, is decided by repetition. All text outside articles is
-a token stream; its substrings are keyed by a polynomial hash of their tokens and counted per host by pages.
+a token stream. The streams of a host's pages, in blocks of bounded size, are put in a suffix array with the
+lengths that neighbours have in common; stretches of it tell on how many pages a run is. Runs of different
+blocks are brought together by a polynomial hash of their tokens, and their pages added.
 A run of an open block is boilerplate, and is removed, when it is
 
 - a substring of at least ``LONG`` tokens, anywhere;
@@ -21,8 +23,8 @@ taken for boilerplate. Substrings of just ``LONG`` tokens are enough for the fir
 only if each of its windows is, and they cover it. Rows of blocks are keyed by the fewest blocks that
 have the tokens, forward from each block and backward to it, which cover every longer row.
 
-Keys are counted with map-side combine, so a host or passage with most of the pages is no hot group; a page's
-own markup decides whether the join is needed, so pages without open blocks are never moved.
+A host with most of the pages has many blocks, and a passage's counts are combined map-side; a page's own markup decides
+whether this is needed, so pages without open blocks are never moved, and hosts without such a page are not sorted.
 
 Null or empty html gives an empty text. Repeated rows give one row each, and count as one page. Null
 page ids are ordinary values. Other columns are not read.
@@ -37,6 +39,7 @@ from functools import lru_cache
 from hashlib import blake2b
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +54,8 @@ LONG = 20
 SHARE, SHORT_SHARE = 0.25, 0.5
 #: Kinds of keys: LONG tokens, rows of whole blocks, a short block.
 RUN, WHOLE, SHORT = 0, 1, 2
+#: Ends a stretch of tokens; tokens of the pages that share a suffix array.
+BORDER, BLOCK_TOKENS = -1, 1 << 18
 _PRIME, _BASE = (1 << 61) - 1, 0x1C3A5F7296B4D81
 _SALTS = 64
 
@@ -274,12 +279,118 @@ def unique_text(found: list[tuple[int, str]], repeated: set[int]) -> str:
     return " ".join(out)
 
 
-PARSED = "host long, page long, row long, text string, roles array<int>, texts array<string>, keys array<long>"
+def _stream(found: list[tuple[int, str]]) -> tuple[list[int], list[int]]:
+    """Token numbers of the blocks outside articles, BORDER behind each stretch of them, and the blocks' ends."""
+    tokens: list[int] = []
+    ends: list[int] = []
+    for kept, group in groupby(found, key=lambda b: b[0] == KEEP):
+        if not kept:
+            for _, text in group:
+                tokens += map(_number, text.split())
+                ends.append(len(tokens))
+            tokens.append(BORDER)
+    return tokens, ends
+
+
+def suffix_array(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in the order of the suffixes that begin there, compared over LONG tokens and up to a border; the tokens that each
+    suffix in this order has in common with the one before; and the tokens from each place to its border."""
+    n = len(tokens)
+    borders = np.flatnonzero(tokens == BORDER)
+    left = borders[np.searchsorted(borders, np.arange(n))] - np.arange(n)
+    rank = np.unique(tokens, return_inverse=True)[1].reshape(-1) + 1
+    rank[left == 0] = 0
+    ranks = {1: rank}
+    for half, more in ((1, 1), (2, 2), (4, 4), (8, 8), (16, LONG - 16)):
+        rest = np.zeros(n, np.int64)
+        whole = np.flatnonzero(left >= half)
+        rest[whole] = ranks[more][whole + half]
+        ranks[half + more] = np.unique(ranks[half] * (n + 2) + rest, return_inverse=True)[1].reshape(-1)
+    order = np.argsort(ranks[LONG], kind="stable")
+    common = np.zeros(n, np.int64)
+    for k in (16, 8, 4, 2, 1):
+        a, b = order[1:] + common[1:], order[:-1] + common[1:]
+        inside = np.flatnonzero(np.minimum(left[order[1:]], left[order[:-1]]) - common[1:] >= k)
+        common[1 + inside[ranks[k][a[inside]] == ranks[k][b[inside]]]] += k
+    return order, np.minimum(common, LONG), left
+
+
+def _runs(tokens: np.ndarray, ends: np.ndarray, left: np.ndarray) -> dict[int, np.ndarray]:
+    """By length up to LONG, the places of runs that count: LONG tokens, shorter rows of whole blocks, short blocks."""
+    runs: dict[int, set[int]] = {size: set() for size in range(1, LONG)}
+    previous = np.concatenate([[0], ends[:-1]])
+    starts = np.where(tokens[previous] == BORDER, previous + 1, previous).tolist()
+    border, to = (np.array(starts) + left[starts]).tolist(), ends.tolist()
+    for b, start in enumerate(starts):
+        if to[b] - start < MIN_RUN:
+            runs[to[b] - start].add(start)
+        for way in (1, -1):  # rows of blocks forward from this one, and backward to it
+            e = b
+            while 0 <= e < len(starts) and border[e] == border[b]:
+                i, j = (start, to[e]) if way == 1 else (starts[e], to[b])
+                if j - i >= MIN_RUN:
+                    if j - i < LONG:
+                        runs[j - i].add(i)
+                    break
+                e += way
+    return {LONG: np.flatnonzero(left >= LONG), **{size: np.array(sorted(at), np.int64) for size, at in runs.items() if at}}
+
+
+def repeats(tokens: np.ndarray, ends: np.ndarray, page: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(key, first place, pages) of each distinct run, from the suffix array of the streams in a block; ``page`` is that of each place."""
+    order, common, left = suffix_array(tokens)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    for size, at in _runs(tokens, ends, left).items():
+        if not len(at):
+            continue
+        same = np.cumsum(common < size)[place[at]]  # neighbours with ``size`` tokens in common
+        pairs = np.unique(np.stack([same, page[at]]), axis=1)[0]
+        group, first = np.unique(same, return_index=True)
+        kind = RUN if size == LONG else SHORT if size < MIN_RUN else WHOLE
+        for i, pages in zip(at[first].tolist(), np.bincount(np.searchsorted(group, pairs)).tolist()):
+            key = 0
+            for token in tokens[i : i + size].tolist():
+                key = (key * _BASE + token) % _PRIME
+            yield key * 4 + kind, i, pages
+
+
+def _sorted_block(table: pa.Table) -> pa.Table:
+    """Runs of the pages of a block with the number of pages; of a page in parts, with the page."""
+    lists = [np.array(t, np.int64) for t in table.column("tokens").to_pylist()]
+    sizes = [len(t) for t in lists]
+    offsets = np.cumsum([0, *sizes[:-1]])
+    ends = np.concatenate([np.array(e, np.int64) + o for e, o in zip(table.column("ends").to_pylist(), offsets)])
+    own = table.column("page").to_numpy()
+    found = list(repeats(np.concatenate(lists), ends, np.repeat(own, sizes)))
+    page = int(own[0]) if table.column("part")[0].as_py() else -1
+    columns = ([table.column("host")[0].as_py()] * len(found), [k for k, _, _ in found], [page] * len(found), [p for _, _, p in found])
+    return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(("host", "key", "page", "pages"), columns)})
+
+
+def run_counts(streams: DataFrame) -> DataFrame:
+    """host, key and pages of all runs. A host's pages are dealt to blocks of about BLOCK_TOKENS by their main text, a page whose
+    variants are more than that to parts; each block has its own suffix array, and as no page is in two blocks, counts add up."""
+    n = F.size("tokens")
+    hosts = streams.groupBy("host").agg(F.ceil(F.sum(n) / BLOCK_TOKENS).alias("blocks"))
+    large = streams.groupBy("host", "page").agg(F.ceil(F.sum(n) / BLOCK_TOKENS).alias("parts")).where("parts > 1")
+    placed = streams.join(hosts, "host").join(large, ["host", "page"], "left")
+    dealt = placed.select(
+        "host", "page", "tokens", "ends",
+        F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("page"), "blocks")).otherwise(F.col("page")).alias("block"),
+        F.when(F.col("parts").isNull(), F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64("row"), "parts") + 1).alias("part"),
+    )
+    found = dealt.groupBy("host", "block", "part").applyInArrow(_sorted_block, "host long, key long, page long, pages long")
+    once = found.groupBy("host", "key", "page").agg(F.sum("pages").alias("n")).withColumn("n", F.when(F.col("page") == -1, F.col("n")).otherwise(F.lit(1)))
+    return once.groupBy("host", "key").agg(F.sum("n").alias("pages"))
+
+
+PARSED = "host long, page long, row long, text string, roles array<int>, texts array<string>, tokens array<long>, ends array<int>"
 
 
 def _parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each page with its host, its text if structure settles it, else its blocks, and the keys of what is outside articles."""
-    kinds = [pa.int64()] * 3 + [pa.string(), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int64())]
+    """Each page with its host, its text if structure settles it, else its blocks, and the tokens of what is outside articles."""
+    kinds = [pa.int64()] * 3 + [pa.string(), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int32())]
     for rows in batches:
         out: list[list] = [[] for _ in kinds]
         for url, html in zip(rows.column("url").to_pylist(), rows.column("html").to_pylist()):
@@ -287,10 +398,10 @@ def _parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             is_open = any(role == OPEN for role, _ in found)
             text = None if is_open else unique_text(found, set())
             roles, texts = ([r for r, _ in found], [t for _, t in found]) if is_open else (None, None)
-            for column, value in zip(out, (_number(host_of(url)), _page(found), _page(found, True), text, roles, texts, _keys(found))):
+            for column, value in zip(out, (_number(host_of(url)), _page(found), _page(found, True), text, roles, texts, *_stream(found))):
                 column.append(value)
         arrays = [rows.column("page_id"), rows.column("url"), *(pa.array(c, k) for c, k in zip(out, kinds))]
-        yield pa.RecordBatch.from_arrays(arrays, names=["page_id", "url", "host", "page", "row", "text", "roles", "texts", "keys"])
+        yield pa.RecordBatch.from_arrays(arrays, names=["page_id", "url", "host", "page", "row", "text", "roles", "texts", "tokens", "ends"])
 
 
 def _looked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,11 +428,10 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     opened = parsed.where(F.col("text").isNull())
     if opened.isEmpty():  # nothing is left to decide
         return settled
-    # key -1 is no run: it counts the host's pages
-    marked = parsed.where(F.size("keys") > 0).select("host", "page", F.explode(F.concat(F.array(F.lit(-1).cast("long")), "keys")).alias("key"))
-    counts = marked.distinct().groupBy("host", "key").agg(F.count("*").alias("pages")).where((F.col("key") == -1) | (F.col("pages") >= 2))
-    salted = counts.where(F.col("key") >= 0).withColumn("salt", F.pmod("key", F.lit(_SALTS)))
-    hosts = counts.where(F.col("key") == -1).select("host", F.col("pages").alias("of"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))).alias("salt"))
+    streams = parsed.where(F.size("ends") > 0).select("host", "page", "row", "tokens", "ends").join(opened.select("host").distinct(), "host", "left_semi").dropDuplicates(["host", "row"])
+    salted = run_counts(streams).where(F.col("pages") >= 2).withColumn("salt", F.pmod("key", F.lit(_SALTS)))
+    of = streams.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("of"))
+    hosts = of.select("host", "of", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))).alias("salt"))
     share = F.when(F.col("key").bitwiseAND(3) == SHORT, SHORT_SHARE).otherwise(SHARE)
     repeated = salted.join(hosts, ["host", "salt"]).where(F.col("pages") >= F.greatest(F.least(F.lit(min_pages), "of"), F.ceil(F.col("of") * share))).select("host", "key")
 

@@ -182,3 +182,43 @@ def test_every_template_is_tried():
         assert [(m[3], m[-1]) for m in scanner.matches(f"{none}\n{TEMPLATES[k][1]}")] == [(TEMPLATES[k][0], "exact")]
     two = f"{none} {prose(1, 16)} The work is licensed under the GNU General Public License, version 2."
     assert [(m[3], m[8], m[9]) for m in scanner.matches(two)] == [("GPL-2.0", "this", "")]
+
+
+def test_suffix_array_counts_runs(spark, monkeypatch):
+    import random
+
+    import numpy as np
+
+    from rankloom.llm import html_text as H
+
+    rng = random.Random(5)
+    words = ["ab", "cd", "ef", "gh"]
+    long_ones = [" ".join(f"l{k}x{i}" for i in range(23)) for k in range(2)]
+
+    def page():
+        return [(rng.choice([H.OPEN, H.OPEN, H.DROP, H.KEEP]), rng.choice(long_ones) if rng.random() < 0.2 else " ".join(rng.choices(words, k=rng.randint(1, 9)))) for _ in range(rng.randint(1, 6))]
+
+    pages = [p for p in (page() for _ in range(60)) if H._stream(p)[1]]
+    streams = [H._stream(p) for p in pages]
+    tokens, sizes = np.concatenate([np.array(t, np.int64) for t, _ in streams]), [len(t) for t, _ in streams]
+    order, common, left = H.suffix_array(tokens)
+    suffix = [tuple(tokens[i : i + min(int(left[i]), H.LONG)].tolist()) for i in order]
+    number = {t: k for k, t in enumerate(np.unique(tokens).tolist())}
+    assert [[number[t] for t in s] for s in suffix] == sorted([number[t] for t in s] for s in suffix)
+    for before, after, n in zip(suffix, suffix[1:], common[1:].tolist()):
+        assert n == next((k for k, (x, y) in enumerate(zip(before, after)) if x != y), min(len(before), len(after)))
+
+    expected: Counter = Counter()
+    for p in pages:  # rows of whole blocks of LONG tokens or more are covered by their runs of LONG
+        expected.update({k for k, i, j in H._occurrences(p) if k % 4 != H.WHOLE or j - i < H.LONG})
+    ends = np.concatenate([np.array(e) + o for (_, e), o in zip(streams, np.cumsum([0, *sizes[:-1]]))])
+    assert {k: n for k, _, n in H.repeats(tokens, ends, np.repeat(np.arange(len(pages)), sizes))} == expected
+
+    rows = [(7, k // 2, k, *s) for k, s in enumerate(streams)]  # two variants of each page
+    merged: Counter = Counter()
+    for k in range(0, len(pages), 2):
+        merged.update({x for p in pages[k : k + 2] for x, i, j in H._occurrences(p) if x % 4 != H.WHOLE or j - i < H.LONG})
+    df = spark.createDataFrame(rows, "host long, page long, row long, tokens array<long>, ends array<int>")
+    for most in (1 << 18, 100, 20):  # one block, several, pages in parts
+        monkeypatch.setattr(H, "BLOCK_TOKENS", most)
+        assert {r.key: r.pages for r in H.run_counts(df).collect()} == merged
