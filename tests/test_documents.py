@@ -284,3 +284,11 @@ FIRST = "readmes/port__tide0.zh-CN.md"
 def test_findings_of_a_collection(spark, options, findings):
     found = [(c, None if c == "body" else i, *rules) for c, i, *rules in collection(spark, **options)]
     assert sorted(found, key=repr) == sorted(findings, key=repr)
+
+
+def test_single_spaces_and_ranges_are_not_gone_over(spark):
+    """The cheaper patterns find what the plain ones find."""
+    texts = ["", " ", "  ", "a b", "a  b \n c\t", "\n a", "\t", "a\x0b\x0c b   c d\r\n", " x \n", "é   b"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in rows.select(X.one_space(F.col("t"))).collect()] == [r[0] for r in rows.select(F.regexp_replace("t", r"\s+", " ")).collect()]
+    assert X.each_char("A-Ca0-2\\-–") == "ABCa012\\-–"
